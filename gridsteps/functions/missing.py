@@ -49,6 +49,9 @@ def cast_by_datatype(value: Column, datatype: Column) -> Column:
     word = type_word(datatype)
     expr = F.lit(None).cast("double")
     for _, name, spark_type in VALUE_TYPES:
-        cast = value.try_cast(spark_type).cast("double")
+        if name == "byte":  # stored unsigned
+            cast = F.when(value.between(0, 255), value.cast("smallint").cast("double"))
+        else:
+            cast = value.try_cast(spark_type).cast("double")
         expr = F.when(word == name, cast).otherwise(expr)
     return expr

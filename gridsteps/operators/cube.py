@@ -65,7 +65,7 @@ def template(cells: DataFrame, bands: DataFrame, variables: Sequence[str],
     first, last = years
     return keys.select(
         "variable", "cell", "band",
-        F.explode(F.sequence(F.lit(first), F.lit(last))).cast("int").alias("year"))
+        F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year"))
 
 
 def densify(values: DataFrame, cells: DataFrame, bands: DataFrame, variables: Sequence[str],
