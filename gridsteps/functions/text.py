@@ -41,10 +41,10 @@ def match_masks(pattern: Column) -> Column:
     )
 
 
-def _lcs_bits(masks: Column, length: Column, text: Column) -> Column:
+def _lcs_bits(masks: Column, length: Column, chars: Column) -> Column:
     zero = F.lit(0).cast("bigint")
     full = F.call_function("shiftleft", F.lit(1).cast("bigint"), length) - 1
-    hits = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(masks, c), zero))
+    hits = F.transform(chars, lambda c: F.coalesce(F.try_element_at(masks, c), zero))
     state = F.aggregate(
         hits, full,
         lambda v, m: ((v + v.bitwiseAND(m)).bitwiseOR(v.bitwiseAND(F.bitwise_not(m)))).bitwiseAND(full),
@@ -52,9 +52,8 @@ def _lcs_bits(masks: Column, length: Column, text: Column) -> Column:
     return length - F.bit_count(state)
 
 
-def _lcs_rows(pattern: Column, text: Column) -> Column:
-    other = F.split(text, "")
-    first = F.array_repeat(F.lit(0), F.length(text) + 1)
+def _lcs_rows(pattern: Column, other: Column) -> Column:
+    first = F.array_repeat(F.lit(0), F.size(other) + 1)
 
     def next_row(row: Column, c: Column) -> Column:
         return F.aggregate(
@@ -69,14 +68,20 @@ def _lcs_rows(pattern: Column, text: Column) -> Column:
     return F.element_at(F.aggregate(F.split(pattern, ""), first, next_row), -1)
 
 
-def lcs_length(pattern: Column, text: Column, masks: Column | None = None) -> Column:
-    """Length of the longest common subsequence of two strings."""
+def lcs_length(pattern: Column, text: Column, masks: Column | None = None,
+               chars: Column | None = None) -> Column:
+    """Length of the longest common subsequence of two strings.
+
+    The masks of the pattern and the characters of the text may be passed in
+    where many pairs share them.
+    """
     length = F.length(pattern)
     masks = match_masks(pattern) if masks is None else masks
+    chars = F.split(text, "") if chars is None else chars
     return (
         F.when((length == 0) | (F.length(text) == 0), F.lit(0))
-        .when(length <= MAX_BITS, _lcs_bits(masks, length, text))
-        .otherwise(_lcs_rows(pattern, text))
+        .when(length <= MAX_BITS, _lcs_bits(masks, length, chars))
+        .otherwise(_lcs_rows(pattern, chars))
     )
 
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridsteps.model import require_columns
+from gridsteps.session import small_side
 
 # Irrigation systems by number of systems in a band axis.
 SYSTEMS = {
@@ -46,8 +47,8 @@ def band_labels_from_names(variables: DataFrame) -> DataFrame:
 
 def label_bands(values: DataFrame, labels: DataFrame) -> DataFrame:
     """Attach ``band_label`` by (variable, band); unlabelled bands give NULL."""
-    return values.join(
-        labels.select("variable", "band", "band_label"), ["variable", "band"], "left")
+    dim = small_side(labels.select("variable", "band", "band_label"))
+    return values.join(dim, ["variable", "band"], "left")
 
 
 def crop_band_labels(band_counts: DataFrame, crops: DataFrame,

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gridsteps.session import small_side
+
 
 def select_years(values: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
     """Closed year range; an open end reaches to the border of the data.
@@ -43,7 +45,7 @@ def clamp_years(values: DataFrame, variables: DataFrame, start: int | None, end:
     lo, hi = clamped_bounds(F.col("firstyear"), F.col("lastyear"), start, end, default_year)
     bounds = variables.select("variable", lo.alias("__lo"), hi.alias("__hi"))
     return (
-        values.join(bounds, "variable")
+        values.join(small_side(bounds), "variable")
         .filter(F.col("year").between(F.col("__lo"), F.col("__hi")))
         .drop("__lo", "__hi")
     )

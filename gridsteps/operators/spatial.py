@@ -28,53 +28,53 @@ def _neighbour_lists(cells: DataFrame, by: str, cellsize: float) -> DataFrame:
     keep = MAX_NEIGHBOURS + 1
     radius = RADIUS_FACTOR * cellsize
     side = 0.7 * radius
-    pid = F.col(by).alias("pid")
+
+    def tile(coord: Column) -> Column:
+        # Never NULL, so no branch adds a filter of its own and all of them
+        # share the one exchange by coordinate.
+        return F.coalesce(F.floor(coord / side), F.lit(0))
 
     at_point = Window.partitionBy("lon", "lat").orderBy("pid")
     points = (
-        cells.select(pid, F.col("lon").cast("double").alias("lon"),
+        cells.select(F.col(by).cast("bigint").alias("pid"), F.col("lon").cast("double").alias("lon"),
                      F.col("lat").cast("double").alias("lat"))
-        .filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+        .filter(F.col("pid").isNotNull() & F.col("lon").isNotNull() & F.col("lat").isNotNull())
         .withColumn("rank", F.row_number().over(at_point))
+        .withColumn("point", F.first("pid").over(at_point.rowsBetween(Window.unboundedPreceding, 0)))
         .filter(F.col("rank") <= keep)
-        .withColumn("tx", F.floor(F.col("lon") / side))
-        .withColumn("ty", F.floor(F.col("lat") / side))
     )
+    tiled = points.withColumn("tx", tile(F.col("lon"))).withColumn("ty", tile(F.col("lat")))
 
     in_tile = Window.partitionBy("tx", "ty").orderBy("pid")
     limits = (
-        points.withColumn("r", F.row_number().over(in_tile)).filter(F.col("r") <= keep)
+        tiled.withColumn("r", F.row_number().over(in_tile)).filter(F.col("r") <= keep)
         .groupBy("tx", "ty")
         .agg(F.max(F.when(F.col("r") == keep, F.col("pid"))).alias("limit"))
     )
 
-    def gap(coord: str, tile: Column) -> Column:
-        """Distance along one axis from a point to a tile, 0 inside."""
-        return F.greatest(tile * side - F.col(coord), F.col(coord) - (tile + 1) * side, F.lit(0.0))
+    def reach(coord: str) -> Column:
+        far = radius * (1 + 1e-9)
+        return F.explode(F.sequence(tile(F.col(coord) - far), tile(F.col(coord) + far)))
 
-    offsets = F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"))
-                        for x in range(-2, 3) for y in range(-2, 3)])
-    slack = radius * 1.000001
     candidates = (
-        points.select("pid", F.col("lon").alias("clon"), F.col("lat").alias("clat"),
-                      "tx", "ty", "lon", "lat", F.explode(offsets).alias("o"))
-        .withColumn("tx", F.col("tx") + F.col("o.x")).withColumn("ty", F.col("ty") + F.col("o.y"))
-        .filter(gap("lon", F.col("tx")) ** 2 + gap("lat", F.col("ty")) ** 2 <= slack * slack)
-        .select("pid", "clon", "clat", "tx", "ty")
+        points.withColumn("tx", reach("lon")).withColumn("ty", reach("lat"))
+        .select("tx", "ty", "pid", F.col("lon").alias("clon"), F.col("lat").alias("clat"))
         .join(limits, ["tx", "ty"])
         .filter(F.col("limit").isNull() | (F.col("pid") <= F.col("limit")))
         .drop("limit")
     )
 
-    seekers = points.filter(F.col("rank") == 1).select("lon", "lat", "tx", "ty")
+    seekers = tiled.filter(F.col("pid") == F.col("point")).select("point", "lon", "lat", "tx", "ty")
     dx, dy = F.col("lon") - F.col("clon"), F.col("lat") - F.col("clat")
-    first = Window.partitionBy("lon", "lat").orderBy("pid")
+    first = Window.partitionBy("point").orderBy("pid")
     lists = (
         seekers.join(candidates, ["tx", "ty"])
         .filter(dx * dx + dy * dy <= radius * radius)
-        .select("lon", "lat", "pid")
+        .select("point", "lon", "lat", "pid")
         .withColumn("r", F.row_number().over(first)).filter(F.col("r") <= keep)
-        .groupBy("lon", "lat").agg(F.array_sort(F.collect_list("pid")).alias("__ids"))
+        .groupBy("point").agg(F.first("lon").alias("lon"), F.first("lat").alias("lat"),
+                              F.array_sort(F.collect_list("pid")).alias("__ids"))
+        .drop("point")
     )
     return (
         cells.join(lists, ["lon", "lat"], "left")
@@ -108,45 +108,49 @@ def nearest_on_axis(targets: DataFrame, axis: DataFrame, column: str,
                     buckets: int = 4096) -> DataFrame:
     """(target, nearest) for every distinct target; the larger value wins a tie.
 
-    Distinct targets and axis values are sorted together inside equal buckets of
-    the axis span. What lies beyond a bucket's own values comes from a summary
-    with one row per bucket, so no task sorts the whole axis.
+    Targets and axis values are made distinct and sorted together inside equal
+    buckets of the axis span. What lies beyond a bucket's own values comes from
+    a summary with one row per bucket, so no task sorts the whole axis.
     """
-    marks = axis.select(F.col(column).cast("double").alias("v")).filter("v is not null").distinct()
-    span = marks.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
-    lo, width = F.col("__span.lo"), (F.col("__span.hi") - F.col("__span.lo")) / buckets
-    place = F.when(width > 0, F.floor((F.col("v") - lo) / width)).otherwise(F.lit(0))
-    bucket = F.least(F.greatest(place, F.lit(0)), F.lit(buckets - 1)).cast("int")
-    one_span = span.select(F.struct("lo", "hi").alias("s")).scalar()
+    v = F.col(column).cast("double").alias("v")
+    marks = axis.select(v).filter("v is not null")
+    span = marks.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("s")).scalar()
 
     def placed(df: DataFrame) -> DataFrame:
-        return df.withColumn("__span", one_span).withColumn("b", bucket).drop("__span")
-
-    wanted = (
-        targets.select(F.col(column).cast("double").alias("v")).filter("v is not null").distinct()
+        width = (F.col("s.hi") - F.col("s.lo")) / buckets
+        place = F.when(width > 0, F.floor((F.col("v") - F.col("s.lo")) / width)).otherwise(F.lit(0))
+        return (
+            df.withColumn("s", span)
+            .withColumn("b", F.least(F.greatest(place, F.lit(0)), F.lit(buckets - 1)).cast("int"))
+            .drop("s")
+        )
+
+    distinct = (
+        marks.select("v", F.lit(1).alias("mark"), F.lit(0).alias("target"))
+        .unionByName(targets.select(v).filter("v is not null")
+                     .select("v", F.lit(0).alias("mark"), F.lit(1).alias("target")))
+        .groupBy("v").agg(F.max("mark").alias("mark"), F.max("target").alias("target"))
     )
-    both = placed(
-        marks.withColumn("is_mark", F.lit(True)).unionByName(wanted.withColumn("is_mark", F.lit(False))))
-    mark = F.when(F.col("is_mark"), F.col("v"))
-    # RANGE frames let equal values of the two kinds see each other.
-    ahead = Window.partitionBy("b").orderBy("v")
-    upto = ahead.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    onward = ahead.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    mark = F.when(F.col("mark") == 1, F.col("v"))
+    inside = Window.partitionBy("b").orderBy("v")
     local = (
-        both.withColumn("below", F.max(mark).over(upto))
-        .withColumn("above", F.min(mark).over(onward))
-        .filter(~F.col("is_mark"))
+        placed(distinct)
+        .withColumn("below", F.max(mark).over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("above", F.min(mark).over(inside.rowsBetween(0, Window.unboundedFollowing)))
+        .filter("target = 1")
     )
 
-    summary = both.groupBy("b").agg(F.min(mark).alias("lo"), F.max(mark).alias("hi"))
+    # Every bucket gets a row, also those that hold targets only.
+    filled = placed(marks).groupBy("b").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
+    every = axis.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
     order = Window.orderBy("b")
-    edges = summary.select(
+    edges = every.join(filled, "b", "left").select(
         "b",
         F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1)).alias("prev"),
         F.min("lo").over(order.rowsBetween(1, Window.unboundedFollowing)).alias("next"),
     )
     below, above = F.coalesce("below", "prev"), F.coalesce("above", "next")
-    return local.join(edges, "b").select(
+    return local.join(F.broadcast(edges), "b").select(
         F.col("v").alias("target"),
         F.when(below.isNull(), above).when(above.isNull(), below)
         .when(above - F.col("v") <= F.col("v") - below, above).otherwise(below).alias("nearest"),

@@ -11,6 +11,7 @@ from gridsteps.functions.missing import is_integer_type, type_word
 from gridsteps.model import KEYS
 from gridsteps.operators.bands import subannual_violations
 from gridsteps.operators.cube import template
+from gridsteps.session import small_side
 
 
 def _violations(df: DataFrame, rule: str, detail: Column) -> DataFrame:
@@ -29,7 +30,7 @@ def check_types(values: DataFrame, registry: DataFrame) -> DataFrame:
     """
     declared = registry.select("variable", "datatype")
     fractions = values.join(
-        declared.filter(is_integer_type(F.col("datatype"))), "variable"
+        small_side(declared.filter(is_integer_type(F.col("datatype")))), "variable"
     ).filter(F.col("value") != F.floor(F.col("value")))
     unknown = declared.filter(type_word(F.col("datatype")).isNull())
     return _violations(fractions, "type", F.col("value")).unionByName(

@@ -119,19 +119,21 @@ def event_rows(events: DataFrame, days: int = 1) -> DataFrame:
 
 
 def variables(spark: SparkSession, d: str) -> DataFrame:
-    """Metadata of the two variables, its period taken from the data."""
-    period = grid_values(spark, d).groupBy("variable").agg(
-        F.min("year").alias("firstyear"), F.max("year").alias("lastyear"))
-    is_quantity = F.col("variable") == "quantity"
-    return period.select(
-        "variable", "firstyear", "lastyear",
-        F.when(is_quantity, "quantity sold").otherwise("price paid").alias("long_name"),
-        F.when(is_quantity, "1").otherwise("money").alias("unit"),
-        F.when(is_quantity, "short").otherwise("float").alias("datatype"),
-        F.when(is_quantity, 0.5).otherwise(2.0).alias("scalar"),
-        F.when(is_quantity, 7).otherwise(1).alias("nbands"),
-        F.when(is_quantity, F.transform(
-            F.sequence(F.lit(1), F.lit(7)), lambda i: F.concat(F.lit("line "), i.cast("string"))))
-        .otherwise(F.array(F.lit("all"))).alias("band_names"),
+    """Metadata of the two variables; their common period is that of the line items."""
+    def described(name, long_name, unit, datatype, scalar, nbands, band_names):
+        return F.struct(
+            F.lit(name).alias("variable"), F.lit(long_name).alias("long_name"),
+            F.lit(unit).alias("unit"), F.lit(datatype).alias("datatype"),
+            F.lit(scalar).alias("scalar"), F.lit(nbands).alias("nbands"),
+            F.array(*[F.lit(b) for b in band_names]).alias("band_names"))
+
+    both = F.array(
+        described("quantity", "quantity sold", "1", "short", 0.5, 7,
+                  [f"line {i}" for i in range(1, 8)]),
+        described("price", "price paid", "money", "float", 2.0, 1, ["all"]))
+    period = table(spark, d, "lineitem").agg(
+        F.year(F.min("l_shipdate")).alias("firstyear"), F.year(F.max("l_shipdate")).alias("lastyear"))
+    return period.withColumn("v", F.explode(both)).select(
+        "v.*", "firstyear", "lastyear",
         F.lit("line items").alias("source"), F.lit("driver tables").alias("history"),
         F.lit(0.5).alias("cellsize_lon"), F.lit(0.5).alias("cellsize_lat"))

@@ -5,10 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _local_base: str | None = None
 
+# Rows up to which a dimension table is broadcast.
+BROADCAST_ROWS = 200_000
+
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path below the shared folder of the cluster.
@@ -35,3 +38,13 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+
+
+def small_side(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Dimension table marked for broadcast if its counted rows stay below a bound.
+
+    Meant for joins on few distinct keys, such as the variable, where a shuffle
+    of the values by that key would be uneven. A larger table comes back as it
+    is: Spark then sizes the join itself and splits uneven partitions.
+    """
+    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim

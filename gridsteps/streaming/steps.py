@@ -150,8 +150,11 @@ class StepStore:
 
     def record(self, spark: SparkSession, batch_id: int, step: int,
                done: list[tuple[int, str]]) -> None:
-        rows = [(batch_id, year, operation) for year, operation in done]
-        spark.createDataFrame(rows, LEDGER).coalesce(1).write.mode("overwrite").parquet(
+        rows = F.array(*[F.struct(F.lit(year).alias("year"), F.lit(operation).alias("operation"))
+                         for year, operation in done])
+        entries = spark.range(1).select(
+            F.lit(batch_id).cast("bigint").alias("batch"), F.inline(rows))
+        entries.coalesce(1).write.mode("overwrite").parquet(
             f"{self.path('ledger', batch_id)}/step={step}")
 
     def closed_year(self, spark: SparkSession, before: int | None = None) -> int | None:
@@ -191,14 +194,19 @@ def write_step(inputs: DataFrame, year: int, store: StepStore, registry: DataFra
     """Validate the inputs of one step and replace its partitions.
 
     With a registry (variable, datatype, nband) any violation is an error and
-    nothing is written.
+    nothing is written. The checks and the write share one evaluation.
     """
-    if registry is not None:
-        broken = validate(inputs, registry, year=year, ncell=ncell).limit(5).collect()
-        if broken:
-            raise ValueError("invalid inputs: " + "; ".join(
-                f"{r.rule} {r.variable} {r.year} {r.detail}" for r in broken))
-    write_years(inputs, store.path("inputs"))
+    inputs = inputs.persist()
+    try:
+        if registry is not None:
+            broken = validate(inputs, registry, year=year, ncell=ncell).agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min(F.concat_ws(" ", "rule", "variable", "year", "detail")).alias("first")).first()
+            if broken.n:
+                raise ValueError(f"{broken.n} violations in the inputs of {year}: {broken['first']}")
+        write_years(inputs, store.path("inputs"))
+    finally:
+        inputs.unpersist()
 
 
 def _ready_years(spark: SparkSession, store: StepStore, expected: DataFrame,
