@@ -130,7 +130,7 @@ def steps_to_bands(values: DataFrame) -> DataFrame:
         .otherwise(F.col("band"))
     )
     return (
-        values.join(axis, ["variable", "year", "step"])
+        values.join(small_side(axis), ["variable", "year", "step"])
         .withColumn("band", band.cast("int"))
         .drop("__pos", "__nstep", "__maxband", "step")
     )

@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridsteps.model import KEYS
+from gridsteps.session import small_side, small_table
 
 _HOW: dict[str, Callable[[str], Column]] = {
     "mean": F.avg,
@@ -135,53 +136,59 @@ def quantile(values: DataFrame, q: float, by: Sequence[str], large: int = 1_000_
              accuracy: int = 100_000) -> DataFrame:
     """Exact quantile per group with linear interpolation.
 
-    Groups of at most ``large`` rows use the exact aggregate directly. A larger
-    group never meets in one task as a whole: a sketch brackets the wanted rank
-    within a few parts of ``accuracy``, counts below the bracket are summed in
-    partial aggregates, and only distinct values inside it are ordered. If a
-    bracket misses the rank, the exact aggregate over value counts decides.
+    Groups of at most ``large`` rows, counted first, use the exact aggregate. A
+    larger group never meets in one task as a whole; see :func:`_large_quantile`.
     """
     by = list(by)
     present = values.filter(F.col("value").isNotNull()).select(*by, "value")
-    # At most rows / large groups can be this big, which bounds the broadcast.
-    big = F.broadcast(
-        present.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large))
-    direct = (
-        present.join(big, by, "left_anti").groupBy(*by)
-        .agg(F.percentile("value", F.lit(q)).alias("value"))
-    )
 
-    counts = (
-        present.join(big, by).groupBy(*by, "n", "value").agg(F.count(F.lit(1)).alias("f"))
-    )
+    def direct(df: DataFrame) -> DataFrame:
+        return df.groupBy(*by).agg(F.percentile("value", F.lit(q)).alias("value"))
+
+    sizes = present.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large)
+    found = small_table(sizes)
+    if found is None:
+        big = sizes
+    elif found.num_rows == 0:
+        return direct(present)
+    else:
+        big = F.broadcast(values.sparkSession.createDataFrame(found, schema=sizes.schema))
+    rest = present.join(big.select(*by), by, "left_anti")
+    return direct(rest).unionByName(_large_quantile(present.join(big, by), q, by, accuracy))
+
+
+def _large_quantile(rows: DataFrame, q: float, by: list[str], accuracy: int) -> DataFrame:
+    """Quantile of crowded groups; ``rows`` carries the group size as ``n``.
+
+    A sketch brackets the wanted rank within a few parts of ``accuracy``, counts
+    below the bracket are summed in partial aggregates, and only the distinct
+    values inside it are ordered. If a bracket misses the rank, the exact
+    aggregate over value counts decides.
+    """
+    counts = rows.groupBy(*by, "n", "value").agg(F.count(F.lit(1)).alias("f"))
     margin = 5.0 / accuracy
     ends = [max(0.0, q - margin), min(1.0, q + margin)]
     bracket = (
-        present.join(big.select(*by), by, "left_semi").groupBy(*by)
-        .agg(F.percentile_approx("value", ends, accuracy).alias("e"))
+        rows.groupBy(*by).agg(F.percentile_approx("value", ends, accuracy).alias("e"))
         .select(*by, F.col("e")[0].alias("lo"), F.col("e")[1].alias("hi"))
     )
-    marked = counts.join(F.broadcast(bracket), by)
+    marked = counts.join(small_side(bracket), by)
     below = marked.groupBy(*by).agg(
         F.sum(F.when(F.col("value") < F.col("lo"), F.col("f")).otherwise(0)).alias("below"))
     rank = F.col("n") - 1
     low_rank = F.floor(rank * q)
     running = Window.partitionBy(*by).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    upto = F.col("below") + F.sum("f").over(running)
     found = (
         marked.filter(F.col("value").between(F.col("lo"), F.col("hi")))
-        .join(F.broadcast(below), by)
-        .withColumn("upto", upto)
+        .join(below, by)
+        .withColumn("upto", F.col("below") + F.sum("f").over(running))
         .groupBy(*by, "n", "below")
         .agg(F.min(F.when(F.col("upto") > low_rank, F.col("value"))).alias("x0"),
              F.min(F.when(F.col("upto") > F.least(low_rank + 1, rank), F.col("value"))).alias("x1"))
-        .withColumn("hit", (F.col("below") <= low_rank) & F.col("x0").isNotNull()
-                    & F.col("x1").isNotNull())
+        .filter((F.col("below") <= low_rank) & F.col("x0").isNotNull() & F.col("x1").isNotNull())
     )
     part = rank * q - low_rank
-    bracketed = found.filter("hit").select(
-        *by, (F.col("x0") * (1 - part) + F.col("x1") * part).alias("value"))
-    missed = counts.join(F.broadcast(found.filter("hit").select(*by)), by, "left_anti")
-    repaired = missed.groupBy(*by).agg(
+    bracketed = found.select(*by, (F.col("x0") * (1 - part) + F.col("x1") * part).alias("value"))
+    repaired = counts.join(found.select(*by), by, "left_anti").groupBy(*by).agg(
         F.percentile("value", F.lit(q), F.col("f")).alias("value"))
-    return direct.unionByName(bracketed).unionByName(repaired)
+    return bracketed.unionByName(repaired)

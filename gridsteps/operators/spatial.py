@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridsteps.model import MISSING_INT
 from gridsteps.operators.numbering import dense_index
+from gridsteps.session import small_side
 
 # Neighbours kept per cell, and radius in cell sizes.
 MAX_NEIGHBOURS = 8
@@ -202,7 +203,7 @@ def extract_region(cells: DataFrame, countries: DataFrame, code: str) -> DataFra
     ``country_id``, ``countries`` carries ``id`` and ``code``.
     """
     wanted = countries.filter(F.col("code") == code).select(F.col("id").alias("country_id"))
-    kept = cells.join(wanted, "country_id", "left_semi")
+    kept = cells.join(small_side(wanted), "country_id", "left_semi")
     return dense_index(kept, "cell", "new_cell")
 
 

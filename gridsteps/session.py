@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _local_base: str | None = None
@@ -40,11 +41,20 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     )
 
 
+def small_table(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> pa.Table | None:
+    """Rows of a table that stays within a bound, else None."""
+    found = dim.limit(max_rows + 1).toArrow()
+    return found if found.num_rows <= max_rows else None
+
+
 def small_side(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Dimension table marked for broadcast if its counted rows stay below a bound.
+    """Dimension table evaluated once and marked for broadcast, if within a bound.
 
     Meant for joins on few distinct keys, such as the variable, where a shuffle
     of the values by that key would be uneven. A larger table comes back as it
     is: Spark then sizes the join itself and splits uneven partitions.
     """
-    return F.broadcast(dim) if dim.limit(max_rows + 1).count() <= max_rows else dim
+    found = small_table(dim, max_rows)
+    if found is None:
+        return dim
+    return F.broadcast(dim.sparkSession.createDataFrame(found, schema=dim.schema))

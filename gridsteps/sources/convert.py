@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from gridsteps.session import small_side
+
 
 def convertible(catalog: DataFrame, ids: str | Sequence[str] | None = None) -> DataFrame:
     """Outputs stored as cdf that a conversion takes: never the grid, or only ``ids``."""
@@ -24,7 +26,7 @@ def convert_format(values: DataFrame, path: str, fmt: str = "parquet",
     """
     if variables is not None:
         names = variables.select(F.col("name").alias("variable"))
-        values = values.join(names, "variable", "left_semi")
+        values = values.join(small_side(names), "variable", "left_semi")
     (
         values.hint("rebalance", "variable", "year")
         .sortWithinPartitions("variable", "year", "cell", "band")

@@ -7,9 +7,10 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from urllib.parse import unquote
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -103,44 +104,55 @@ def parse_header(head: bytes, force_version: int | None = None) -> dict:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, length) of all files below a path; contents stay unread."""
-    return (
+    """(path, length) of all files below a path; contents stay unread.
+
+    Spark's scan leaves out files without content, so these are added from the
+    file index that the scan has built anyway.
+    """
+    scan = (
         spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True).load(path).select("path", "length")
+        .option("recursiveFileLookup", True).load(path)
     )
+    listed = scan.select("path", "length")
+    index = [(re.sub(r"^file:/+", "file:/", unquote(p)),) for p in scan.inputFiles()]
+    known = spark.createDataFrame(index, "path string")
+    empty = known.join(listed.select("path"), "path", "left_anti")
+    return listed.unionByName(empty.withColumn("length", F.lit(0).cast("bigint")))
+
+
+def _probe(files: DataFrame, schema: str, row: Callable[[str, int], dict]) -> DataFrame:
+    """One output row per listed file, computed in tasks."""
+    types = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "double": pa.float64()}
+    fields = [part.rsplit(" ", 1) for part in schema.split(", ")]
+    arrow = pa.schema([(name.strip("`"), types[kind]) for name, kind in fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [{"path": f["path"], "length": f["length"], **row(f["path"], f["length"])}
+                    for f in batch.to_pylist()]
+            yield pa.RecordBatch.from_pylist(rows, schema=arrow)
+
+    return files.mapInArrow(run, schema)
 
 
 def inventory_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, length, io_type): clm, cdf, meta, text or raw; an empty file is text."""
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["io_type"] = [classify(read_head(p, PROBE_BYTES)) for p in batch["path"]]
-            yield batch
+    def kind(name: str, length: int) -> dict:
+        return {"io_type": classify(read_head(name, PROBE_BYTES) if length else b"")}
 
-    return list_files(spark, path, glob).mapInPandas(
-        probe, "path string, length bigint, io_type string")
+    return _probe(list_files(spark, path, glob), "path string, length bigint, io_type string", kind)
 
 
 def header_catalog(spark: SparkSession, path: str, glob: str = "*",
                    force_version: int | None = None) -> DataFrame:
     """One row of header fields per file; what cannot be read fills ``error``."""
-    names = [part.split()[0].strip("`") for part in HEADER_SCHEMA.split(", ")]
+    def fields(name: str, length: int) -> dict:
+        try:
+            return parse_header(read_head(name, HEADER_BYTES), force_version)
+        except ValueError as e:
+            return {"error": str(e)}
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for path, length in zip(batch["path"], batch["length"]):
-                try:
-                    fields = parse_header(read_head(path, HEADER_BYTES), force_version)
-                except ValueError as e:
-                    fields = {"error": str(e)}
-                rows.append({"path": path, "length": length, **fields})
-            frame = pd.DataFrame(rows, columns=names)
-            whole = ["version", "order", "firstyear", "nyear", "lastyear", "firstcell", "ncell",
-                     "nbands", "datatype", "nstep", "timestep", "header_bytes"]
-            yield frame.astype({c: "Int32" for c in whole})
-
-    return list_files(spark, path, glob).mapInPandas(probe, HEADER_SCHEMA)
+    return _probe(list_files(spark, path, glob), HEADER_SCHEMA, fields)
 
 
 def header_metadata(headers: DataFrame) -> DataFrame:

@@ -220,7 +220,7 @@ def _ready_years(spark: SparkSession, store: StepStore, expected: DataFrame,
     counts = store.counts(spark).filter(window).groupBy("variable", "year").agg(
         F.sum("n").alias("got"))
     dated = expected if "year" in expected.columns else expected.withColumn(
-        "year", F.explode(F.sequence(F.lit(open_year), F.lit(last_year))).cast("int"))
+        "year", F.explode(F.sequence(F.lit(open_year), F.lit(last_year))))
     likely = (
         dated.filter(window).join(counts, ["variable", "year"], "left").groupBy("year")
         .agg(F.min(F.coalesce(F.col("got"), F.lit(0)) >= F.col("n")).alias("enough"))

@@ -19,6 +19,6 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
     ).getOrCreate()
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()
