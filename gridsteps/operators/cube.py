@@ -58,7 +58,10 @@ def template(cells: DataFrame, bands: DataFrame, variables: Sequence[str],
     """
     names = F.array(*[F.lit(v) for v in variables])
     axis = small_side(bands.select("variable", F.col("band").cast("int").alias("band")))
-    keys = cells.select("cell").withColumn("variable", F.explode(names)).join(axis, "variable")
+    keys = (
+        cells.select(F.col("cell").cast("bigint").alias("cell"))
+        .withColumn("variable", F.explode(names)).join(axis, "variable")
+    )
     if years is None:
         return keys.select("variable", "cell", "band")
     first, last = years
@@ -67,15 +70,38 @@ def template(cells: DataFrame, bands: DataFrame, variables: Sequence[str],
         F.explode(F.sequence(F.lit(first), F.lit(last))).alias("year"))
 
 
+def on_template(values: DataFrame, cells: DataFrame, bands: DataFrame, variables: Sequence[str],
+                years: tuple[int, int] | None) -> DataFrame:
+    """Template keys with ``value`` and ``present``: does the table hold the key.
+
+    Cells and values are both partitioned by cell before the cells expand, so
+    the dense rows, which outnumber both, are merged where they arise and never
+    shuffled.
+    """
+    keys = KEYS if years is not None else KEYS[:3]
+    wanted = template(cells.select("cell").repartition("cell"), bands, variables, years).select(
+        *keys, F.lit(None).cast("double").alias("value"), F.lit(True).alias("wanted"))
+    given = (
+        values.filter(F.col("variable").isin(*variables))
+        .select("variable", F.col("cell").cast("bigint").alias("cell"), *keys[2:],
+                F.col("value").cast("double").alias("value"))
+        .repartition("cell").withColumn("wanted", F.lit(False))
+    )
+    return (
+        wanted.unionByName(given).groupBy(*keys)
+        .agg(F.max("value").alias("value"), F.bool_or("wanted").alias("wanted"),
+             (~F.bool_and("wanted")).alias("present"))
+        .filter("wanted").drop("wanted")
+    )
+
+
 def densify(values: DataFrame, cells: DataFrame, bands: DataFrame, variables: Sequence[str],
             years: tuple[int, int] | None) -> DataFrame:
     """Dense template with the values written in; NULL where there is none.
 
     ``years=None`` gives the template of static variables, without time axis.
     """
-    keys = KEYS if years is not None else KEYS[:3]
-    return template(cells, bands, variables, years).join(
-        values.select(*keys, "value"), keys, "left")
+    return on_template(values, cells, bands, variables, years).drop("present")
 
 
 def _with_datatype(values: DataFrame, variables: DataFrame) -> DataFrame:

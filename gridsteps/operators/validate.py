@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gridsteps.functions.missing import is_integer_type, type_word
 from gridsteps.model import KEYS
 from gridsteps.operators.bands import subannual_violations
-from gridsteps.operators.cube import template
+from gridsteps.operators.cube import on_template
 from gridsteps.session import small_side
 
 
@@ -75,7 +75,7 @@ def check_duplicates(values: DataFrame) -> DataFrame:
 def check_missing(values: DataFrame, cells: DataFrame, bands: DataFrame,
                   variables: Sequence[str], years: tuple[int, int]) -> DataFrame:
     """Keys of the dense cube that the table lacks."""
-    lost = template(cells, bands, variables, years).join(values.select(*KEYS), KEYS, "left_anti")
+    lost = on_template(values, cells, bands, variables, years).filter("NOT present")
     return _violations(lost, "missing", F.lit("no row"))
 
 
