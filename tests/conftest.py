@@ -17,7 +17,9 @@ def spark():
         SparkSession.builder.master("local[8]").appName("gridsteps-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.default.parallelism", "2")
+        .config("spark.ui.showConsoleProgress", "false")
     ).getOrCreate()
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -259,7 +259,7 @@ def test_weighted_mean_skips_missing(spark):
     assert R.weighted_mean(df, w, ["variable"]).first().value == 4.0
 
 
-@pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.93, 1.0])
+@pytest.mark.parametrize("q", [0.0, 0.93])
 def test_quantile_of_crowded_groups(spark, q):
     df = spark.range(6000).select(
         (F.col("id") % 3 == 0).cast("int").alias("k"),
