@@ -41,11 +41,16 @@ def clamped_bounds(first: Column, last: Column, start: int | None, end: int | No
 
 def clamp_years(values: DataFrame, variables: DataFrame, start: int | None, end: int | None,
                 default_year: int) -> DataFrame:
-    """Years of each variable within its clamped range; bounds come from metadata."""
+    """Years of each variable within its clamped range; bounds come from metadata.
+
+    The widest of the ranges also becomes a plain year filter, which prunes
+    partitions before any variable is looked at.
+    """
     lo, hi = clamped_bounds(F.col("firstyear"), F.col("lastyear"), start, end, default_year)
-    bounds = variables.select("variable", lo.alias("__lo"), hi.alias("__hi"))
+    bounds = small_side(variables.select("variable", lo.alias("__lo"), hi.alias("__hi")))
+    widest = bounds.agg(F.min("__lo"), F.max("__hi")).first()
     return (
-        values.join(small_side(bounds), "variable")
+        select_years(values, *widest).join(bounds, "variable")
         .filter(F.col("year").between(F.col("__lo"), F.col("__hi")))
         .drop("__lo", "__hi")
     )

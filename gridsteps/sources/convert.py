@@ -23,6 +23,7 @@ def convert_format(values: DataFrame, path: str, fmt: str = "parquet",
 
     ``variables`` limits the conversion to its names. The rebalance hint keeps
     files even: a partition with most rows is split, small ones share a task.
+    Other partitions below the path stay.
     """
     if variables is not None:
         names = variables.select(F.col("name").alias("variable"))
@@ -30,5 +31,6 @@ def convert_format(values: DataFrame, path: str, fmt: str = "parquet",
     (
         values.hint("rebalance", "variable", "year")
         .sortWithinPartitions("variable", "year", "cell", "band")
-        .write.mode("overwrite").format(fmt).partitionBy("variable", "year").save(path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .format(fmt).partitionBy("variable", "year").save(path)
     )

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from gridsteps.functions.times import decode_time
 from gridsteps.model import canonical
+from gridsteps.session import small_side
 
 AXES = ["lat", "lon", "time"]
 
@@ -19,7 +20,8 @@ def shape_grid(table: DataFrame, variables: Sequence[str], units: str | None = N
     Columns other than lat, lon, time, the cell and the variables are further
     dimensions: none gives band 0, one becomes the band axis, numbered 0..n-1 in
     ascending order, several are an error. ``units`` ("days since 1901-01-01")
-    decodes ``time``; without it time already holds years.
+    decodes ``time``; without it time already holds years. Axes are numbered
+    over their distinct values only, one row per band or time stamp.
     """
     known = [*AXES, *variables] + ([cell] if cell else [])
     extra = [c for c in table.columns if c not in known]
@@ -31,14 +33,14 @@ def shape_grid(table: DataFrame, variables: Sequence[str], units: str | None = N
         axis = table.select(extra[0]).distinct().select(
             extra[0],
             (F.row_number().over(Window.orderBy(extra[0])) - 1).cast("int").alias("__band"))
-        table = table.join(axis, extra[0]).drop(extra[0]).withColumnRenamed("__band", "band")
+        table = table.join(small_side(axis), extra[0]).drop(extra[0]).withColumnRenamed("__band", "band")
     if "time" in table.columns:
         if units is None:
             table = table.withColumn("year", F.col("time").cast("int"))
         elif time_mode == "month_index":
             ticks = table.select("time").distinct().select(
                 "time", (F.row_number().over(Window.orderBy("time")) - 1).alias("__tick"))
-            table = table.join(ticks, "time").withColumn(
+            table = table.join(small_side(ticks), "time").withColumn(
                 "year", decode_time(F.col("time"), F.lit(units), F.col("__tick"), "month_index")
             ).drop("__tick")
         else:
