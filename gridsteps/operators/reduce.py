@@ -73,13 +73,15 @@ def resample_years(values: DataFrame, how: str = "sum") -> DataFrame:
     return values.groupBy(*KEYS).agg(_HOW[how]("value").alias("value"))
 
 
-def _series() -> object:
-    return Window.partitionBy(*SERIES).orderBy("year")
+def _series(values: DataFrame):
+    """Window along time: years, and the steps inside them where there are any."""
+    order = ["year", "step"] if "step" in values.columns else ["year"]
+    return Window.partitionBy(*SERIES).orderBy(*order)
 
 
 def rolling(values: DataFrame, size: int, how: str = "mean") -> DataFrame:
     """Trailing window of ``size`` time slices; NULL unless all of them are present."""
-    frame = _series().rowsBetween(-(size - 1), 0)
+    frame = _series(values).rowsBetween(-(size - 1), 0)
     full = F.count("value").over(frame) == size
     return values.withColumn("value", F.when(full, _HOW[how]("value").over(frame)))
 
@@ -87,27 +89,27 @@ def rolling(values: DataFrame, size: int, how: str = "mean") -> DataFrame:
 def shift(values: DataFrame, periods: int = 1) -> DataFrame:
     """Values moved along the time slices; NULL where none arrives."""
     moved = F.lag("value", periods) if periods >= 0 else F.lead("value", -periods)
-    return values.withColumn("value", moved.over(_series()))
+    return values.withColumn("value", moved.over(_series(values)))
 
 
 def diff(values: DataFrame) -> DataFrame:
     """Difference to the previous time slice; the first slice is dropped."""
     return (
-        values.withColumn("__n", F.row_number().over(_series()))
-        .withColumn("value", F.col("value") - F.lag("value").over(_series()))
+        values.withColumn("__n", F.row_number().over(_series(values)))
+        .withColumn("value", F.col("value") - F.lag("value").over(_series(values)))
         .filter(F.col("__n") > 1).drop("__n")
     )
 
 
 def cumsum(values: DataFrame) -> DataFrame:
     """Running sum along time; a missing value adds nothing."""
-    frame = _series().rowsBetween(Window.unboundedPreceding, 0)
+    frame = _series(values).rowsBetween(Window.unboundedPreceding, 0)
     return values.withColumn("value", F.coalesce(F.sum("value").over(frame), F.lit(0.0)))
 
 
 def ffill(values: DataFrame) -> DataFrame:
     """Last value carried forward along time."""
-    frame = _series().rowsBetween(Window.unboundedPreceding, 0)
+    frame = _series(values).rowsBetween(Window.unboundedPreceding, 0)
     return values.withColumn("value", F.last("value", ignorenulls=True).over(frame))
 
 

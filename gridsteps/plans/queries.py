@@ -542,7 +542,7 @@ def _header(key: int, count: int) -> bytes:
         data += struct.pack(mark + "f", 0.25) + struct.pack(mark + "i", 3)
     if version == 4:
         data += struct.pack(mark + "2i", 1, 1)
-    return b"LPJGRID" + data
+    return b"LPJTEST" + data
 
 
 @query
@@ -596,16 +596,16 @@ def _brand_metadata(spark, d):
 
 @query
 def metadata_catalog(spark, d):
-    """Sidecars per brand; every second one leaves out its band names."""
+    """One sidecar file per brand; every second one leaves out its band names."""
     folder = work_dir(spark, "sidecars")
     number = F.substring("variable", 7, 10).cast("int")
     sidecars = _brand_metadata(spark, d).select(
         "variable", F.size("types").alias("nbands"), "ncell",
-        F.when(number % 2 != 0, F.col("types")).alias("band_names"))
-    metadata.write_metadata(sidecars.repartition("variable").withColumn("_private", F.lit(1)), folder)
-    # A sidecar is one JSON object; written tables hold one per line.
-    found = spark.read.schema(metadata.METADATA).json(folder)
-    return metadata.default_band_names(found).select(
+        F.when(number % 2 != 0, F.col("types")).alias("band_names"), F.lit(1).alias("_private"))
+    name = F.concat(F.regexp_replace("variable", r"\W", "_"), F.lit(".json"))
+    _write_files(metadata.as_json(sidecars).select(
+        name.alias("name"), F.col("json").cast("binary").alias("content")), folder)
+    return metadata.load_metadata(spark, folder).select(
         "variable", "nbands", F.array_join("band_names", " ").alias("band_names"), "ncell")
 
 

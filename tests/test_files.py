@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridsteps.sources import convert, files, flatgrid, grid, metadata
 
 
-def header(name=b"LPJSOIL", version=3, mark="<", ncell=21, nbands=1, datatype=0, firstyear=1901, nyear=1):
+def header(name=b"LPJTEST", version=3, mark="<", ncell=21, nbands=1, datatype=0, firstyear=1901, nyear=1):
     data = name + struct.pack(mark + "7i", version, 1, firstyear, nyear, 0, ncell, nbands)
     if version >= 2:
         data += struct.pack(mark + "2f", 0.5, 1.0)
@@ -21,16 +21,16 @@ def header(name=b"LPJSOIL", version=3, mark="<", ncell=21, nbands=1, datatype=0,
 
 def test_header_catalog(spark, tmp_path):
     (tmp_path / "a.clm").write_bytes(header() + bytes(21))
-    (tmp_path / "b.clm").write_bytes(header(b"LPJGRID", 2, ">"))
+    (tmp_path / "b.clm").write_bytes(header(b"LPJTEST", 2, ">"))
     (tmp_path / "c.clm").write_bytes(header(b"LPJRESTART"))
     (tmp_path / "d.clm").write_bytes(b"NOPE" + bytes(60))
     (tmp_path / "e.clm").write_bytes(header(version=4))
-    (tmp_path / "f.clm").write_bytes(b"LPJGRID\x01\x00")
+    (tmp_path / "f.clm").write_bytes(b"LPJTEST\x01\x00")
     (tmp_path / "g.clm").write_bytes(header(version=7))
     got = {r.path[-5]: r for r in files.header_catalog(spark, str(tmp_path)).collect()}
     a = got["a"]
     assert (a.name, a.version, a.endian, a.order, a.firstyear, a.nyear, a.firstcell, a.ncell) == (
-        "LPJSOIL", 3, "little", 1, 1901, 1, 0, 21)
+        "LPJTEST", 3, "little", 1, 1901, 1, 0, 21)
     assert (a.nbands, a.cellsize_lon, a.scalar, a.cellsize_lat, a.datatype, a.nstep, a.timestep) == (
         1, 0.5, 1.0, 0.5, 0, 1, 1)
     assert a.header_bytes == 51 and a.lastyear == 1901 and a.error is None and a.length == 72
@@ -44,7 +44,7 @@ def test_header_catalog(spark, tmp_path):
 
 
 def test_inventory(spark, tmp_path):
-    content = {"clm": b"LPJSOIL", "cdf1": b"CDF\x01", "cdf2": b"\x89HDF\r\n\x1a\nxx", "meta": b' \n{"a": 1}',
+    content = {"clm": b"LPJTEST", "cdf1": b"CDF\x01", "cdf2": b"\x89HDF\r\n\x1a\nxx", "meta": b' \n{"a": 1}',
                "text1": b"year,cell\n", "text2": b"", "raw1": b"\x07\x0b", "raw2": "é{".encode()}
     for name, data in content.items():
         (tmp_path / name).write_bytes(data)
