@@ -6,8 +6,8 @@ from oracle import connect, difference
 
 import __spark_entry__ as entry_point
 
-QUERIES = entry_point.queries()
-ORACLES = entry_point.oracle_sql()
+QUERIES = entry_point.QUERIES
+ORACLES = entry_point.ORACLES
 
 
 @pytest.fixture(scope="module")
