@@ -2,7 +2,9 @@
 
 The byte-level pre-tokenizer never joins what stands on both sides of a space
 that a visible character follows, so a text is split there and every distinct
-chunk is encoded once per worker. The ids are those of the whole text.
+chunk is encoded once per worker. Chunks of Latin letters and signs are split
+by the pre-tokenizer's own pattern, and the model encodes each distinct piece
+once. The ids are those of the whole text.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterable
 
 import numpy as np
@@ -19,7 +22,9 @@ from gridsteps.llm.common import worker_registry
 # A space that is not directly followed by a visible character.
 _ODD_SPACE = re.compile(r" (?=\s|$)")
 _CHUNK_START = re.compile(r" (?=\S)")
-CACHE_ENTRIES = 500_000
+# Chunks of which every regular expression library has the same view.
+_LATIN = re.compile("[\n!-~\u00a1-\u024f]+")
+CACHE_ENTRIES = 400_000
 
 def default_path() -> str:
     import public_tokenizers
@@ -41,6 +46,13 @@ def vocabulary_size(path: str) -> int:
     return Tokenizer.from_file(path).get_vocab_size(with_added_tokens=True)
 
 
+def byte_alphabet() -> dict[int, int]:
+    """The byte-level alphabet: visible Latin-1 characters stand for themselves, the other bytes for 256 and on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + k for k, b in enumerate(others)}
+
+
 class Encoder:
     """Encodes batches of texts; ``dtype`` is the narrowest that holds every id."""
 
@@ -57,13 +69,51 @@ class Encoder:
         self.chunked = (
             before.get("type") == "ByteLevel" and before.get("use_regex", True)
             and not before.get("add_prefix_space") and not spec.get("normalizer")
+            and all(t.get("special") for t in spec.get("added_tokens", []))
         )
         self.known: dict[str, bytes] = {}
+        if self.chunked:
+            import public_tokenizers
+            import regex
+
+            self.pieces_of = regex.compile(public_tokenizers.PATTERN).findall
+            # Takes a whole input as one word of the byte-level alphabet.
+            self.words = Tokenizer(self.tokenizer.model)
+            self.alphabet = byte_alphabet()
+            self.pieces: dict[str, bytes] = {}
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
+    def _mapped(self, piece: str) -> str:
+        if piece.isascii():
+            return piece.replace(" ", "\u0120").replace("\n", "\u010a")
+        return piece.encode().decode("latin-1").translate(self.alphabet)
+
+    def _chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks that follow a space."""
+        latin = [c for c in chunks if _LATIN.fullmatch(c)]
+        # Plain words, and words before one sign, need no pattern.
+        split = [
+            (" " + c,) if c.isalpha()
+            else (" " + c[:-1], c[-1]) if c[-1] in ".,;:!?" and c[:-1].isalpha()
+            else self.pieces_of(" " + c)
+            for c in latin
+        ]
+        new = list(set().union(*split).difference(self.pieces))
+        if len(self.pieces) + len(new) > CACHE_ENTRIES:
+            new, self.pieces = list(set().union(*split)), {}
+        found = self.words.encode_batch_fast(list(map(self._mapped, new)), add_special_tokens=False)
+        code = "H" if self.dtype.itemsize == 2 else "I"
+        self.pieces.update(zip(new, [array(code, e.ids).tobytes() for e in found]))
+        get = self.pieces.__getitem__
+        ids = dict(zip(latin, [b"".join(map(get, p)) for p in split]))
+        if len(ids) < len(chunks):
+            others = [c for c in chunks if c not in ids]
+            ids.update(zip(others, self._plain([" " + c for c in others])))
+        return ids
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Id bytes of each text; an empty text has none."""
         texts = list(texts)
@@ -74,8 +124,7 @@ class Encoder:
         for p in parts:
             del p[0]
         wanted = set().union(*parts)
-        missing = list(wanted.difference(self.known))
-        ids = dict(zip(missing, self._plain([" " + m for m in missing])))
+        ids = self._chunks(list(wanted.difference(self.known)))
         if len(self.known) + len(ids) > CACHE_ENTRIES and 3 * len(ids) > len(wanted):
             # The texts have changed their vocabulary: start over with theirs.
             ids.update((w, self.known[w]) for w in wanted if w in self.known)
