@@ -1,0 +1,156 @@
+"""Secret scans: fixed patterns, and random strings found by token efficiency.
+
+A vocabulary learnt from natural text spends many tokens on random characters.
+Long unbroken strings with few characters per token are reported, unless they
+are known digests or identifiers. Offsets count code points, ends exclusive.
+"""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import re
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from gridsteps.llm.common import raw_texts, slices, worker_registry
+
+KINDS = ("assign", "access", "hex", "random")
+
+# The base patterns and their least lengths.
+ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+                    re.IGNORECASE | re.ASCII)
+ASSIGN_CHARS, ACCESS_CHARS, HEX_CHARS = 12, 18, 16
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]{16,}")
+ASSIGN_HINTS = (b"passw", b"secret", b"token", b"api")
+
+# Candidates of the token test.
+STRING = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+RATIO = 2.0
+# Characters of hexadecimal MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
+DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
+DIGEST = re.compile(r"(?:(?:md5|sha\d+)[-:=])?[0-9a-fA-F]+")
+UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+# Words of letters joined by single separators, with or without numbers at their ends.
+IDENTIFIER = re.compile(r"[A-Za-z]*[a-z]{3,}[A-Za-z]*\d{0,4}(?:[-_/=+][A-Za-z]*\d{0,4})*|[A-Za-z]+|[\d_/=+-]+")
+
+FOUND = "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
+
+
+def default_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def vocabulary(path: str):
+    """The vocabulary of a rank file, loaded once per worker process."""
+    held = worker_registry()
+    if ("ranks", path) not in held:
+        import public_tokenizers
+        import tiktoken
+
+        with open(path, "rb") as f:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        held["ranks", path] = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN,
+                                                mergeable_ranks=ranks, special_tokens={})
+    return held["ranks", path]
+
+
+def is_random(text: str, path: str, ratio: float = RATIO) -> bool:
+    """True for a string with few characters per token that is no known digest or identifier."""
+    if UUID.fullmatch(text) or IDENTIFIER.fullmatch(text):
+        return False
+    if DIGEST.fullmatch(text) and len(re.sub(r"^.*[-:=]", "", text)) in DIGEST_CHARS:
+        return False
+    return len(text) < ratio * len(vocabulary(path).encode_ordinary(text))
+
+
+def scan(raw: bytes, path: str, ratio: float = RATIO) -> list[tuple[int, int, int]]:
+    """(start, end, index in KINDS) of all spans of one text, in that order."""
+    lowered = raw.lower()
+    hinted = any(h in lowered for h in ASSIGN_HINTS)
+    longest = max(map(len, raw.split()), default=0)
+    if not hinted and longest < HEX_CHARS:
+        return []
+    text = raw.decode()
+    spans: list[tuple[int, int, int]] = []
+    if hinted:
+        spans += [(*m.span(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_CHARS]
+    if longest >= HEX_CHARS:
+        if b"AKIA" in raw:
+            spans += [(*m.span(), 1) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_CHARS]
+        spans += [(*m.span(), 2) for m in HEX.finditer(text)]
+        base = sorted(spans)
+        spans += [(*m.span(), 3) for m in STRING.finditer(text)
+                  if not any(s < m.end() and m.start() < e for s, e, _ in base) and is_random(m[0], path, ratio)]
+    return sorted(spans)
+
+
+def listed(spans: list[tuple[int, int, int]]) -> str:
+    return ",".join(f"{KINDS[k]}:{s}:{e}" for s, e, k in spans)
+
+
+def scan_documents(docs: DataFrame, path: str | None = None, ratio: float = RATIO) -> DataFrame:
+    """Counts per kind, digest of the base spans and all spans of every whole text.
+
+    A null text counts as empty and has no spans. Rows without doc_id and
+    repeated rows give a row each; other columns are not read.
+    """
+    path = path or default_path()
+
+    def find(batches):
+        for whole in batches:
+            for batch in slices(whole):
+                rows = []
+                for t in raw_texts(batch):
+                    spans = scan(t or b"", path, ratio)
+                    base = [s for s in spans if s[2] < 3]
+                    rows.append((*(sum(s[2] == k for s in spans) for k in range(4)),
+                                 hashlib.sha256(listed(base).encode()).hexdigest(), listed(spans)))
+                columns = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), *(pa.array(c, pa.int64()) for c in columns[:4]),
+                     pa.array(columns[4]), pa.array(columns[5])],
+                    names=[c.split()[0] for c in FOUND.split(", ")])
+
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return picked.mapInArrow(find, FOUND)
+
+
+def redact(docs: DataFrame, mark: str = "[redacted]", path: str | None = None, ratio: float = RATIO) -> DataFrame:
+    """The same rows with every span replaced by ``mark``; n_chars of changed rows follows the text."""
+    path = path or default_path()
+    schema = docs.schema
+    counted = "n_chars" in schema.names
+
+    def clean(batches):
+        for whole in batches:
+            for batch in slices(whole):
+                texts, chars, changed = raw_texts(batch), [], False
+                if counted:
+                    chars = batch.column(batch.schema.get_field_index("n_chars")).to_pylist()
+                for i, t in enumerate(texts):
+                    spans = scan(t or b"", path, ratio)
+                    if not spans:
+                        continue
+                    changed, text, parts, at = True, t.decode(), [], 0
+                    for s, e, _ in spans:
+                        if s >= at:
+                            parts += [text[at:s], mark]
+                        at = max(at, e)
+                    text = "".join(parts) + text[at:]
+                    texts[i] = text.encode()
+                    if counted:
+                        chars[i] = len(text)
+                if changed:
+                    k = batch.schema.get_field_index("text")
+                    batch = batch.set_column(k, batch.schema.field(k), pa.array(texts, pa.binary()).cast(batch.schema.field(k).type))
+                    if counted:
+                        k = batch.schema.get_field_index("n_chars")
+                        batch = batch.set_column(k, batch.schema.field(k), pa.array(chars, batch.schema.field(k).type))
+                yield batch
+
+    return docs.mapInArrow(clean, schema)
