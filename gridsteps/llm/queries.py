@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridsteps.llm import packing, token_files
+from gridsteps.llm import near_dup, packing, quality_rules, secrets, token_files, warc
 from gridsteps.llm.common import table
 
 
@@ -12,11 +12,32 @@ def op1_token_files(spark: SparkSession, d: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(table(spark, d, "documents")))
 
 
+def op3_warc_salvage(spark: SparkSession, d: str) -> DataFrame:
+    manifest = warc.write_warc(table(spark, d, "pages"))
+    return warc.page_records(warc.read_warc(manifest))
+
+
 def op4_concat_and_cut(spark: SparkSession, d: str) -> DataFrame:
     return packing.pieces(packing.pack_sequences(table(spark, d, "documents")))
 
 
+def op5_rule_ledger(spark: SparkSession, d: str) -> DataFrame:
+    return quality_rules.apply_policy(quality_rules.ledger(table(spark, d, "documents")), "web-2")
+
+
+def op9_odd_sketches(spark: SparkSession, d: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, d, "documents"))
+
+
+def op10_token_efficiency(spark: SparkSession, d: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op3_warc_salvage": op3_warc_salvage,
     "op4_concat_and_cut": op4_concat_and_cut,
+    "op5_rule_ledger": op5_rule_ledger,
+    "op9_odd_sketches": op9_odd_sketches,
+    "op10_token_efficiency": op10_token_efficiency,
 }
