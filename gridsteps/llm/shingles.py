@@ -73,8 +73,8 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
         if high - low >= words:
             sets.append(np.unique(windows[low:high - words + 1]))
         elif high > low:
-            own = (hashes[low:high] * _STEP[:high - low]).sum(dtype=np.uint64) + np.uint64(high - low) * _STEP[15]
-            sets.append(mix(np.array([own], np.uint64)))
+            own = (hashes[low:high] * _STEP[:high - low]).sum(dtype=np.uint64, keepdims=True)
+            sets.append(mix(own + np.full(1, high - low, np.uint64) * _STEP[15]))
         else:
             sets.append(np.empty(0, np.uint64))
     return sets
