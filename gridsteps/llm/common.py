@@ -9,7 +9,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridsteps.session import work_dir
 
@@ -58,3 +59,55 @@ def slices(batch: pa.RecordBatch, name: str = "text", size: int = SLICE_BYTES) -
 def worker_registry() -> dict:
     """A dict of the Python process; functions of this package reach workers by value, with globals of their own."""
     return sys.modules.setdefault("_gridsteps_worker", types.ModuleType("_gridsteps_worker")).__dict__
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores put before it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def running_sums(df: DataFrame, order: list[Column], weights: list[str]) -> tuple[DataFrame, list[int]]:
+    """The rows in a global order with sums over all rows before each, and the totals.
+
+    Adds ``before`` (an array with a sum per weight column, preceded by the
+    number of rows). Two passes: range partitions are sorted and summed on their
+    own and written; their totals, one row per partition, give the offsets.
+    Order columns should tell rows apart, so that ties can be split.
+    """
+    k = len(weights) + 1
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", part int, before array<long>"
+    at = [df.columns.index(w) for w in weights]
+
+    def add(batches):
+        part, sums = TaskContext.get().partitionId(), np.zeros(k, np.int64)
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            columns = [np.ones(batch.num_rows, np.int64)]
+            columns += [batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in at]
+            values = np.stack(columns, axis=1)
+            ends = sums + np.cumsum(values, axis=0)
+            sums = ends[-1]
+            before = pa.ListArray.from_arrays(np.arange(0, (batch.num_rows + 1) * k, k, dtype=np.int32),
+                                              pa.array((ends - values).ravel()))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(batch.num_rows, part, np.int32)), before],
+                names=[*batch.schema.names, "part", "before"])
+
+    spark = df.sparkSession
+    ordered = df.repartitionByRange(width_of(spark), *order).sortWithinPartitions(*order)
+    summed = stored(ordered.mapInArrow(add, schema), "running-sums")
+    own = ["count(*)", *(f"sum(`{w}`)" for w in weights)]
+    rows = summed.groupBy("part").agg(F.array(*(F.expr(e).cast("long") for e in own)).alias("t")).collect()
+    offsets, total = [], [0] * k
+    for r in sorted(rows, key=lambda r: r.part):
+        offsets.append((r.part, list(total)))
+        total = [x + y for x, y in zip(total, r.t)]
+    starts = spark.createDataFrame(offsets, "part int, offset array<long>")
+    # One row per shuffle partition.
+    found = summed.join(F.broadcast(starts), "part").withColumn(
+        "before", F.zip_with("before", "offset", lambda x, y: x + y)).drop("part", "offset")
+    return found, total
