@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridsteps.llm import near_dup, packing, quality_rules, secrets, token_files, warc
+from gridsteps.llm import hilbert, mixing, near_dup, packing, quality_rules, secrets, token_files, warc
 from gridsteps.llm.common import table
 
 
@@ -25,6 +25,14 @@ def op5_rule_ledger(spark: SparkSession, d: str) -> DataFrame:
     return quality_rules.apply_policy(quality_rules.ledger(table(spark, d, "documents")), "web-2")
 
 
+def op6_hilbert_shards(spark: SparkSession, d: str) -> DataFrame:
+    return hilbert.shard(table(spark, d, "documents"))
+
+
+def op7_pivotal_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"))
+
+
 def op9_odd_sketches(spark: SparkSession, d: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, d, "documents"))
 
@@ -38,6 +46,8 @@ QUERIES = {
     "op3_warc_salvage": op3_warc_salvage,
     "op4_concat_and_cut": op4_concat_and_cut,
     "op5_rule_ledger": op5_rule_ledger,
+    "op6_hilbert_shards": op6_hilbert_shards,
+    "op7_pivotal_mix": op7_pivotal_mix,
     "op9_odd_sketches": op9_odd_sketches,
     "op10_token_efficiency": op10_token_efficiency,
 }
