@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridsteps.llm import hilbert, mixing, near_dup, packing, quality_rules, secrets, token_files, warc
+from gridsteps.llm import ann, classifier, hilbert, mixing, near_dup, packing, quality_rules, secret_scan, token_files, warc
 from gridsteps.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_token_files(spark: SparkSession, d: str) -> DataFrame:
     return token_files.read_token_files(token_files.write_token_files(table(spark, d, "documents")))
 
 
+def op2_stable_projections(spark: SparkSession, d: str) -> DataFrame:
+    return ann.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op3_warc_salvage(spark: SparkSession, d: str) -> DataFrame:
     manifest = warc.write_warc(table(spark, d, "pages"))
     return warc.page_records(warc.read_warc(manifest))
@@ -33,21 +37,27 @@ def op7_pivotal_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"))
 
 
+def op8_fourier_quality(spark: SparkSession, d: str) -> DataFrame:
+    return classifier.score_quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def op9_odd_sketches(spark: SparkSession, d: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, d, "documents"))
 
 
 def op10_token_efficiency(spark: SparkSession, d: str) -> DataFrame:
-    return secrets.scan_documents(table(spark, d, "documents"))
+    return secret_scan.scan_documents(table(spark, d, "documents"))
 
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_stable_projections": op2_stable_projections,
     "op3_warc_salvage": op3_warc_salvage,
     "op4_concat_and_cut": op4_concat_and_cut,
     "op5_rule_ledger": op5_rule_ledger,
     "op6_hilbert_shards": op6_hilbert_shards,
     "op7_pivotal_mix": op7_pivotal_mix,
+    "op8_fourier_quality": op8_fourier_quality,
     "op9_odd_sketches": op9_odd_sketches,
     "op10_token_efficiency": op10_token_efficiency,
 }
