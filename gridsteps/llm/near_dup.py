@@ -17,9 +17,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from gridsteps.llm.common import raw_texts, slices, stored, width_of
+from gridsteps.llm.common import free_name, raw_texts, slices, stored, width_of
 from gridsteps.llm.components import components
 from gridsteps.llm.shingles import common, mix, shingle_sets
 
@@ -191,6 +191,12 @@ def _across(rows: DataFrame, width: int) -> DataFrame:
     return ordered.mapInArrow(compare, "a long, b long").distinct()
 
 
+def _repeated(named: DataFrame) -> bool:
+    """Whether any doc_id occurs more than once."""
+    counts = named.groupBy("doc_id").agg(F.count("*").alias("copies"))
+    return counts.agg(F.max("copies")).first()[0] not in (None, 1)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
@@ -203,8 +209,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     width = width_of(spark)
     every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     named = every.filter("doc_id IS NOT NULL")
-    repeats = named.groupBy("doc_id").agg(F.count("*").alias("copies")).filter("copies > 1")
-    repeated = bool(repeats.limit(1).count())
+    repeated = _repeated(named)
     if repeated:
         named = stored(named.groupBy("doc_id").agg(F.min("text").alias("text")), "near-texts")
     signed = stored(signatures(named), "near-signatures")
@@ -262,8 +267,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One row, with all columns, of each group of near duplicates; rows without doc_id stay."""
+    """One row, with all columns, of each group of near duplicates.
+
+    Rows without doc_id stay. Of rows that share a kept doc_id, one with the
+    smallest text stays.
+    """
     found = near_duplicates(docs)
-    dropped = found.filter("NOT kept").select(F.col("doc_id").alias("_near_dup_dropped")).distinct()
-    kept = docs.join(dropped, docs["doc_id"] == dropped["_near_dup_dropped"], "left_anti")
-    return kept
+    name = free_name(docs, "dropped_id")
+    dropped = found.filter("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    kept = docs.join(dropped, docs["doc_id"] == dropped[name], "left_anti")
+    if not _repeated(docs.filter("doc_id IS NOT NULL")):
+        return kept
+    place = free_name(docs, "place")
+    order = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    one = kept.filter("doc_id IS NOT NULL").withColumn(place, order).filter(F.col(place) == 1).drop(place)
+    return one.unionByName(kept.filter("doc_id IS NULL"))
