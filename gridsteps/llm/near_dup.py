@@ -7,10 +7,12 @@
    and is paired with the others. The XOR population count of two sketches
    estimates their similarity; pairs far below the threshold are dropped there,
    the others are confirmed on full shingle sets of the whole texts.
-3. Links give components. Buckets that still hold several components are compared
-   pair by pair across components, sketches in memory-bounded blocks, and what
-   passes is confirmed like the first pairs. Buckets inside one component have
-   nothing left to find, which is what keeps large groups of copies cheap.
+3. Links give components. In buckets that still hold several components, a few
+   other leaders are paired with the members of other components.
+4. What is still mixed after that is compared pair by pair across components,
+   sketches in memory-bounded blocks, and what passes is confirmed. Buckets
+   inside one component have nothing left to find, which is what keeps large
+   groups of copies cheap.
 """
 
 from __future__ import annotations
@@ -24,17 +26,16 @@ from gridsteps.llm.components import components
 from gridsteps.llm.shingles import common, mix, shingle_sets
 
 # Bands times rows samples; a pair at 0.75 misses every band with probability 6e-6.
-BANDS, ROWS, SAMPLES = 22, 3, 128
-SKETCH_BITS = 256
-# XOR bits of a pair at 0.75: 50 on average, standard deviation below 8.
-MAX_XOR = 84
+BANDS, ROWS, SAMPLES = 22, 3, 512
+SKETCH_BITS = 2048
+# XOR bits of a pair at 0.75: 227 on average, standard deviation below 17.5.
+MAX_XOR = 304
+LEADERS = 4
 THRESHOLD = 75
 BLOCK = 1024
 LEADER_ROWS = 1000
 
-SIGNATURE = ("doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, "
-             "s0 long, s1 long, s2 long, s3 long")
-SKETCH = ["s0", "s1", "s2", "s3"]
+SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
 _rng = np.random.default_rng(7919)
 _FACTOR = _rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -46,8 +47,8 @@ def minhashes(members: np.ndarray) -> np.ndarray:
     """The smallest permuted value of a set under each of the sample permutations."""
     short = (members >> np.uint64(32)).astype(np.uint32)
     least = np.full(SAMPLES, 0xFFFFFFFF, np.uint32)
-    for k in range(0, short.size, 2048):
-        permuted = (short[None, k:k + 2048] ^ _FLIP[:, None]) * _FACTOR[:, None]
+    for k in range(0, short.size, 512):
+        permuted = (short[None, k:k + 512] ^ _FLIP[:, None]) * _FACTOR[:, None]
         np.minimum(least, permuted.min(axis=1), out=least)
     return least
 
@@ -59,12 +60,12 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """Four 64-bit words per row of samples: parities of the samples hashed to 256 places."""
+    """64-bit words per row of samples: parities of the samples hashed to as many places as there are bits."""
     n = samples.shape[0]
     tagged = samples.astype(np.uint64) | (np.arange(SAMPLES, dtype=np.uint64) << np.uint64(32))
-    place = (mix(tagged) >> np.uint64(56)).astype(np.int64)
+    place = (mix(tagged) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)).astype(np.int64)
     counts = np.bincount((place + SKETCH_BITS * np.arange(n)[:, None]).ravel(), minlength=n * SKETCH_BITS)
-    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<u8").reshape(n, 4)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view("<u8").reshape(n, -1)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -82,7 +83,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     [batch.column(0), pa.array([s.size for s in sets], pa.int64()),
                      pa.array(np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
                      pa.array(np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)),
-                     pa.array(filled, pa.list_(pa.int64())), *(pa.array(sketch[:, k]) for k in range(4))],
+                     pa.array(filled, pa.list_(pa.int64())), pa.array(list(sketch), pa.list_(pa.int64()))],
                     names=[c.split()[0] for c in SIGNATURE.split(", ")])
 
     return docs.mapInArrow(sign, SIGNATURE)
@@ -90,11 +91,11 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 def _screen(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sizes and sketches allow the threshold."""
-    side = reps.select("doc_id", "n_shingles", *SKETCH)
+    side = reps.select("doc_id", "n_shingles", "sketch")
     left = side.select(*(F.col(c).alias(f"a_{c}") for c in side.columns))
     joined = pairs.join(side, pairs.b == side.doc_id).join(left, F.col("a") == F.col("a_doc_id"))
-    bits = sum((F.bit_count(F.col(s).bitwiseXOR(F.col(f"a_{s}"))) for s in SKETCH[1:]),
-               F.bit_count(F.col(SKETCH[0]).bitwiseXOR(F.col(f"a_{SKETCH[0]}"))))
+    differ = F.zip_with("sketch", "a_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
+    bits = F.aggregate(differ, F.lit(0), lambda total, n: total + n)
     sizes = (100 * F.least("n_shingles", "a_n_shingles") >= THRESHOLD * F.greatest("n_shingles", "a_n_shingles"))
     return joined.filter(sizes & (bits <= MAX_XOR)).select("a", "b")
 
@@ -137,39 +138,43 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 def _across(rows: DataFrame, width: int) -> DataFrame:
     """Pairs of different components in one bucket that pass the sketch and size tests.
 
-    ``rows``: key, blocks, doc_id, component, n_shingles, sketch. A bucket is cut
-    into blocks; each pair of blocks is compared in memory, and pairs leave the
-    task only if they pass.
+    ``rows``: key, band, blocks, doc_id, component, n_shingles, bands, sketch. A
+    bucket is cut into blocks; each pair of blocks is compared in memory, and a
+    pair leaves the task only if it passes, in the first band that it shares.
     """
     block = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
     i = F.least(F.col("block"), F.col("with"))
     j = F.greatest(F.col("block"), F.col("with"))
     dealt = rows.withColumn("block", block).withColumn(
         "with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "key", i.alias("i"), j.alias("j"), (F.col("block") == i).alias("left"),
-        "doc_id", "component", "n_shingles", *SKETCH)
+        "key", i.alias("i"), j.alias("j"), (F.col("block") == i).alias("left"), "band",
+        "doc_id", "component", "n_shingles", "bands", "sketch")
 
     def pairs_of(rows: list[tuple]) -> list[tuple[int, int]]:
         a = [r for r in rows if r[3]]
         b = a if rows[0][1] == rows[0][2] else [r for r in rows if not r[3]]
         if not a or not b:
             return []
-        column = lambda side, k: np.array([r[k] for r in side], np.int64)
-        out = []
-        b_id, b_comp, b_n = column(b, 4), column(b, 5), column(b, 6)
-        b_sketch = np.array([r[7:] for r in b], np.int64).view(np.uint64)
+        band, out = rows[0][4], []
+
+        def arrays(side):
+            return (*(np.array([r[k] for r in side], np.int64) for k in (5, 6, 7)),
+                    np.array([r[8] for r in side], np.int64), np.array([r[9] for r in side], np.int64).view(np.uint64))
+
+        b_id, b_comp, b_n, b_bands, b_sketch = arrays(b)
         for low in range(0, len(a), 256):
-            part = a[low:low + 256]
-            a_id, a_comp, a_n = column(part, 4)[:, None], column(part, 5)[:, None], column(part, 6)[:, None]
-            sketch = np.array([r[7:] for r in part], np.int64).view(np.uint64)
-            bits = sum(np.bitwise_count(sketch[:, k, None] ^ b_sketch[None, :, k]).astype(np.int16) for k in range(4))
-            ok = (bits <= MAX_XOR) & (a_comp != b_comp) & (
-                100 * np.minimum(a_n, b_n) >= THRESHOLD * np.maximum(a_n, b_n))
+            a_id, a_comp, a_n, a_bands, a_sketch = arrays(a[low:low + 256])
+            ok = (a_comp[:, None] != b_comp) & (
+                100 * np.minimum(a_n[:, None], b_n) >= THRESHOLD * np.maximum(a_n[:, None], b_n))
             if a is b:
-                ok &= a_id < b_id
-            for x, y in zip(*np.nonzero(ok)):
-                p, q = int(a_id[x, 0]), int(b_id[y])
-                out.append((min(p, q), max(p, q)))
+                ok &= a_id[:, None] < b_id
+            x, y = np.nonzero(ok)
+            for at in range(0, len(x), 1 << 14):
+                p, q = x[at:at + (1 << 14)], y[at:at + (1 << 14)]
+                near = np.bitwise_count(a_sketch[p] ^ b_sketch[q]).sum(axis=1, dtype=np.int64) <= MAX_XOR
+                near &= ~(a_bands[p, :band] == b_bands[q, :band]).any(axis=1)
+                u, v = a_id[p[near]], b_id[q[near]]
+                out += zip(np.minimum(u, v).tolist(), np.maximum(u, v).tolist())
         return out
 
     def compare(batches):
@@ -188,7 +193,24 @@ def _across(rows: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
 
     ordered = dealt.repartition(width, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return ordered.mapInArrow(compare, "a long, b long").distinct()
+    return ordered.mapInArrow(compare, "a long, b long")
+
+
+def _mixed(buckets: DataFrame, where: DataFrame) -> DataFrame:
+    """Rows of the buckets in which several components meet, with their component."""
+    placed = buckets.join(where, "doc_id")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
+        "low != high").select("key")
+    return placed.join(mixed, "key")
+
+
+def _merged(where: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after links (a, b) between documents have been added."""
+    ends = [where.select(F.col("doc_id").alias(f"{e}_id"), F.col("component").alias(f"{e}_in")) for e in "ab"]
+    lifted = links.join(ends[0], F.col("a") == F.col("a_id")).join(ends[1], F.col("b") == F.col("b_id"))
+    found = components(lifted.select("a_in", "b_in")).withColumnRenamed("component", "joined")
+    return stored(where.join(found, F.col("component") == F.col("vertex"), "left").select(
+        "doc_id", F.coalesce("joined", "component").alias("component")), "near-components")
 
 
 def _repeated(named: DataFrame) -> bool:
@@ -220,40 +242,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = stored(filled.select("doc_id", *identity).join(classes, identity).select("doc_id", "rep"), "near-members")
     reps = stored(signed.join(members.filter("doc_id = rep").select("doc_id"), "doc_id"), "near-classes")
 
-    banded = reps.select("doc_id", F.explode("bands").alias("key"))
+    banded = reps.select("doc_id", F.posexplode("bands").alias("band", "key"))
     shared = banded.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("size")).filter("size > 1")
     buckets = stored(banded.join(shared, "key"), "near-buckets")
+    holders = stored(buckets.select("doc_id", F.col("doc_id").alias("component")).distinct(), "near-holders")
+    texts = stored(named.join(holders.select(F.col("doc_id").alias("holder")), F.col("doc_id") == F.col("holder"),
+                              "left_semi"), "near-candidates", "zstd")
 
-    holders = buckets.select(F.col("doc_id").alias("holder")).distinct()
-    texts = stored(named.join(holders, F.col("doc_id") == F.col("holder"), "left_semi"), "near-candidates", "zstd")
+    # Every member with the leader of its bucket.
     first = stored(_screen(buckets.filter("doc_id != leader").select(
         F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct(), reps), "near-pairs")
-    links = stored(confirm(first, texts, width), "near-links")
-    found = components(links)
-
-    # Buckets in which different components still meet.
-    placed = buckets.join(found, F.col("doc_id") == F.col("vertex"), "left").select(
-        "key", "doc_id", "size", F.coalesce("component", "doc_id").alias("component"))
-    placed = stored(placed, "near-placed")
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter(
-        "low != high").select("key")
-    rows = placed.join(mixed, "key").join(reps.select("doc_id", "n_shingles", *SKETCH), "doc_id").withColumn(
+    where = _merged(holders, stored(confirm(first, texts, width), "near-links"))
+
+    # Where components still meet, with a few more leaders.
+    rows = stored(_mixed(buckets.select("key", "doc_id"), where), "near-mixed")
+    place = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("doc_id", F.lit(LEADERS)), "doc_id"))
+    leaders = rows.withColumn("place", place).filter(F.col("place") <= LEADERS).select(
+        F.col("key").alias("led"), F.col("doc_id").alias("head"), F.col("component").alias("head_in"))
+    led = rows.join(leaders, (F.col("key") == F.col("led")) & (F.col("component") != F.col("head_in"))).select(
+        F.least("doc_id", "head").alias("a"), F.greatest("doc_id", "head").alias("b")).distinct()
+    second = stored(_screen(led.join(first, ["a", "b"], "left_anti"), reps), "near-pairs")
+    where = _merged(where, stored(confirm(second, texts, width), "near-links"))
+
+    # The rest, exactly.
+    rows = _mixed(buckets.select("key", "band", "doc_id", "size"), where).join(
+        reps.select("doc_id", "n_shingles", "bands", "sketch"), "doc_id").withColumn(
         "blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
-    second = stored(_across(rows, width).join(first, ["a", "b"], "left_anti"), "near-rest")
-    more = confirm(second, texts, width)
-    place = lambda c, name: (
-        found.select(F.col("vertex").alias(f"{name}_v"), F.col("component").alias(f"{name}_c")),
-        F.col(c) == F.col(f"{name}_v"))
-    lifted = more.join(*place("a", "x"), "left").join(*place("b", "y"), "left").select(
-        F.coalesce("x_c", "a").alias("a"), F.coalesce("y_c", "b").alias("b"))
-    merged = components(lifted)
-
-    final = (
-        members.join(found, F.col("rep") == F.col("vertex"), "left")
-        .select("doc_id", F.coalesce("component", "rep").alias("one"))
-        .join(merged.select(F.col("vertex").alias("one"), F.col("component").alias("two")), "one", "left")
-        .select("doc_id", F.coalesce("two", "one").alias("component_id"))
-    )
+    third = stored(_across(rows, width).join(first.unionByName(second), ["a", "b"], "left_anti"), "near-pairs")
+    where = _merged(where, stored(confirm(third, texts, width), "near-links"))
+
+    final = members.join(where.select(F.col("doc_id").alias("vertex"), "component"), F.col("rep") == F.col("vertex"), "left")
+    final = final.select("doc_id", F.coalesce("component", "rep").alias("component_id"))
     result = signed.select("doc_id", "n_shingles").join(
         final.withColumnRenamed("doc_id", "member"), F.col("doc_id") == F.col("member"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
