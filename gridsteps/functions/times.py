@@ -6,7 +6,8 @@ from pyspark.sql import Column, functions as F
 
 # Unit words of a time axis and their length.
 _MONTHS = {"month": 1, "year": 12}
-_DAYS = {"day": 1}
+_DAYS = {"day": 1, "week": 7}
+_SECONDS = {"hour": 3600, "minute": 60, "second": 1}
 
 
 def year_end(year: Column) -> Column:
@@ -26,7 +27,8 @@ def decode_time(offset: Column, units: Column, position: Column | None = None,
                 mode: str = "unit") -> Column:
     """Year of a time coordinate.
 
-    ``mode="unit"`` adds the stored offset in its unit to the reference date.
+    ``mode="unit"`` adds the stored offset in its unit, seconds to years, to the
+    reference date; a unit of any other name is an error.
     ``mode="month_index"`` ignores the stored offsets and counts whole months
     from the reference by position; a reference inside a month rolls to the
     next first of month.
@@ -46,4 +48,9 @@ def decode_time(offset: Column, units: Column, position: Column | None = None,
         date = F.when(unit == word, F.add_months(reference, step * months)).otherwise(date)
     for word, days in _DAYS.items():
         date = F.when(unit == word, F.date_add(reference, step * days)).otherwise(date)
-    return F.year(date)
+    known = [*_MONTHS, *_DAYS, *_SECONDS]
+    for word, seconds in _SECONDS.items():
+        days = F.floor(offset.cast("double") * seconds / 86400).cast("int")
+        date = F.when(unit == word, F.date_add(reference, days)).otherwise(date)
+    unknown = F.raise_error(F.concat(F.lit("unknown unit of a time axis: "), units)).cast("int")
+    return F.when(unit.isin(*known) | units.isNull(), F.year(date)).otherwise(unknown)

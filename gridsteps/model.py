@@ -13,7 +13,7 @@ VALUES = T.StructType([
     T.StructField("cell", T.LongType()),
     T.StructField("band", T.IntegerType()),
     T.StructField("year", T.IntegerType()),
-    T.StructField("step", T.IntegerType()),
+    T.StructField("step", T.LongType()),
     T.StructField("value", T.DoubleType()),
 ])
 

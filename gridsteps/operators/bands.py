@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridsteps.model import require_columns
-from gridsteps.session import small_side
 
 # Irrigation systems by number of systems in a band axis.
 SYSTEMS = {
@@ -47,7 +46,7 @@ def band_labels_from_names(variables: DataFrame) -> DataFrame:
 
 def label_bands(values: DataFrame, labels: DataFrame) -> DataFrame:
     """Attach ``band_label`` by (variable, band); unlabelled bands give NULL."""
-    dim = small_side(labels.select("variable", "band", "band_label"))
+    dim = labels.select("variable", "band", "band_label")
     return values.join(dim, ["variable", "band"], "left")
 
 
@@ -130,7 +129,7 @@ def steps_to_bands(values: DataFrame) -> DataFrame:
         .otherwise(F.col("band"))
     )
     return (
-        values.join(small_side(axis), ["variable", "year", "step"])
+        values.join(axis, ["variable", "year", "step"])
         .withColumn("band", band.cast("int"))
         .drop("__pos", "__nstep", "__maxband", "step")
     )

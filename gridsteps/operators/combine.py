@@ -50,9 +50,12 @@ def write_years(values: DataFrame, path: str) -> None:
 def overlay(base: DataFrame, new: DataFrame) -> DataFrame:
     """Overwrite the base where ``new`` has the same keys, NULL included.
 
-    Keys of ``new`` that the base lacks are ignored.
+    Keys of ``new`` that the base lacks are ignored; a key that it repeats is an
+    error.
     """
-    update = new.select(*KEYS, F.struct("value").alias("__new"))
+    twice = F.raise_error(F.concat_ws(" ", F.lit("repeated key in the overlay:"), *KEYS)).cast("double")
+    update = new.groupBy(*KEYS).agg(F.struct(F.when(F.count(F.lit(1)) > 1, twice).otherwise(
+        F.first("value")).alias("value")).alias("__new"))
     return (
         base.join(update, KEYS, "left")
         .withColumn("value", F.when(F.col("__new").isNotNull(), F.col("__new.value"))

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from gridsteps.functions.missing import cast_by_datatype, decode_missing, encode_missing
 from gridsteps.model import KEYS, STATIC_VARIABLES, require_columns
-from gridsteps.session import small_side
 
 
 def attach_metadata(values: DataFrame, variables: DataFrame, strict: bool = True) -> DataFrame:
@@ -32,7 +31,7 @@ def attach_metadata(values: DataFrame, variables: DataFrame, strict: bool = True
     ]
     if "global_attrs" in variables.columns:
         picked += [F.col(f"global_attrs.{a}").alias(a) for a in ("institution", "contact", "comment")]
-    return values.join(small_side(variables.select(*picked)), "variable", "left")
+    return values.join(variables.select(*picked), "variable", "left")
 
 
 def grid_to_cells(grid: DataFrame) -> DataFrame:
@@ -57,7 +56,7 @@ def template(cells: DataFrame, bands: DataFrame, variables: Sequence[str],
     shuffled while the band table stays within the broadcast bound.
     """
     names = F.array(*[F.lit(v) for v in variables])
-    axis = small_side(bands.select("variable", F.col("band").cast("int").alias("band")))
+    axis = bands.select("variable", F.col("band").cast("int").alias("band"))
     keys = (
         cells.select(F.col("cell").cast("bigint").alias("cell"))
         .withColumn("variable", F.explode(names)).join(axis, "variable")
@@ -105,7 +104,7 @@ def densify(values: DataFrame, cells: DataFrame, bands: DataFrame, variables: Se
 
 
 def _with_datatype(values: DataFrame, variables: DataFrame) -> DataFrame:
-    dim = small_side(variables.select("variable", F.col("datatype").alias("__datatype")))
+    dim = variables.select("variable", F.col("datatype").alias("__datatype"))
     return values.join(dim, "variable", "left")
 
 
@@ -142,7 +141,7 @@ def apply_scalar(values: DataFrame, variables: DataFrame, only_static: bool = Fa
     if only_static:
         scale = F.when(F.col("variable").isin(*STATIC_VARIABLES), scale).otherwise(F.lit(1.0))
     return (
-        values.join(small_side(variables.select("variable", F.col("scalar").alias("__scalar"))),
+        values.join(variables.select("variable", F.col("scalar").alias("__scalar")),
                     "variable", "left")
         .withColumn("value", F.col("value") * scale)
         .drop("__scalar")

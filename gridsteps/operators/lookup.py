@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from gridsteps.functions.text import lcs_length, match_masks, normalise, score_of
-from gridsteps.session import small_side
 
 BLOCK = 512
-MAX_NAMES = 20_000
 SALTS = 64
-BEST = "name string, code string, score int"
 
 
 def code_to_name(df: DataFrame, dim: DataFrame, column: str = "country_id",
@@ -25,7 +18,7 @@ def code_to_name(df: DataFrame, dim: DataFrame, column: str = "country_id",
     """
     names = dim.select(F.col("id").cast("bigint").alias("__id"), F.col("name").alias("__name"))
     return (
-        df.join(small_side(names), F.col(column).cast("bigint") == F.col("__id"), "left")
+        df.join(names, F.col(column).cast("bigint") == F.col("__id"), "left")
         .withColumn(out, F.coalesce(F.col("__name"), F.col(column).cast("string")))
         .drop("__id", "__name")
     )
@@ -45,7 +38,7 @@ def code_to_iso(df: DataFrame, dim: DataFrame, iso: DataFrame, column: str = "co
     code = F.when(F.col("__id").isNull(), F.col(column).cast("string")).otherwise(
         F.coalesce(F.col("__code"), unknown) if strict else F.col("__code"))
     return (
-        df.join(small_side(codes), F.col(column).cast("bigint") == F.col("__id"), "left")
+        df.join(codes, F.col(column).cast("bigint") == F.col("__id"), "left")
         .withColumn(out, code)
         .drop("__id", "__name", "__code")
     )
@@ -56,90 +49,24 @@ def iso_to_name(df: DataFrame, iso: DataFrame, column: str = "code",
     """Lower-case name of a code."""
     names = iso.select(F.col("code").alias("__code"), F.lower("name").alias("__name"))
     return (
-        df.join(small_side(names), F.col(column) == F.col("__code"), "left")
+        df.join(names, F.col(column) == F.col("__code"), "left")
         .withColumn(out, F.col("__name")).drop("__code", "__name")
     )
 
 
-def _best_name(entries: list[tuple[str, str | None, str]]):
-    """Vectorised scorer of texts against (name, code, text) entries in order.
-
-    One machine word per name holds which of its positions are still free; a
-    character of the query updates the words of all names at once. Names longer
-    than a word use Python integers with the same update.
-    """
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        lengths = np.array([len(text) for _, _, text in entries], dtype="i8")
-        short = np.flatnonzero(lengths < 64)
-        long = np.flatnonzero(lengths >= 64)
-        one = np.uint64(1)
-        full = (one << lengths[short].astype("u8")) - one
-        masks: dict[str, np.ndarray] = {}
-        for slot, i in enumerate(short):
-            for bit, c in enumerate(entries[i][2]):
-                masks.setdefault(c, np.zeros(len(short), "u8"))[slot] |= one << np.uint64(bit)
-
-        def common(text: str) -> np.ndarray:
-            found = np.zeros(len(entries), dtype="i8")
-            free = full.copy()
-            for c in text:
-                if c in masks:
-                    hit = free & masks[c]
-                    free = ((free + hit) | (free - hit)) & full
-            found[short] = lengths[short] - np.bitwise_count(free)
-            for i in long:
-                name = entries[i][2]
-                whole = (1 << len(name)) - 1
-                word = whole
-                for c in text:
-                    hit = word & sum(1 << k for k, d in enumerate(name) if d == c)
-                    word = ((word + hit) | (word - hit)) & whole
-                found[i] = len(name) - word.bit_count()
-            return found
-
-        for batch in batches:
-            rows = []
-            for text in batch:
-                total = np.maximum(lengths + len(text), 1)
-                scores = np.rint(200.0 * common(text) / total).astype("i4")
-                best = int(np.argmax(scores))  # the first of equals
-                rows.append((entries[best][0], entries[best][1], int(scores[best])))
-            yield pd.DataFrame(rows, columns=["name", "code", "score"])
-
-    return score
-
-
-def fuzzy_match(queries: DataFrame, column: str, names: DataFrame,
-                max_names: int = MAX_NAMES) -> DataFrame:
+def fuzzy_match(queries: DataFrame, column: str, names: DataFrame) -> DataFrame:
     """Best name for every distinct query text: (query, name, code, score).
 
     ``names`` carries (pos, name, code); the smallest ``pos`` wins a tie, and
-    there is no threshold. Up to ``max_names`` counted names go to every task,
-    which scores a text against all of them at once. A longer list is split
-    into blocks; each text meets every block through a salted key and keeps one
-    best row per block. Neither way makes a row per pair.
+    there is no threshold. Names are gathered in blocks of ``BLOCK`` positions;
+    each text meets every block through a salted key and keeps one best row per
+    block, so no pair becomes a row. An empty name table is an error.
     """
-    ordered = names.select(
+    names = names.select(
         F.col("pos").cast("bigint").alias("pos"), F.col("name").cast("string").alias("name"),
         F.col("code").cast("string").alias("code"), normalise(F.col("name")).alias("text"))
-    texts = queries.select(F.col(column).alias("query")).filter("query is not null").distinct()
-    # Few bytes but much work per row: a fixed count by a key of its own keeps
-    # tasks apart that would be merged by size.
-    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    texts = texts.repartition(tasks, F.xxhash64("query")).withColumn(
+    texts = queries.select(F.col(column).alias("query")).filter("query is not null").distinct().withColumn(
         "text", normalise(F.col("query")))
-
-    head = ordered.limit(max_names + 1).collect()
-    if not head:
-        raise ValueError("the name table is empty")
-    if len(head) <= max_names:
-        head.sort(key=lambda r: r.pos)
-        score = F.pandas_udf(_best_name([(r.name, r.code, r.text) for r in head]), BEST)
-        return texts.withColumn("best", score("text")).select("query", "best.*")
-    return _match_blocks(texts, ordered)
-
-
-def _match_blocks(texts: DataFrame, names: DataFrame) -> DataFrame:
     entry = F.struct("pos", "name", "code", "text", match_masks(F.col("text")).alias("masks"))
     blocks = (
         names.groupBy(F.expr(f"pos div {BLOCK}").alias("block"))
@@ -147,7 +74,8 @@ def _match_blocks(texts: DataFrame, names: DataFrame) -> DataFrame:
              .alias("entries"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
-    top = names.agg(F.expr(f"max(pos) div {BLOCK}")).scalar()
+    top = names.agg(F.coalesce(F.expr(f"max(pos) div {BLOCK}"), F.raise_error(
+        F.lit("the name table is empty")).cast("bigint"))).scalar()
     spread = (
         texts.withColumn("chars", F.split("text", ""))
         .withColumn("salt", F.pmod(F.hash("query"), F.lit(SALTS)))
@@ -175,9 +103,12 @@ def _match_blocks(texts: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def resolve_variable(df: DataFrame, outputs: DataFrame, column: str = "index") -> DataFrame:
-    """Variable name of a numeric output index; ``outputs`` carries (index, name)."""
+    """Variable name of a numeric output index; ``outputs`` carries (index, name).
+
+    An index that the table lacks keeps its rows, with a NULL variable.
+    """
     names = outputs.select(F.col("index").alias("__index"), F.col("name").alias("variable"))
-    return df.join(small_side(names), F.col(column) == F.col("__index")).drop("__index")
+    return df.join(names, F.col(column) == F.col("__index"), "left").drop("__index")
 
 
 def input_type_rules(inputs: DataFrame) -> DataFrame:

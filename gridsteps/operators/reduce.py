@@ -12,7 +12,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridsteps.model import KEYS
-from gridsteps.session import small_side, small_table
 
 _HOW: dict[str, Callable[[str], Column]] = {
     "mean": F.avg,
@@ -134,63 +133,39 @@ def sort_axes(values: DataFrame, *by: str) -> DataFrame:
     return values.orderBy(*(by or KEYS))
 
 
-def quantile(values: DataFrame, q: float, by: Sequence[str], large: int = 1_000_000,
-             accuracy: int = 100_000) -> DataFrame:
-    """Exact quantile per group with linear interpolation.
+def quantile(values: DataFrame, q: float, by: Sequence[str], buckets: int = 64) -> DataFrame:
+    """Exact quantile per group with linear interpolation, one way for every group size.
 
-    Groups of at most ``large`` rows, counted first, use the exact aggregate. A
-    larger group never meets in one task as a whole; see :func:`_large_quantile`.
+    Rows become counts per (group, value) first. A sketch of the distinct values
+    cuts each group into ``buckets`` ordered runs; sums per run tell which runs
+    hold the two wanted ranks, and only the values of those runs are ordered. No
+    group meets in one task as a whole.
     """
-    by = list(by)
-    present = values.filter(F.col("value").isNotNull()).select(*by, "value")
-
-    def direct(df: DataFrame) -> DataFrame:
-        return df.groupBy(*by).agg(F.percentile("value", F.lit(q)).alias("value"))
-
-    sizes = present.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > large)
-    found = small_table(sizes)
-    if found is None:
-        big = sizes
-    elif found.num_rows == 0:
-        return direct(present)
-    else:
-        big = F.broadcast(values.sparkSession.createDataFrame(found, schema=sizes.schema))
-    rest = present.join(big.select(*by), by, "left_anti")
-    return direct(rest).unionByName(_large_quantile(present.join(big, by), q, by, accuracy))
-
-
-def _large_quantile(rows: DataFrame, q: float, by: list[str], accuracy: int) -> DataFrame:
-    """Quantile of crowded groups; ``rows`` carries the group size as ``n``.
-
-    A sketch brackets the wanted rank within a few parts of ``accuracy``, counts
-    below the bracket are summed in partial aggregates, and only the distinct
-    values inside it are ordered. If a bracket misses the rank, the exact
-    aggregate over value counts decides.
-    """
-    counts = rows.groupBy(*by, "n", "value").agg(F.count(F.lit(1)).alias("f"))
-    margin = 5.0 / accuracy
-    ends = [max(0.0, q - margin), min(1.0, q + margin)]
-    bracket = (
-        rows.groupBy(*by).agg(F.percentile_approx("value", ends, accuracy).alias("e"))
-        .select(*by, F.col("e")[0].alias("lo"), F.col("e")[1].alias("hi"))
-    )
-    marked = counts.join(small_side(bracket), by)
-    below = marked.groupBy(*by).agg(
-        F.sum(F.when(F.col("value") < F.col("lo"), F.col("f")).otherwise(0)).alias("below"))
+    group = [F.col(c) for c in by] or [F.lit(0).alias("__all")]
+    counts = values.filter(F.col("value").isNotNull()).groupBy(*group, "value").agg(
+        F.count(F.lit(1)).alias("f"))
+    by = list(by) or ["__all"]
+    steps = [k / buckets for k in range(1, buckets)]
+    cuts = counts.groupBy(*by).agg(F.percentile_approx("value", steps, 20 * buckets).alias("cuts"))
+    placed = counts.join(cuts, by).select(
+        *by, "value", "f", F.size(F.filter("cuts", lambda c: c < F.col("value"))).alias("run"))
+    runs = placed.groupBy(*by, "run").agg(F.sum("f").alias("size"))
+    ordered = Window.partitionBy(*by).orderBy("run")
     rank = F.col("n") - 1
-    low_rank = F.floor(rank * q)
-    running = Window.partitionBy(*by).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        marked.filter(F.col("value").between(F.col("lo"), F.col("hi")))
-        .join(below, by)
-        .withColumn("upto", F.col("below") + F.sum("f").over(running))
-        .groupBy(*by, "n", "below")
-        .agg(F.min(F.when(F.col("upto") > low_rank, F.col("value"))).alias("x0"),
-             F.min(F.when(F.col("upto") > F.least(low_rank + 1, rank), F.col("value"))).alias("x1"))
-        .filter((F.col("below") <= low_rank) & F.col("x0").isNotNull() & F.col("x1").isNotNull())
+    low = F.floor(rank * q)
+    wanted = (
+        runs.withColumn("upto", F.sum("size").over(ordered))
+        .withColumn("n", F.sum("size").over(Window.partitionBy(*by)))
+        .withColumn("low", low).withColumn("high", F.least(low + 1, rank))
+        .filter((F.col("upto") > F.col("low")) & (F.col("upto") - F.col("size") <= F.col("high")))
+        .select(*by, "run", "n", "low", "high", (F.col("upto") - F.col("size")).alias("before"))
     )
-    part = rank * q - low_rank
-    bracketed = found.select(*by, (F.col("x0") * (1 - part) + F.col("x1") * part).alias("value"))
-    repaired = counts.join(found.select(*by), by, "left_anti").groupBy(*by).agg(
-        F.percentile("value", F.lit(q), F.col("f")).alias("value"))
-    return bracketed.unionByName(repaired)
+    inside = Window.partitionBy(*by, "run").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = placed.join(wanted, [*by, "run"]).withColumn("upto", F.col("before") + F.sum("f").over(inside))
+    found = reached.groupBy(*by).agg(
+        F.first("n").alias("n"), F.first("low").alias("low"),
+        F.min(F.when(F.col("upto") > F.col("low"), F.col("value"))).alias("x0"),
+        F.min(F.when(F.col("upto") > F.col("high"), F.col("value"))).alias("x1"))
+    part = rank * q - F.col("low")
+    return found.withColumn("value", F.col("x0") * (1 - part) + F.col("x1") * part).select(
+        *(c for c in by if c != "__all"), "value")

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from gridsteps.session import small_side
 
 
 def select_years(values: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -47,10 +46,10 @@ def clamp_years(values: DataFrame, variables: DataFrame, start: int | None, end:
     partitions before any variable is looked at.
     """
     lo, hi = clamped_bounds(F.col("firstyear"), F.col("lastyear"), start, end, default_year)
-    bounds = small_side(variables.select("variable", lo.alias("__lo"), hi.alias("__hi")))
-    widest = bounds.agg(F.min("__lo"), F.max("__hi")).first()
+    bounds = variables.select("variable", lo.alias("__lo"), hi.alias("__hi"))
+    widest = [bounds.agg(f(c)).scalar() for f, c in ((F.min, "__lo"), (F.max, "__hi"))]
     return (
-        select_years(values, *widest).join(bounds, "variable")
+        values.filter(F.col("year").between(*widest)).join(bounds, "variable")
         .filter(F.col("year").between(F.col("__lo"), F.col("__hi")))
         .drop("__lo", "__hi")
     )
@@ -66,6 +65,14 @@ def align_years(values: DataFrame) -> DataFrame:
     return values.withColumn("year", top.cast("int"))
 
 
+def observed_calendar(values: DataFrame, start_coupling: int) -> DataFrame:
+    """Every year from the first to the last of a table, with its phase."""
+    span = values.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
+    years = span.select(F.explode(F.sequence("lo", "hi")).alias("year"))
+    return years.withColumn(
+        "phase", F.when(F.col("year") < start_coupling, "historic").otherwise("coupled"))
+
+
 def cell_range(spark: SparkSession, start: int, end: int, by_id: bool = True) -> DataFrame:
     """Cells start..end inclusive, as ids or as 0-based indices."""
     if by_id:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from gridsteps.model import MISSING_INT
 from gridsteps.operators.numbering import dense_index
-from gridsteps.session import small_side
 
 # Neighbours kept per cell, and radius in cell sizes.
 MAX_NEIGHBOURS = 8
@@ -169,7 +168,8 @@ def select_nearest(raster: DataFrame, cells: DataFrame, spacing: float | None =
     """Raster rows at the point nearest to each cell, per axis independently.
 
     ``raster`` carries lon and lat plus any further columns; the result carries
-    ``cell`` and those columns, with the raster point as ``rlon``, ``rlat``.
+    ``cell`` and those columns, with the raster point as ``rlon``, ``rlat``. A
+    cell keeps its row, with NULL, where the raster has no such point.
     With ``spacing`` both raster axes are regular and free of gaps, so the point
     is computed instead of searched.
     """
@@ -191,9 +191,9 @@ def select_nearest(raster: DataFrame, cells: DataFrame, spacing: float | None =
         for c in ("lon", "lat"):
             found = nearest_on_axis(targets, source, c).select(
                 F.col("target").alias(c), F.col("nearest").alias(f"r{c}"))
-            snapped = snapped.join(found, c)
+            snapped = snapped.join(found, c, "left")
     points = source.withColumnRenamed("lon", "rlon").withColumnRenamed("lat", "rlat")
-    return snapped.select("cell", "rlon", "rlat").join(points, ["rlon", "rlat"])
+    return snapped.select("cell", "rlon", "rlat").join(points, ["rlon", "rlat"], "left")
 
 
 def extract_region(cells: DataFrame, countries: DataFrame, code: str) -> DataFrame:
@@ -203,7 +203,7 @@ def extract_region(cells: DataFrame, countries: DataFrame, code: str) -> DataFra
     ``country_id``, ``countries`` carries ``id`` and ``code``.
     """
     wanted = countries.filter(F.col("code") == code).select(F.col("id").alias("country_id"))
-    kept = cells.join(small_side(wanted), "country_id", "left_semi")
+    kept = cells.join(wanted, "country_id", "left_semi")
     return dense_index(kept, "cell", "new_cell")
 
 

@@ -11,7 +11,10 @@ from gridsteps.functions.missing import is_integer_type, type_word
 from gridsteps.model import KEYS
 from gridsteps.operators.bands import subannual_violations
 from gridsteps.operators.cube import on_template
-from gridsteps.session import small_side
+
+
+# What each integer type holds; bytes are unsigned, as flat files store them.
+INTEGER_RANGES = {"byte": (0, 255), "short": (-32768, 32767), "int": (-2147483648, 2147483647)}
 
 
 def _violations(df: DataFrame, rule: str, detail: Column) -> DataFrame:
@@ -24,14 +27,17 @@ def _violations(df: DataFrame, rule: str, detail: Column) -> DataFrame:
 
 
 def check_types(values: DataFrame, registry: DataFrame) -> DataFrame:
-    """Fractions in integer variables, and types nobody knows.
+    """Fractions and out-of-range values in integer variables, and types nobody knows.
 
     ``registry`` carries (variable, datatype).
     """
     declared = registry.select("variable", "datatype")
-    fractions = values.join(
-        small_side(declared.filter(is_integer_type(F.col("datatype")))), "variable"
-    ).filter(F.col("value") != F.floor(F.col("value")))
+    whole = values.join(declared.filter(is_integer_type(F.col("datatype"))), "variable")
+    word = type_word(F.col("datatype"))
+    outside = F.lit(False)
+    for name, (low, high) in INTEGER_RANGES.items():
+        outside = F.when(word == name, ~F.col("value").between(low, high)).otherwise(outside)
+    fractions = whole.filter((F.col("value") != F.floor(F.col("value"))) | outside)
     unknown = declared.filter(type_word(F.col("datatype")).isNull())
     return _violations(fractions, "type", F.col("value")).unionByName(
         _violations(unknown, "datatype", F.col("datatype")))
@@ -44,7 +50,7 @@ def check_unknown(values: DataFrame, registry: DataFrame) -> DataFrame:
     return _violations(lost, "unknown", F.col("n"))
 
 
-def check_counts(values: DataFrame, registry: DataFrame, ncell: int,
+def check_counts(values: DataFrame, registry: DataFrame, ncell: int | Column,
                  lenient: bool = False) -> DataFrame:
     """Cells and bands per (variable, year) against the registry's ``nband``.
 
@@ -52,7 +58,9 @@ def check_counts(values: DataFrame, registry: DataFrame, ncell: int,
     whose cell count differs. Distinct keys are counted from one aggregate over
     the full key, so no step depends on a single crowded (variable, year).
     """
-    keys = values.groupBy("variable", "year", "cell", "band").agg(F.count(F.lit(1)).alias("n"))
+    # Both aggregates share one exchange by (variable, year, cell).
+    dealt = values.select("variable", "year", "cell", "band").repartition("variable", "year", "cell")
+    keys = dealt.groupBy("variable", "year", "cell", "band").agg(F.count(F.lit(1)).alias("n"))
     per_cell = keys.groupBy("variable", "year", "cell").agg(
         F.count(F.lit(1)).alias("bands"), F.max("band").alias("top"))
     shape = per_cell.groupBy("variable", "year").agg(
@@ -93,21 +101,22 @@ def check_metadata(variables: DataFrame) -> DataFrame:
         " ", F.col("cellsize_lon").cast("string"), F.col("cellsize_lat").cast("string")))
 
 
-def check_streams(inputs: DataFrame, outputs: DataFrame, ncell: int, config: dict) -> DataFrame:
+def check_streams(inputs: DataFrame, outputs: DataFrame, ncell: int | Column, config: dict) -> DataFrame:
     """Counts of cells, inputs and outputs as configured, at least one of each.
 
-    ``config`` holds ncell, ninput and noutput.
+    ``config`` holds ncell, ninput and noutput, as numbers or columns.
     """
+    column = lambda x: x if isinstance(x, Column) else F.lit(x)
     counted = inputs.agg(F.count(F.lit(1)).alias("n")).select(F.lit("ninput").alias("what"), "n")
     counted = counted.unionByName(
         outputs.agg(F.count(F.lit(1)).alias("n")).select(F.lit("noutput").alias("what"), "n"))
-    expected = F.when(F.col("what") == "ninput", F.lit(config["ninput"])).otherwise(
-        F.lit(config["noutput"]))
+    expected = F.when(F.col("what") == "ninput", column(config["ninput"])).otherwise(
+        column(config["noutput"]))
     wrong = counted.filter((F.col("n") != expected) | (F.col("n") == 0)).select(
         "what", F.col("n").cast("string").alias("detail"))
-    if ncell != config["ncell"]:
-        wrong = wrong.unionByName(wrong.sparkSession.range(1).select(
-            F.lit("ncell").alias("what"), F.lit(str(ncell)).alias("detail")))
+    cells = wrong.sparkSession.range(1).select(
+        F.lit("ncell").alias("what"), column(ncell).alias("n"), column(config["ncell"]).alias("wanted"))
+    wrong = wrong.unionByName(cells.filter("n != wanted").select("what", F.col("n").cast("string").alias("detail")))
     return _violations(wrong.withColumnRenamed("what", "variable"), "count", F.col("detail"))
 
 

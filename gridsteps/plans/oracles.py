@@ -18,13 +18,15 @@ PRICE = """price AS (SELECT 'price' AS variable, l_partkey AS cell, 0 AS band,
 
 VALUES = f"{QUANTITY}, {PRICE}, grid_values AS (SELECT * FROM quantity UNION ALL SELECT * FROM price)"
 
+YEARS = """years AS (SELECT unnest(range(min(year), max(year) + 1)) AS year FROM grid_values)"""
+
 FLAGS = """flags AS (SELECT l_partkey AS cell, CAST((CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END) * 3
   + (CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END) AS INT) AS band,
   CAST(year(l_shipdate) AS INT) AS year, count(*) AS value FROM lineitem GROUP BY ALL)"""
 
 BANDS = """bands AS (SELECT 'quantity' AS variable, CAST(l_linenumber - 1 AS INT) AS band,
   concat('line ', CAST(l_linenumber AS VARCHAR)) AS band_label
-  FROM (SELECT DISTINCT l_linenumber FROM lineitem) AS t)"""
+  FROM (SELECT DISTINCT l_linenumber FROM lineitem) AS t UNION ALL SELECT 'price', 0, 'all')"""
 
 COUNTRIES = """countries AS (SELECT n_nationkey AS id, n_name AS name,
   concat('N', lpad(CAST(n_nationkey AS VARCHAR), 2, '0')) AS code, n_regionkey AS region_id FROM nation)"""
@@ -42,8 +44,9 @@ EVENT_BAND = """CAST(CASE event_type WHEN 'click' THEN 0 WHEN 'error' THEN 1 WHE
   WHEN 'signup' THEN 3 ELSE 4 END AS INT)"""
 
 PAIRS = """offsets AS (SELECT dx, dy FROM range(-1, 2) AS a(dx), range(-1, 2) AS b(dy) WHERE dx <> 0 OR dy <> 0),
-  pairs AS (SELECT c.cell, n.cell AS neighbour FROM cells c, offsets o, cells n
-  WHERE n.ix = c.ix + o.dx AND n.iy = c.iy + o.dy)"""
+  pairs AS (SELECT cell, neighbour FROM (SELECT c.cell, n.cell AS neighbour,
+    row_number() OVER (PARTITION BY c.cell ORDER BY n.cell) AS place FROM cells c, offsets o, cells n
+  WHERE n.ix = c.ix + o.dx AND n.iy = c.iy + o.dy) WHERE place <= 8)"""
 
 REGION = f"""{CELLS}, {COUNTRIES}, region AS (SELECT c.cell, c.lon, c.lat,
   row_number() OVER (ORDER BY c.cell) - 1 AS new_cell FROM cells c
@@ -80,10 +83,10 @@ ORACLES = {
       CASE WHEN y < 1998 THEN 'historic' ELSE 'coupled' END AS phase, count(v.cell) AS n
       FROM (SELECT unnest(range(min(year), max(year) + 1)) AS y FROM grid_values)
       LEFT JOIN grid_values v ON v.year = y GROUP BY y""",
-    "cells_indexed": f"""WITH {CELLS} SELECT cell, lon, lat,
-      CAST(row_number() OVER (ORDER BY cell) - 1 AS BIGINT) AS cell_index FROM cells WHERE ix >= 10""",
+    "cells_indexed": f"""WITH {CELLS} SELECT cell * 1000003000019 AS cell, lon, lat,
+      CAST(row_number() OVER (ORDER BY cell) - 1 AS BIGINT) AS cell_index FROM cells""",
     "cells_selected": f"""WITH {QUANTITY} SELECT *, CAST(cell - 100 AS BIGINT) AS cell_index
-      FROM quantity WHERE cell BETWEEN 100 AND 1999""",
+      FROM quantity WHERE cell >= 100""",
     "bands_selected": f"WITH {QUANTITY} SELECT * FROM quantity WHERE band IN (0, 3)",
     "code_to_name": f"""WITH {CELLS}, {COUNTRIES} SELECT cell, country_id,
       coalesce(name, CAST(country_id AS VARCHAR)) AS country FROM cells LEFT JOIN countries ON country_id = id""",
@@ -124,9 +127,9 @@ ORACLES = {
       'line items' AS source, 'driver tables' AS history, CAST(0.5 AS DOUBLE) AS cellsize FROM grid_values""",
     "attach_coords": f"""WITH {CELLS}, {VALUES} SELECT v.*, c.lon, c.lat
       FROM grid_values v LEFT JOIN cells c ON v.cell = c.cell""",
-    "densify": f"""WITH {CELLS}, {BANDS}, {QUANTITY} SELECT b.variable, c.cell, b.band,
-      CAST(y.year AS INT) AS year, q.value FROM cells c, bands b, range(1995, 2002) AS y(year)
-      LEFT JOIN quantity q ON q.cell = c.cell AND q.band = b.band AND q.year = y.year""",
+    "densify": f"""WITH {CELLS}, {BANDS}, {VALUES}, {YEARS} SELECT b.variable, c.cell, b.band,
+      CAST(y.year AS INT) AS year, q.value FROM cells c CROSS JOIN bands b CROSS JOIN years y
+      LEFT JOIN grid_values q ON q.variable = b.variable AND q.cell = c.cell AND q.band = b.band AND q.year = y.year""",
     "missing_roundtrip": f"""WITH {VALUES} SELECT variable, cell, band, year,
       CASE WHEN variable = 'quantity' AND value % 7 = 0 THEN NULL
         WHEN variable = 'price' AND cell % 5 = 0 THEN NULL ELSE value END AS value,
@@ -171,10 +174,23 @@ ORACLES = {
       SELECT 'shape' AS rule, variable, year, CAST(NULL AS BIGINT) AS cell, CAST(NULL AS INT) AS band,
         concat('cells=', cells, ' bands=', most) AS detail FROM want
       WHERE cells <> (SELECT count(*) FROM cells) OR fewest <> nband OR most <> nband OR top <> nband - 1""",
-    "validate_missing": f"""WITH {CELLS}, {BANDS}, {QUANTITY} SELECT 'missing' AS rule, b.variable,
+    "validate_missing": f"""WITH {CELLS}, {BANDS}, {VALUES}, {YEARS} SELECT 'missing' AS rule, b.variable,
       CAST(y.year AS INT) AS year, c.cell, b.band, 'no row' AS detail
-      FROM cells c, bands b, range(1995, 2002) AS y(year)
-      WHERE NOT EXISTS (SELECT 1 FROM quantity q WHERE q.cell = c.cell AND q.band = b.band AND q.year = y.year)""",
+      FROM cells c, bands b, years y WHERE NOT EXISTS (SELECT 1 FROM grid_values q
+        WHERE q.variable = b.variable AND q.cell = c.cell AND q.band = b.band AND q.year = y.year)""",
+    "validate_streams": """SELECT 'count' AS rule, variable, CAST(NULL AS INT) AS year, CAST(NULL AS BIGINT) AS cell,
+      CAST(NULL AS INT) AS band, CAST(n AS VARCHAR) AS detail FROM (SELECT 'ninput' AS variable, count(*) AS n FROM supplier
+      UNION ALL SELECT 'noutput', count(*) FROM customer)""",
+    "validate_year": f"""WITH {VALUES} SELECT 'year' AS rule, variable, year, CAST(NULL AS BIGINT) AS cell,
+      CAST(NULL AS INT) AS band, CAST(count(*) AS VARCHAR) AS detail FROM grid_values WHERE year <> 1996
+      GROUP BY variable, year""",
+    "validate_metadata": """SELECT DISTINCT 'cellsize' AS rule, p_brand AS variable, CAST(NULL AS INT) AS year,
+      CAST(NULL AS BIGINT) AS cell, CAST(NULL AS INT) AS band,
+      CASE WHEN CAST(substr(p_brand, 7) AS INT) % 3 = 0 THEN '0.5 0.25' ELSE '0.5' END AS detail
+      FROM part WHERE CAST(substr(p_brand, 7) AS INT) % 3 <> 1""",
+    "validate_subannual": """SELECT 'subannual' AS rule, 'daily' AS variable, CAST(year(ts) AS INT) AS year,
+      CAST(NULL AS BIGINT) AS cell, CAST(NULL AS INT) AS band, 'several bands' AS detail FROM events
+      GROUP BY year(ts) HAVING min(day(ts)) <> max(day(ts)) AND bool_or(event_type <> 'click')""",
     "validate_type": f"""WITH {VALUES} SELECT 'type' AS rule, variable, year, cell, band,
       CAST(value / 2 AS VARCHAR) AS detail FROM grid_values
       WHERE variable = 'quantity' AND value / 2 <> floor(value / 2)""",
@@ -193,15 +209,16 @@ ORACLES = {
       make_date(year, 12, 31) AS time FROM grid_values WHERE year >= 1996 AND year < 1999""",
     "stream_steps": f"""SELECT user_id AS cell, {EVENT_BAND} AS band, CAST(day(ts) AS INT) AS year,
       round(sum(value), 2) AS value, count(*) AS n FROM events GROUP BY ALL""",
-    "late_rows": f"""SELECT user_id AS cell, {EVENT_BAND} AS band, CAST(day(ts) AS INT) AS year,
-      CAST(event_id AS INT) AS step, value, 'step closed, open step is 11' AS reason
-      FROM events WHERE day(ts) < 11""",
+    "late_rows": f"""SELECT user_id AS cell, {EVENT_BAND} AS band,
+      CASE WHEN event_id % 97 <> 0 THEN CAST(day(ts) AS INT) END AS year, CAST(event_id AS BIGINT) AS step, value,
+      CASE WHEN event_id % 97 <> 0 THEN 'step closed, open step is 11' ELSE 'row without a step' END AS reason
+      FROM events WHERE day(ts) < 11 OR event_id % 97 = 0""",
     "complete_steps": f"""WITH e AS (SELECT user_id AS cell, {EVENT_BAND} AS band,
         CAST(day(ts) AS INT) AS year, event_id FROM events),
-      got AS (SELECT year, count(*) AS got FROM e WHERE NOT (year % 4 = 0 AND band = 2) GROUP BY year),
+      got AS (SELECT year, count(*) AS got FROM e WHERE NOT (year % 4 = 0 AND band = 2) AND year % 10 <> 0 GROUP BY year),
       want AS (SELECT year, count(*) AS n FROM e GROUP BY year)
       SELECT want.year, n - coalesce(got, 0) = 0 AS complete, CAST(n - coalesce(got, 0) AS BIGINT) AS missing
-      FROM want JOIN got ON want.year = got.year""",
+      FROM want LEFT JOIN got ON want.year = got.year""",
     "run_steps": f"""WITH e AS (SELECT user_id AS cell, {EVENT_BAND} AS band,
         CAST(ceil(day(ts) / 7) AS INT) AS year, event_id FROM events)
       SELECT 'demand' AS variable, cell, CAST(0 AS INT) AS band, CAST(year + 1 AS INT) AS year,
@@ -242,8 +259,9 @@ ORACLES = {
       FROM quantity q JOIN price p ON q.cell = p.cell AND q.band = p.band AND q.year = p.year""",
     "quantile": f"""WITH {QUANTITY} SELECT variable, year, round(quantile_cont(value, 0.9), 6) AS value
       FROM quantity GROUP BY variable, year""",
-    "resolve_variable": f"""SELECT CAST(l_linenumber AS INT) AS index, concat('line ', l_linenumber) AS variable,
-      sum(l_quantity) AS value FROM lineitem WHERE l_linenumber <> 7 GROUP BY l_linenumber""",
+    "resolve_variable": f"""SELECT CAST(l_linenumber AS INT) AS index,
+      CASE WHEN l_linenumber <> 7 THEN concat('line ', l_linenumber) END AS variable,
+      sum(l_quantity) AS value FROM lineitem GROUP BY l_linenumber""",
     "input_types": """SELECT CAST(pos AS INT) AS id, name, CAST(CASE name WHEN 'landuse' THEN 64 WHEN 'fertilizer_nr' THEN 32
       WHEN 'sdate' THEN 24 WHEN 'residue_on_field' THEN 16 ELSE 1 END AS INT) AS nband,
       CASE WHEN name IN ('with_tillage', 'sdate') THEN 'int' ELSE 'float' END AS type,
@@ -264,8 +282,9 @@ ORACLES = {
       FROM supplied""",
     "scan_flat_grid": f"""WITH {CELLS}, {BANDS}, {QUANTITY} SELECT b.variable, c.cell, b.band,
       CAST(y.year AS INT) AS year, coalesce(q.value, -9999.0) AS value
-      FROM cells c, bands b, (SELECT DISTINCT year FROM quantity) y
-      LEFT JOIN quantity q ON q.cell = c.cell AND q.band = b.band AND q.year = y.year""",
+      FROM cells c CROSS JOIN bands b CROSS JOIN (SELECT DISTINCT year FROM quantity) y
+      LEFT JOIN quantity q ON q.cell = c.cell AND q.band = b.band AND q.year = y.year
+      WHERE b.variable = 'quantity'""",
     "metadata_catalog": """SELECT p_brand AS variable, CAST(count(DISTINCT p_type) AS INT) AS nbands,
       CASE WHEN CAST(substr(p_brand, 7) AS INT) % 2 = 0
         THEN array_to_string(list_transform(range(0, count(DISTINCT p_type)), lambda i: CAST(i AS VARCHAR)), ' ')

@@ -18,6 +18,8 @@ from gridsteps.sources import convert, files, flatgrid, grid, metadata
 from gridsteps.streaming import steps as S
 
 KEYS = ["variable", "cell", "band", "year"]
+# Spreads dense ids over the whole key range.
+SPARSE = 1_000_003_000_019
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -106,8 +108,7 @@ def years_aligned(spark, d):
 @query
 def calendar(spark, d):
     values = V.grid_values(spark, d)
-    lo, hi = values.agg(F.min("year"), F.max("year")).first()
-    years = select.year_calendar(spark, lo, 1998, hi)
+    years = select.observed_calendar(values, 1998)
     counts = values.groupBy("year").agg(F.count("cell").alias("n"))
     return years.join(counts, "year", "left").select(
         "year", "phase", F.coalesce("n", F.lit(0).cast("bigint")).alias("n"))
@@ -116,12 +117,14 @@ def calendar(spark, d):
 @query
 def cells_indexed(spark, d):
     return numbering.dense_index(
-        V.cells(spark, d).filter("ix >= 10").select("cell", "lon", "lat"), "cell")
+        V.cells(spark, d).select((F.col("cell") * SPARSE).alias("cell"), "lon", "lat"), "cell")
 
 
 @query
 def cells_selected(spark, d):
-    return select.select_cells(V.quantity(spark, d), 100, 1999)
+    """From cell 100 to the last one of the data."""
+    values = V.quantity(spark, d)
+    return select.select_cells(values, 100, values.agg(F.max("cell")).scalar())
 
 
 @query
@@ -215,10 +218,16 @@ def attach_coords(spark, d):
     return cube.attach_coords(V.grid_values(spark, d), cube.grid_to_cells(coords))
 
 
+def _period(values):
+    """First and last year of the values, as scalar subqueries."""
+    return tuple(values.agg(f("year")).scalar() for f in (F.min, F.max))
+
+
 @query
 def densify(spark, d):
-    return cube.densify(V.quantity(spark, d), V.cells(spark, d), V.bands(spark, d),
-                        ["quantity"], (1995, 2001))
+    values = V.grid_values(spark, d)
+    return cube.densify(values, V.cells(spark, d), V.bands(spark, d),
+                        ["quantity", "price"], _period(values))
 
 
 @query
@@ -329,14 +338,15 @@ def _registry(spark, d):
 
 @query
 def validate_shape(spark, d):
-    ncell = V.cells(spark, d).count()
+    ncell = V.cells(spark, d).agg(F.count(F.lit(1))).scalar()
     return validate.check_counts(V.grid_values(spark, d), _registry(spark, d), ncell)
 
 
 @query
 def validate_missing(spark, d):
-    return validate.check_missing(V.quantity(spark, d), V.cells(spark, d), V.bands(spark, d),
-                                  ["quantity"], (1995, 2001))
+    values = V.grid_values(spark, d)
+    return validate.check_missing(values, V.cells(spark, d), V.bands(spark, d),
+                                  ["quantity", "price"], _period(values))
 
 
 @query
@@ -351,6 +361,40 @@ def validate_unknown(spark, d):
     return validate.check_unknown(V.grid_values(spark, d), known)
 
 
+@query
+def validate_streams(spark, d):
+    """Suppliers as inputs and customers as outputs, one of each too few in the configuration."""
+    inputs, outputs = V.table(spark, d, "supplier"), V.table(spark, d, "customer")
+    ncell = V.cells(spark, d).agg(F.count(F.lit(1))).scalar()
+    less = lambda df: df.agg(F.count(F.lit(1)) - 1).scalar()
+    config = {"ncell": ncell, "ninput": less(inputs), "noutput": less(outputs)}
+    return validate.check_streams(inputs, outputs, ncell, config)
+
+
+@query
+def validate_year(spark, d):
+    return validate.check_year(V.grid_values(spark, d), 1996)
+
+
+@query
+def validate_metadata(spark, d):
+    """Brands as variables; the cells of every third one are not square."""
+    number = F.substring("p_brand", 7, 10).cast("int")
+    brands = V.table(spark, d, "part").select(
+        F.col("p_brand").alias("variable"), F.lit(0.5).alias("cellsize_lon"),
+        F.when(number % 3 == 0, 0.25).when(number % 3 == 1, 0.5).alias("cellsize_lat")).distinct()
+    return validate.check_metadata(brands)
+
+
+@query
+def validate_subannual(spark, d):
+    """Days of events as steps, with the event types as bands of some years."""
+    rows = V.table(spark, d, "events").select(
+        F.lit("daily").alias("variable"), F.year("ts").alias("year"), F.day("ts").alias("step"),
+        V.event_band().cast("int").alias("band"))
+    return validate.check_subannual(rows)
+
+
 @query
 def validate_duplicates(spark, d):
     lines = V.table(spark, d, "lineitem").select(
@@ -395,7 +439,8 @@ def late_rows(spark, d):
     root = work_dir(spark, "late")
     store = S.StepStore(root)
     store.record(spark, -1, 10, [(10, S.READ)])
-    rows = V.event_rows(_event_stream(spark, d))
+    rows = V.event_rows(_event_stream(spark, d)).withColumn(
+        "year", F.when(F.col("step") % 97 != 0, F.col("year")))
     S.stream_steps(rows, store, f"{root}/checkpoint", first_year=1).awaitTermination()
     return store.quarantine(spark).drop("variable")
 
@@ -404,7 +449,8 @@ def late_rows(spark, d):
 def complete_steps(spark, d):
     rows = V.event_rows(V.table(spark, d, "events"))
     expected = rows.groupBy("variable", "year").agg(F.count(F.lit(1)).alias("n"))
-    return S.complete_steps(rows.filter("NOT (year % 4 = 0 AND band = 2)"), expected)
+    arrived = rows.filter("NOT (year % 4 = 0 AND band = 2) AND year % 10 <> 0")
+    return S.complete_steps(arrived, expected)
 
 
 @query
@@ -582,7 +628,7 @@ def scan_flat_grid(spark, d):
     """Dense cube written as flat blocks and read back; gaps hold the sentinel."""
     folder = work_dir(spark, "flat")
     span = V.cells(spark, d).agg(F.min("cell"), F.max("cell")).first()
-    nbands = V.bands(spark, d).agg(F.max("band") + 1).first()[0]
+    nbands = V.bands(spark, d).filter("variable = 'quantity'").agg(F.max("band") + 1).first()[0]
     layout = dict(ncell=span[1] - span[0] + 1, nbands=nbands, firstcell=span[0], datatype="int")
     flatgrid.write_flat_grid(V.quantity(spark, d), folder, **layout)
     return flatgrid.scan_flat_grid(spark, folder, blocks="true", **layout).select(*KEYS, "value")

@@ -75,7 +75,9 @@ def bands(spark: SparkSession, d: str) -> DataFrame:
     lines = table(spark, d, "lineitem").select("l_linenumber").distinct().select(
         F.lit("quantity").alias("variable"), (F.col("l_linenumber") - 1).cast("int").alias("band"),
         F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("band_label"))
-    return lines
+    price = spark.range(1).select(
+        F.lit("price").alias("variable"), F.lit(0).alias("band"), F.lit("all").alias("band_label"))
+    return lines.unionByName(price)
 
 
 def countries(spark: SparkSession, d: str) -> DataFrame:
@@ -115,7 +117,7 @@ def event_rows(events: DataFrame, days: int = 1) -> DataFrame:
         F.lit("events").alias("variable"), F.col("user_id").alias("cell"),
         event_band().cast("int").alias("band"),
         F.ceil(F.day("ts") / days).cast("int").alias("year"),
-        F.col("event_id").cast("int").alias("step"), "value")
+        F.col("event_id").cast("bigint").alias("step"), "value")
 
 
 def variables(spark: SparkSession, d: str) -> DataFrame:

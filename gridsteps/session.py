@@ -5,14 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import SparkSession
 
 _local_base: str | None = None
 
-# Rows up to which a dimension table is broadcast.
-BROADCAST_ROWS = 200_000
-
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path below the shared folder of the cluster.
@@ -28,7 +24,11 @@ def work_dir(spark: SparkSession, label: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         _local_base = _local_base or tempfile.mkdtemp(prefix="gridsteps-")
         base = _local_base
-    return f"{base.rstrip('/')}/gridsteps/{label}-{uuid.uuid4().hex}"
+    # A full URI: what Spark's default file system means by a bare path, everybody must mean.
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return f"{whole.rstrip('/')}/gridsteps/{label}-{uuid.uuid4().hex}"
 
 
 def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
@@ -39,22 +39,3 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
-
-
-def small_table(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> pa.Table | None:
-    """Rows of a table that stays within a bound, else None."""
-    found = dim.limit(max_rows + 1).toArrow()
-    return found if found.num_rows <= max_rows else None
-
-
-def small_side(dim: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Dimension table evaluated once and marked for broadcast, if within a bound.
-
-    Meant for joins on few distinct keys, such as the variable, where a shuffle
-    of the values by that key would be uneven. A larger table comes back as it
-    is: Spark then sizes the join itself and splits uneven partitions.
-    """
-    found = small_table(dim, max_rows)
-    if found is None:
-        return dim
-    return F.broadcast(dim.sparkSession.createDataFrame(found, schema=dim.schema))

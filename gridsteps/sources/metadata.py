@@ -8,9 +8,9 @@ from gridsteps.model import METADATA
 
 
 def _plain_label(label: Column) -> Column:
-    """Numeric band names in one spelling: "200.000000" becomes "200.0"."""
-    number = label.try_cast("double")
-    return F.when(number.isNotNull(), number.cast("string")).otherwise(label)
+    """Decimal band names in one spelling: "200.000000" becomes "200.0"; others stay as they are."""
+    decimal = label.rlike(r"^[+-]?[0-9]+\.[0-9]+$")
+    return F.when(decimal, label.try_cast("double").cast("string")).otherwise(label)
 
 
 def default_band_names(df: DataFrame) -> DataFrame:

@@ -67,17 +67,18 @@ def next_operation(left: DataFrame) -> DataFrame:
 
 
 def complete_steps(values: DataFrame, expected: DataFrame) -> DataFrame:
-    """(year, complete, missing) per year that has rows.
+    """(year, complete, missing) per expected year.
 
     ``expected`` carries (variable, n) or (variable, year, n): the number of
-    keys a variable delivers per year; static variables are left out of it.
+    keys a variable delivers per year; static variables are left out of it. A
+    year of the latter form that has no rows at all is incomplete; the former
+    names no years, so those that have rows count.
     Keys are made distinct first, so a repeated delivery counts once.
     """
     keys = values.select("variable", "year", "cell", "band", "step").distinct()
     got = keys.groupBy("year", "variable").agg(F.count(F.lit(1)).alias("got"))
     if "year" in expected.columns:
-        wanted = expected.select("variable", "year", "n").join(
-            got.select("year").distinct(), "year", "left_semi")
+        wanted = expected.select("variable", "year", "n")
     else:
         years = got.agg(F.array_distinct(F.collect_set("year"))).scalar()
         wanted = expected.select("variable", "n").withColumn("year", F.explode(years))
@@ -89,11 +90,13 @@ def complete_steps(values: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
-def route_late(values: DataFrame, open_year: int) -> tuple[DataFrame, DataFrame]:
-    """(accepted, late): rows before the open year are late and carry a reason."""
-    late = values.filter(F.col("year") < open_year).withColumn(
-        "reason", F.concat(F.lit("step closed, open step is "), F.lit(str(open_year))))
-    return values.filter(F.col("year") >= open_year), late
+def route_late(values: DataFrame, open_year: int | None) -> tuple[DataFrame, DataFrame]:
+    """(accepted, late): rows before the open year, or without one, carry a reason."""
+    reason = F.when(F.col("year").isNull(), F.lit("row without a step"))
+    if open_year is not None:
+        reason = reason.when(F.col("year") < open_year, F.lit(f"step closed, open step is {open_year}"))
+    marked = values.withColumn("reason", reason)
+    return marked.filter("reason IS NULL").drop("reason"), marked.filter("reason IS NOT NULL")
 
 
 @dataclass(frozen=True)
@@ -181,12 +184,13 @@ def _accept(batch: DataFrame, batch_id: int, store: StepStore, first_year: int |
     # Only earlier batches count, so a replay routes its rows as the first run did.
     closed = store.closed_year(batch.sparkSession, before=batch_id)
     open_year = first_year if closed is None else closed + 1
-    if open_year is None:
-        store.add_arrivals(batch, batch_id)
-        return
-    accepted, late = route_late(batch, open_year)
-    store.add_arrivals(accepted, batch_id)
-    store.add_quarantine(late, batch_id)
+    batch = batch.persist()  # the source is read once for both tables
+    try:
+        accepted, late = route_late(batch, open_year)
+        store.add_arrivals(accepted, batch_id)
+        store.add_quarantine(late, batch_id)
+    finally:
+        batch.unpersist()
 
 
 def write_step(inputs: DataFrame, year: int, store: StepStore, registry: DataFrame | None = None,
@@ -230,7 +234,8 @@ def _ready_years(spark: SparkSession, store: StepStore, expected: DataFrame,
     run = [y for i, y in enumerate(years) if y == open_year + i]
     if not run:
         return []
-    arrived = store.arrivals(spark).filter(F.col("year").between(run[0], run[-1]))
+    inside = F.col("year").between(run[0], run[-1])
+    arrived, dated = store.arrivals(spark).filter(inside), dated.filter(inside)
     sure = {r.year for r in complete_steps(arrived, dated).filter("complete").select("year").collect()}
     ready = []
     for y in run:
