@@ -1,10 +1,10 @@
 """Token ids of whole texts, as little-endian id bytes.
 
 The byte-level pre-tokenizer never joins what stands on both sides of a space
-that a visible character follows, so a text is split there and every distinct
-chunk is encoded once per worker. Chunks of Latin letters and signs are split
-by the pre-tokenizer's own pattern, and the model encodes each distinct piece
-once. The ids are those of the whole text.
+or line end that a visible character follows, so a text is split there and the
+ids of frequent chunks are kept in the worker. Chunks of Latin letters and signs
+are split by the pre-tokenizer's own pattern, and the model encodes each
+distinct piece once. The ids are those of the whole text.
 """
 
 from __future__ import annotations
@@ -19,12 +19,15 @@ import numpy as np
 
 from gridsteps.llm.common import worker_registry
 
-# A space that is not directly followed by a visible character.
-_ODD_SPACE = re.compile(r" (?=\s|$)")
+# A space or line end that is not directly followed by a visible character.
+_ODD_SPACE = re.compile(r" (?=\s|\Z)")
+_ODD_LINE = re.compile(r"\n(?=\s|\Z)")
 _CHUNK_START = re.compile(r" (?=\S)")
+# In front of chunks that no space precedes, and in place of a line end.
+BARE, LINE = "\x01", "\x02"
 # Chunks of which every regular expression library has the same view.
 _LATIN = re.compile("[\n!-~\u00a1-\u024f]+")
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES, PIECE_ENTRIES = 1_000_000, 300_000
 
 def default_path() -> str:
     import public_tokenizers
@@ -77,8 +80,8 @@ class Encoder:
             import regex
 
             self.pieces_of = regex.compile(public_tokenizers.PATTERN).findall
-            # Takes a whole input as one word of the byte-level alphabet.
-            self.words = Tokenizer(self.tokenizer.model)
+            self.model = self.tokenizer.model
+            self.code = "H" if self.dtype.itemsize == 2 else "I"
             self.alphabet = byte_alphabet()
             self.pieces: dict[str, bytes] = {}
 
@@ -86,54 +89,76 @@ class Encoder:
         return [np.array(e.ids, self.dtype).tobytes()
                 for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def _mapped(self, piece: str) -> str:
-        if piece.isascii():
-            return piece.replace(" ", "\u0120").replace("\n", "\u010a")
-        return piece.encode().decode("latin-1").translate(self.alphabet)
-
     def _chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        """Ids of chunks that follow a space."""
-        latin = [c for c in chunks if _LATIN.fullmatch(c)]
-        # Plain words, and words before one sign, need no pattern.
-        split = [
-            (" " + c,) if c.isalpha()
-            else (" " + c[:-1], c[-1]) if c[-1] in ".,;:!?" and c[:-1].isalpha()
-            else self.pieces_of(" " + c)
-            for c in latin
-        ]
-        new = list(set().union(*split).difference(self.pieces))
-        if len(self.pieces) + len(new) > CACHE_ENTRIES:
-            new, self.pieces = list(set().union(*split)), {}
-        found = self.words.encode_batch_fast(list(map(self._mapped, new)), add_special_tokens=False)
-        code = "H" if self.dtype.itemsize == 2 else "I"
-        self.pieces.update(zip(new, [array(code, e.ids).tobytes() for e in found]))
-        get = self.pieces.__getitem__
-        ids = dict(zip(latin, [b"".join(map(get, p)) for p in split]))
-        if len(ids) < len(chunks):
-            others = [c for c in chunks if c not in ids]
-            ids.update(zip(others, self._plain([" " + c for c in others])))
+        """Ids of chunks; a space precedes all that are not marked."""
+        texts = [c[1:] if c[:1] == BARE else "\n" if c == LINE else " " + c for c in chunks]
+        known, pieces, fresh, tokenize, code = self.known, self.pieces, {}, self.model.tokenize, self.code
+        if len(pieces) > PIECE_ENTRIES:
+            pieces.clear()
+
+        def piece(p: str) -> bytes:
+            """Ids of what the pre-tokenizer takes as one word."""
+            spaced = p[0] == " "
+            found = (known.get(p[1:]) or fresh.get(p)) if spaced else pieces.get(p)
+            if not found:
+                mapped = (p.replace(" ", "\u0120").replace("\n", "\u010a") if p.isascii()
+                          else p.encode().decode("latin-1").translate(self.alphabet))
+                found = array(code, [t.id for t in tokenize(mapped)]).tobytes()
+                (fresh if spaced else pieces)[p] = found
+            return found
+
+        ids: dict[str, bytes] = {}
+        others: list[tuple[str, str]] = []
+        for chunk, text in zip(chunks, texts):
+            word = text.lstrip(" ")
+            if not word or not _LATIN.fullmatch(word):
+                others.append((chunk, text))
+            elif word.isalpha():
+                ids[chunk] = piece(text)
+            elif word[-1] in ".,;:!?" and word[:-1].isalpha():
+                ids[chunk] = piece(text[:-1]) + piece(word[-1])
+            else:
+                ids[chunk] = b"".join(map(piece, self.pieces_of(text)))
+        ids.update(zip([c for c, _ in others], self._plain([t for _, t in others])))
+        ids.update((p[1:], v) for p, v in fresh.items())
         return ids
 
+    def _split(self, text: str) -> list[str]:
+        if _ODD_SPACE.search(text) or _ODD_LINE.search(text):
+            parts = _CHUNK_START.split(text)
+            parts[0] = BARE + parts[0]
+            return parts
+        if "\n" not in text:
+            parts = text.split(" ")
+            parts[0] = BARE + parts[0]
+            return parts
+        parts = []
+        for line in text.split("\n"):
+            words = line.split(" ")
+            words[0] = BARE + words[0]
+            parts += words
+            parts.append(LINE)
+        parts.pop()
+        return parts
+
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Id bytes of each text; an empty text has none."""
         texts = list(texts)
-        if not self.chunked:
+        if not self.chunked or any(BARE in t or LINE in t for t in texts):
             return self._plain(texts)
-        parts = [_CHUNK_START.split(t) if _ODD_SPACE.search(t) else t.split(" ") for t in texts]
-        first = self._plain([p[0] for p in parts])
-        for p in parts:
-            del p[0]
-        wanted = set().union(*parts)
-        ids = self._chunks(list(wanted.difference(self.known)))
-        if len(self.known) + len(ids) > CACHE_ENTRIES and 3 * len(ids) > len(wanted):
-            # The texts have changed their vocabulary: start over with theirs.
-            ids.update((w, self.known[w]) for w in wanted if w in self.known)
-            self.known = {}
-        if len(self.known) + len(ids) <= CACHE_ENTRIES:
-            self.known.update(ids)
-            get = self.known.__getitem__
-            return [f + b"".join(map(get, p)) for f, p in zip(first, parts)]
-        known = self.known
-        both = {w: ids[w] if w in ids else known[w] for w in wanted}
-        get = both.__getitem__
-        return [f + b"".join(map(get, p)) for f, p in zip(first, parts)]
+        chunks, ends = [], []
+        for text in texts:
+            chunks += self._split(text)
+            ends.append(len(chunks))
+        ids = list(map(self.known.get, chunks))
+        missing = [i for i, v in enumerate(ids) if v is None]
+        if missing:
+            names = [chunks[i] for i in missing]
+            new = self._chunks(list(set(names)))
+            for i, name in zip(missing, names):
+                ids[i] = new[name]
+            if len(self.known) + len(new) > CACHE_ENTRIES and 3 * len(missing) > len(chunks):
+                self.known = {}  # the texts have changed their vocabulary
+            if len(self.known) + len(new) <= CACHE_ENTRIES:
+                self.known.update(new)
+        return [b"".join(ids[a:b]) for a, b in zip([0, *ends], ends)]
