@@ -168,9 +168,14 @@ def _parse(head: bytes) -> dict[str, str]:
     fields: dict[str, str] = {}
     for line in lines[1:]:
         name, colon, value = line.partition(b":")
-        if not colon:
+        if not colon or re.search(rb"[\x00-\x08\x0a-\x1f\x7f]", line):
             raise _Bad("malformed header")
-        fields[name.decode("utf-8", "replace").strip().lower()] = value.decode("utf-8", "replace").strip()
+        try:
+            fields[name.decode().strip().lower()] = value.decode().strip()
+        except UnicodeDecodeError:
+            raise _Bad("malformed header") from None
+    if not all(fields.get(k) for k in ("warc-type", "warc-record-id", "warc-date")):
+        raise _Bad("a mandatory header is missing")
     if not fields.get("content-length", "").isdigit():
         raise _Bad("no content length")
     return fields
