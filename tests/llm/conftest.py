@@ -1,0 +1,5 @@
+import os
+import sys
+
+# The session fixture of the other tests, with settings of a shuffle that has several partitions.
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
