@@ -26,10 +26,10 @@ from gridsteps.llm.components import components
 from gridsteps.llm.shingles import common, mix, shingle_sets
 
 # Bands times rows samples; a pair at 0.75 misses every band with probability 6e-6.
-BANDS, ROWS, SAMPLES = 22, 3, 512
-SKETCH_BITS = 2048
-# XOR bits of a pair at 0.75: 227 on average, standard deviation below 17.5.
-MAX_XOR = 304
+BANDS, ROWS, SAMPLES = 22, 3, 1024
+SKETCH_BITS = 4096
+# XOR bits of a pair at 0.75: 453 on average, standard deviation below 24.5; the bound is four of them above.
+MAX_XOR = 551
 LEADERS = 4
 THRESHOLD = 75
 BLOCK = 1024
