@@ -1,0 +1,138 @@
+"""The pipeline by brute force, queries against SQL, and brute force where SQL has no form."""
+
+import re
+import sys
+import os
+import zlib
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+import corpus_pipeline
+from conftest import DATA
+from oracle import connect, difference
+from test_llm_models import plain_targets
+from test_llm_text import base_spans, brute, plain_measures
+from gridsteps.llm import quality_rules as Q
+from gridsteps.llm.oracles import ORACLES
+from gridsteps.llm.queries import QUERIES
+from gridsteps.llm.tokens import default_path, encoder
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(DATA)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_against_sql(spark, con, name):
+    assert difference(QUERIES[name](spark, DATA), con, ORACLES[name]) is None
+
+
+def token_ids(text):
+    return [*encoder(default_path()).tokenizer.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_token_query(spark):
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect())
+    wanted, at = [], 0
+    for doc_id, text in docs:
+        ids = token_ids(text)
+        wanted.append((doc_id, at, len(ids), crc(ids)))
+        at += len(ids)
+    got = QUERIES["op1_token_files"](spark, DATA)
+    assert got.columns[:4] == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert sorted(map(tuple, got.collect())) == wanted
+
+
+def test_nearest_query(spark):
+    rows = spark.read.parquet(f"{DATA}/embeddings.parquet").collect()
+    ids, x = np.array([r.vec_id for r in rows]), np.array([r.embedding for r in rows], float)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in QUERIES["op2_stable_projections"](spark, DATA).collect()}
+    hits = 0
+    queries = np.flatnonzero(ids % 20 == 0)
+    for q in queries:
+        scores = (x * x[q]).sum(axis=1)
+        scores[q] = -np.inf
+        near = [got[ids[q], n] for n in range(1, 21)]
+        assert near == sorted(near, key=lambda r: (-r[1], r[0]))
+        hits += len({v for v, _ in near} & {*ids[np.lexsort((ids, -scores))[:20]].tolist()})
+    assert len(got) == 20 * len(queries) and hits >= 0.9 * len(got)
+
+
+def test_secret_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    for r in QUERIES["op10_token_efficiency"](spark, DATA).collect():
+        base = base_spans(texts[r.doc_id])
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[2] == k for s in base) for k in range(3))
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op2_stable_projections", "op3_warc_salvage"}))
+def test_queries_read_every_row(spark, name):
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").distinct().count()
+    assert QUERIES[name](spark, DATA).select("doc_id").distinct().count() == rows
+
+
+def test_pipeline(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    names = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    rows = {r.doc_id: r for r in docs.collect()}
+
+    good = {i: r for i, r in rows.items() if not Q.failures(plain_measures(r.text)) & (Q.BASE | Q.POLICIES["web-2"])}
+    first = stages["quality"](spark, docs, DATA)
+    assert first.columns == names and {r.doc_id: r for r in first.collect()} == good and 0 < len(good) < len(rows)
+
+    kept = {i for i, w in brute([(i, r.text) for i, r in good.items()]).items() if w[2]}
+    second = spark.createDataFrame(stages["near_duplicates"](spark, first, DATA).collect(), docs.schema)
+    assert second.columns == names and {r.doc_id: r for r in second.collect()} == {i: good[i] for i in kept}
+
+    third = spark.createDataFrame(stages["secrets"](spark, second, DATA).collect(), docs.schema)
+    clean = {r.doc_id: r for r in third.collect()}
+    assert third.columns == names and set(clean) == kept
+    for i, r in clean.items():
+        text, spans = good[i].text, base_spans(good[i].text)
+        if not spans and not re.search(r"[A-Za-z0-9+/_=-]{20,}", text):
+            assert r == good[i]
+        assert not base_spans(r.text) and r.n_chars == len(r.text) or r == good[i]
+
+    fourth = spark.createDataFrame(stages["mix"](spark, third, DATA).collect(), docs.schema)
+    copies, sizes, taken = {}, {}, {}
+    for r in fourth.collect():
+        assert r == clean[r.doc_id]
+        copies[r.doc_id] = copies.get(r.doc_id, 0) + 1
+    longest = {}
+    for i, r in clean.items():
+        n = len(r.text.split())
+        sizes[r.source] = sizes.get(r.source, 0) + n
+        taken[r.source] = taken.get(r.source, 0) + n * copies.get(i, 0)
+        longest[r.source] = max(longest.get(r.source, 0), n)
+    assert fourth.columns == names and max(copies.values()) <= 3
+    for source, target in plain_targets(sizes).items():
+        assert abs(taken[source] - target) <= longest[source]
+
+    pieces = stages["pack"](spark, fourth, DATA).collect()
+    lengths = {i: len(token_ids(r.text)) for i, r in clean.items()}
+    assert sum(p.length for p in pieces) == sum(lengths[i] * n for i, n in copies.items())
+    for p in pieces:
+        ids = token_ids(clean[p.doc_id].text)[p.start:p.start + p.length]
+        assert p.doc_tokens == lengths[p.doc_id] and p.ids_crc32 == crc(ids)
+    spans = {}
+    for p in pieces:
+        spans.setdefault(p.sequence_id, []).append((p.offset, p.length))
+    for own in spans.values():
+        own.sort()
+        assert [o for o, _ in own] == np.cumsum([0] + [n for _, n in own])[:-1].tolist()
+    assert sorted(sum(n for _, n in s) for s in spans.values())[1:] == [1024] * (len(spans) - 1)
+
+
+def test_run_is_the_stages_in_order(spark):
+    got = corpus_pipeline.run(spark, DATA)
+    assert {p.doc_id for p in got.collect()} <= {r.doc_id for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "near_duplicates", "secrets", "mix", "pack"]
