@@ -26,7 +26,11 @@ def _neighbour_lists(cells: DataFrame, by: str, cellsize: float) -> DataFrame:
     elsewhere, which thins candidates of crowded tiles before the join.
     """
     keep = MAX_NEIGHBOURS + 1
-    radius = RADIUS_FACTOR * cellsize
+    size: Column | float = cellsize
+    if "cellsize" in cells.columns:
+        # What is attached to the data wins over the argument.
+        size = F.coalesce(cells.agg(F.max("cellsize")).scalar(), F.lit(cellsize))
+    radius = RADIUS_FACTOR * size
     side = 0.7 * radius
 
     def tile(coord: Column) -> Column:
@@ -90,6 +94,7 @@ def neighbours(cells: DataFrame, cellsize: float = 0.5, by: str = "cell") -> Dat
 
     A neighbour lies within 1.5 cell sizes in degrees, other cells at the same
     coordinate included. There is no date-line wrap and no latitude correction.
+    A column ``cellsize`` of the cells wins over the argument.
     ``by`` names the id column, for example a dense index.
     """
     return _neighbour_lists(cells, by, cellsize).select(
@@ -105,25 +110,24 @@ def neighbourhood(cells: DataFrame, cellsize: float = 0.5, by: str = "cell") ->
 
 
 def nearest_on_axis(targets: DataFrame, axis: DataFrame, column: str,
-                    buckets: int = 4096) -> DataFrame:
+                    buckets: int = 256) -> DataFrame:
     """(target, nearest) for every distinct target; the larger value wins a tie.
 
-    Targets and axis values are made distinct and sorted together inside equal
-    buckets of the axis span. What lies beyond a bucket's own values comes from
-    a summary with one row per bucket, so no task sorts the whole axis.
+    Targets and axis values are made distinct and sorted together inside buckets
+    cut at quantiles of the distinct axis values, so an outlying value leaves the
+    others spread. What lies beyond a bucket's own values comes from a summary
+    with one row per bucket, so no task sorts the whole axis.
     """
     v = F.col(column).cast("double").alias("v")
     marks = axis.select(v).filter("v is not null")
-    span = marks.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("s")).scalar()
+    steps = [k / buckets for k in range(1, buckets)]
+    none = F.array().cast("array<double>")
+    cuts = marks.distinct().agg(F.coalesce(
+        F.percentile_approx("v", steps, 20 * buckets), none).alias("s")).scalar()
 
     def placed(df: DataFrame) -> DataFrame:
-        width = (F.col("s.hi") - F.col("s.lo")) / buckets
-        place = F.when(width > 0, F.floor((F.col("v") - F.col("s.lo")) / width)).otherwise(F.lit(0))
-        return (
-            df.withColumn("s", span)
-            .withColumn("b", F.least(F.greatest(place, F.lit(0)), F.lit(buckets - 1)).cast("int"))
-            .drop("s")
-        )
+        place = F.size(F.filter("s", lambda c: c < F.col("v")))
+        return df.withColumn("s", cuts).withColumn("b", place).drop("s")
 
     distinct = (
         marks.select("v", F.lit(1).alias("mark"), F.lit(0).alias("target"))
@@ -208,14 +212,20 @@ def extract_region(cells: DataFrame, countries: DataFrame, code: str) -> DataFra
 
 
 def cell_mapping(old_cells: DataFrame, new_cells: DataFrame) -> DataFrame:
-    """(cell, new_cell) by equal coordinates.
+    """(cell, new_cell) by the old id that ``new_cells`` carries as ``cell``, else by coordinates.
 
-    ``new_cells`` may still carry the old id as ``cell``; only its ``new_cell``,
-    lon and lat are used.
+    A coordinate that several cells of one side share maps nothing for certain,
+    so it is an error there.
     """
-    return old_cells.select("cell", "lon", "lat").join(
-        new_cells.select("new_cell", "lon", "lat"), ["lon", "lat"]
-    ).select("cell", "new_cell")
+    if "cell" in new_cells.columns:
+        return old_cells.select("cell").join(new_cells.select("cell", "new_cell"), "cell")
+
+    def single(df: DataFrame, name: str) -> DataFrame:
+        several = F.raise_error(F.concat_ws(" ", F.lit("several cells at"), "lon", "lat")).cast("bigint")
+        return df.groupBy("lon", "lat").agg(
+            F.when(F.count(F.lit(1)) > 1, several).otherwise(F.first(name)).alias(name))
+
+    return single(old_cells, "cell").join(single(new_cells, "new_cell"), ["lon", "lat"]).select("cell", "new_cell")
 
 
 def regrid_values(values: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -74,6 +74,35 @@ ORACLES = {
         FROM (SELECT DISTINCT lat FROM cells) c, (SELECT DISTINCT rlat FROM raster) r GROUP BY c.lat)
       SELECT c.cell, r.rlon, r.rlat, r.rvalue FROM cells c JOIN lons ON c.lon = lons.lon
       JOIN lats ON c.lat = lats.lat JOIN raster r ON r.rlon = lons.rlon AND r.rlat = lats.rlat""",
+    "nearest_with_holes": f"""WITH {CELLS}, {RASTER},
+      holed AS (SELECT * FROM raster WHERE rvalue % 7 <> 3 UNION ALL SELECT 1000000.0, -1000000.0, -1),
+      lons AS (SELECT c.lon, arg_min(r.rlon, abs(c.lon - r.rlon) * 1000000 - r.rlon) AS rlon
+        FROM (SELECT DISTINCT lon FROM cells) c, (SELECT DISTINCT rlon FROM holed) r GROUP BY c.lon),
+      lats AS (SELECT c.lat, arg_min(r.rlat, abs(c.lat - r.rlat) * 1000000 - r.rlat) AS rlat
+        FROM (SELECT DISTINCT lat FROM cells) c, (SELECT DISTINCT rlat FROM holed) r GROUP BY c.lat)
+      SELECT c.cell, lons.rlon, lats.rlat, r.rvalue FROM cells c JOIN lons ON c.lon = lons.lon
+      JOIN lats ON c.lat = lats.lat LEFT JOIN holed r ON r.rlon = lons.rlon AND r.rlat = lats.rlat""",
+    "neighbours_of_copies": f"""WITH {CELLS},
+      placed AS (SELECT cell, CASE WHEN ix % 4 = 3 THEN ix - 1 ELSE ix END AS ix, iy FROM cells),
+      pairs AS (SELECT c.cell, n.cell AS neighbour, row_number() OVER (PARTITION BY c.cell ORDER BY n.cell) AS place
+        FROM placed c JOIN placed n ON abs(c.ix - n.ix) <= 1 AND abs(c.iy - n.iy) <= 1 AND c.cell <> n.cell)
+      SELECT cell, neighbour FROM pairs WHERE place <= 8""",
+    "read_input": f"""WITH {CELLS}, {RASTER}, {VALUES},
+      lons AS (SELECT c.lon, arg_min(r.rlon, abs(c.lon - r.rlon) * 1000000 - r.rlon) AS rlon
+        FROM (SELECT DISTINCT lon FROM cells) c, (SELECT DISTINCT rlon FROM raster) r GROUP BY c.lon),
+      lats AS (SELECT c.lat, arg_min(r.rlat, abs(c.lat - r.rlat) * 1000000 - r.rlat) AS rlat
+        FROM (SELECT DISTINCT lat FROM cells) c, (SELECT DISTINCT rlat FROM raster) r GROUP BY c.lat),
+      coarse AS (SELECT variable, floor(ix / 4) * 1000 + floor(iy / 4) AS point, band, year, round(sum(value), 2) AS value
+        FROM grid_values JOIN cells USING (cell) WHERE year = 1996 GROUP BY ALL)
+      SELECT k.variable, c.cell, k.band, k.year, k.value,
+        CASE WHEN k.variable = 'quantity' THEN concat('line ', k.band + 1) ELSE 'all' END AS band_label
+      FROM cells c JOIN lons ON c.lon = lons.lon JOIN lats ON c.lat = lats.lat
+      JOIN raster r ON r.rlon = lons.rlon AND r.rlat = lats.rlat JOIN coarse k ON k.point = r.rvalue""",
+    "regrid_inputs": """SELECT CAST(s_suppkey // 50 AS INT) AS config, s_name AS name, CAST(s_suppkey AS INT) AS id,
+      'clm' AS fmt, 'values' AS kind FROM supplier WHERE s_suppkey % 2 = 0""",
+    "catalog_available": """SELECT CAST(s_suppkey // 50 AS INT) AS config, s_name AS name FROM supplier""",
+    "catalog_coupled": """SELECT CAST(s_suppkey // 50 AS INT) AS config, s_name AS name, CAST(s_suppkey AS INT) AS index,
+      CASE WHEN s_suppkey % 2 <> 0 THEN 'raw' ELSE 'cdf' END AS fmt FROM supplier WHERE s_suppkey % 3 = 0""",
     "years_range": f"WITH {VALUES} SELECT * FROM grid_values WHERE year BETWEEN 1996 AND 1998",
     "years_clamped": f"""WITH {VALUES}, {PERIOD} SELECT v.* FROM grid_values v JOIN period p
       ON v.variable = p.variable WHERE v.year BETWEEN greatest(p.firstyear, 1990) AND least(p.lastyear, 1996)""",

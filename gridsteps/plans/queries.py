@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridsteps.functions.times import decode_time
 from gridsteps.operators import bands as B
-from gridsteps.operators import combine, cube, lookup, numbering, select, spatial, validate
+from gridsteps.operators import combine, cube, inputs, lookup, numbering, select, spatial, validate
 from gridsteps.operators import reduce as R
 from gridsteps.plans import views as V
 from gridsteps.session import work_dir
@@ -60,6 +60,52 @@ def nearest_cell(spark, d):
     return spatial.select_nearest(V.raster(spark, d), V.cells(spark, d))
 
 
+@query
+def nearest_with_holes(spark, d):
+    """A raster without some of its points, and with one far away from all others."""
+    raster = V.raster(spark, d).filter("rvalue % 7 <> 3")
+    far = spark.range(1).select(F.lit(1e6).alias("lon"), F.lit(-1e6).alias("lat"), F.lit(-1).alias("rvalue"))
+    return spatial.select_nearest(raster.unionByName(far), V.cells(spark, d))
+
+
+@query
+def neighbours_of_copies(spark, d):
+    """Every fourth cell shares the place of the cell before it; the size comes with the data."""
+    shifted = V.cells(spark, d).select(
+        "cell", F.when(F.col("ix") % 4 == 3, F.col("lon") - 0.5).otherwise(F.col("lon")).alias("lon"), "lat",
+        F.lit(0.5).alias("cellsize"))
+    return spatial.neighbours(shifted, cellsize=2.0)
+
+
+@query
+def read_input(spark, d):
+    """One year of both variables on the raster, for every cell from its nearest point."""
+    blocks = V.cells(spark, d).select("cell", (F.floor(F.col("ix") / 4) * 1000 + F.floor(F.col("iy") / 4)).alias("point"))
+    coarse = V.grid_values(spark, d).join(blocks, "cell").groupBy("variable", F.col("point").alias("cell"), "band", "year").agg(
+        F.round(F.sum("value"), 2).alias("value"))
+    points = V.raster(spark, d).select(F.col("rvalue").cast("bigint").alias("cell"), "lon", "lat")
+    return inputs.read_input(coarse, V.variables(spark, d), V.bands(spark, d), points, V.cells(spark, d), 1996, 1996)
+
+
+@query
+def regrid_inputs(spark, d):
+    """Inputs of all configurations that a regrid would carry over."""
+    return spatial.regrid_inputs(metadata.catalog_inputs(_configs(spark, d, "s_name"))).select(
+        F.regexp_extract("path", r"config=(\d+)", 1).cast("int").alias("config"), "name", "id", "fmt", "kind")
+
+
+@query
+def catalog_available(spark, d):
+    return metadata.catalog_available(_configs(spark, d)).select(
+        F.regexp_extract("path", r"config=(\d+)", 1).cast("int").alias("config"), "name")
+
+
+@query
+def catalog_coupled(spark, d):
+    return metadata.catalog_outputs(_configs(spark, d), coupled=True).select(
+        F.regexp_extract("path", r"config=(\d+)", 1).cast("int").alias("config"), "name", "index", "fmt")
+
+
 @query
 def nearest_regular(spark, d):
     return spatial.select_nearest(V.raster(spark, d), V.cells(spark, d), spacing=2.0)
@@ -671,8 +717,8 @@ def merge_metadata(spark, d):
         F.col("ref_area.filename").alias("area_file"))
 
 
-def _configs(spark, d):
-    """Suppliers as run configurations, fifty to a file."""
+def _configs(spark, d, place="'DUMMYLOCATION'"):
+    """Suppliers as run configurations, fifty to a file; ``place`` names the input files."""
     folder = work_dir(spark, "configs")
     key = F.col("s_suppkey").cast("int")
     odd = key % 2 != 0
@@ -682,7 +728,7 @@ def _configs(spark, d):
             F.when(odd, "raw").otherwise("cdf").alias("fmt"),
             F.when(key % 3 == 0, F.lit(True)).alias("socket")).alias("file"))).alias("output"),
         F.map_from_entries(F.collect_list(F.struct(F.col("s_name"), F.struct(
-            key.alias("id"), F.lit("DUMMYLOCATION").alias("name"),
+            key.alias("id"), F.expr(place).alias("name"),
             F.when(odd, "raw").otherwise("clm").alias("fmt"),
             F.when(key % 3 == 0, F.lit(True)).alias("socket"))))).alias("input"))
     rows.write.partitionBy("config").json(folder)

@@ -5,10 +5,10 @@ Listing is Spark's; only the first bytes of each file are read, in tasks.
 
 from __future__ import annotations
 
+import fnmatch
 import re
 import struct
 from collections.abc import Callable, Iterator
-from urllib.parse import unquote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
@@ -106,18 +106,58 @@ def parse_header(head: bytes, force_version: int | None = None) -> dict:
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, length) of all files below a path; contents stay unread.
 
-    Spark's scan leaves out files without content, so these are added from the
-    file index that the scan has built anyway.
+    A task lists the folder itself and each further task one of its folders
+    with all that is below. Empty files count; names that begin with a dot or an
+    underscore do not.
     """
-    scan = (
-        spark.read.format("binaryFile").option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True).load(path)
-    )
-    listed = scan.select("path", "length")
-    index = [(re.sub(r"^file:/+", "file:/", unquote(p)),) for p in scan.inputFiles()]
-    known = spark.createDataFrame(index, "path string")
-    empty = known.join(listed.select("path"), "path", "left_anti")
-    return listed.unionByName(empty.withColumn("length", F.lit(0).cast("bigint")))
+    def seen(info: pafs.FileInfo, root: str) -> bool:
+        parts = info.path[len(root):].strip("/").split("/")
+        return not any(x.startswith((".", "_")) for x in parts)
+
+    def rows(infos: list[pafs.FileInfo], prefix: str) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([prefix + f.path for f in infos], pa.string()),
+             pa.array([f.size if f.type == pafs.FileType.File else None for f in infos], pa.int64())],
+            names=["path", "length"])
+
+    def under(name: str, recursive: bool) -> Iterator[pa.RecordBatch]:
+        system, inner = open_path(name)
+        prefix = name.split(inner)[0] if "://" in name else ""
+        found = system.get_file_info(inner)
+        if found.type == pafs.FileType.NotFound:
+            raise FileNotFoundError(name)
+        if found.type == pafs.FileType.File:
+            yield rows([found], prefix)
+            return
+        below = system.get_file_info(pafs.FileSelector(inner, recursive=recursive))
+        yield rows([f for f in below if seen(f, inner)
+                    and (f.type == pafs.FileType.File or not recursive)], prefix)
+
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                yield from under(name, False)
+
+    def deep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, length in zip(*(c.to_pylist() for c in batch.columns)):
+                if length is None:
+                    yield from under(name, True)
+                else:
+                    yield pa.RecordBatch.from_pydict(
+                        {"path": pa.array([name], pa.string()), "length": pa.array([length], pa.int64())})
+
+    schema = "path string, length bigint"
+    first = spark.range(1).select(F.lit(path).alias("path")).mapInArrow(top, schema)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    listed = first.repartition(tasks, "path").mapInArrow(deep, schema)
+    pattern = re.compile(fnmatch.translate(glob)).pattern
+    return listed.filter(F.regexp_extract("path", r"([^/]*)$", 1).rlike(f"^{_java(pattern)}"))
+
+
+def _java(pattern: str) -> str:
+    """The body of a translated file name pattern, without marks that only Python knows."""
+    return re.sub(r"\(\?s:(.*)\)\\[Zz]$", r"(?s:\1)$", pattern)
 
 
 def _probe(files: DataFrame, schema: str, row: Callable[[str, int], dict]) -> DataFrame:

@@ -8,18 +8,15 @@ blocks, one file per block; the blocks in name order are the whole array.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import (
-    DataSource, DataSourceReader, DataSourceArrowWriter, InputPartition, WriterCommitMessage)
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 from gridsteps.model import MISSING_INT
-from gridsteps.sources.files import HEADER_BYTES, open_path, parse_header, read_head
+from gridsteps.sources.files import HEADER_BYTES, list_files, open_path, parse_header, read_head
 
 # Storage of each type code or word, unsigned for bytes.
 NUMPY_TYPES = {"0": "u1", "1": "i2", "2": "i4", "3": "f4", "4": "f8",
@@ -41,106 +38,77 @@ def storage_type(datatype: str, bigendian: bool) -> np.dtype:
     return np.dtype(NUMPY_TYPES[word]).newbyteorder(">" if bigendian else "<")
 
 
-class _Range(InputPartition):
-    """Consecutive elements of one file, with what is needed to place them."""
-
-    def __init__(self, path: str, start: int, count: int, layout: dict):
-        self.path, self.start, self.count, self.layout = path, start, count, layout
-
-
-class FlatGridReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
-
-    def _layout(self, path: str, size: int) -> dict:
-        o = self.options
-        variable = o.get("variable") or path.rsplit("/", 1)[-1].split(".")[0]
-        layout = {"variable": variable, "offset": int(o.get("offset", 0)),
-                  "firstyear": int(o.get("firstyear", 0)), "firstcell": int(o.get("firstcell", 0)),
-                  "nbands": int(o.get("nbands", 1)), "scalar": float(o.get("scalar", 1.0)),
-                  "datatype": o.get("datatype", "short"), "order": str(o.get("order", "cellyear")),
-                  "bigendian": str(o.get("bigendian", "false")).lower() == "true"}
-        layout["ncell"] = int(o["ncell"]) if "ncell" in o else None
-        layout["base"] = 0
-        layout["blocks"] = str(o.get("blocks", "false")).lower() == "true"
-        if layout["blocks"]:
-            variable, year, name = path.rsplit("/", 3)[1:]
-            block = int(o.get("blockelements", WRITE_ELEMENTS))
-            # blocks=true reads what the writer left: variable/year/block.bin
-            layout.update(variable=variable, firstyear=int(year),
-                          base=int(name.split(".")[0]) * block)
-        if str(o.get("header", "false")).lower() == "true":
-            head = parse_header(read_head(path, HEADER_BYTES))
-            if head["error"]:
-                raise ValueError(f"{path}: {head['error']}")
-            layout.update(
-                {k: head[k] for k in ("firstyear", "firstcell", "ncell", "nbands", "scalar")},
-                offset=head["header_bytes"], datatype=str(head["datatype"]),
-                order=str(head["order"]), bigendian=head["endian"] == "big")
-            if "variable" not in o:
-                layout["variable"] = head["name"]
-        if layout["order"] not in ORDERS:
-            raise ValueError(f"{path}: order {layout['order']} is not year, band, cell")
-        width = storage_type(layout["datatype"], layout["bigendian"]).itemsize
-        elements, rest = divmod(size - layout["offset"], width)
-        if layout["ncell"] is None:
-            layout["ncell"] = elements // layout["nbands"]
-        per_year = layout["ncell"] * layout["nbands"]
-        if layout["blocks"]:
-            whole = per_year > 0 and layout["base"] + elements <= per_year
-        else:
-            whole = per_year > 0 and elements % per_year == 0
-        if rest or not whole:
-            raise ValueError(f"{path}: {size} bytes do not hold whole years of {per_year} values")
-        layout["elements"] = elements
-        return layout
-
-    def partitions(self) -> list[InputPartition]:
-        system, inner = open_path(self.options["path"])
-        info = system.get_file_info(inner)
-        if info.type == pafs.FileType.File:
-            files = [info]
-        else:
-            files = [f for f in system.get_file_info(pafs.FileSelector(inner, recursive=True))
-                     if f.type == pafs.FileType.File]
-        prefix = self.options["path"].split(inner)[0] if "://" in self.options["path"] else ""
-        block = READ_ELEMENTS
-        parts: list[InputPartition] = []
-        for f in sorted(files, key=lambda f: f.path):
-            path = prefix + f.path
-            layout = self._layout(path, f.size)
-            parts += [_Range(path, s, min(block, layout["elements"] - s), layout)
-                      for s in range(0, layout["elements"], block)]
-        return parts
-
-    def read(self, partition: _Range) -> Iterator[pa.RecordBatch]:
-        lay = partition.layout
-        dtype = storage_type(lay["datatype"], lay["bigendian"])
-        system, inner = open_path(partition.path)
-        with system.open_input_file(inner) as f:
-            f.seek(lay["offset"] + partition.start * dtype.itemsize)
-            for start in range(partition.start, partition.start + partition.count, BATCH_ELEMENTS):
-                n = min(BATCH_ELEMENTS, partition.start + partition.count - start)
-                raw = np.frombuffer(f.read(n * dtype.itemsize), dtype=dtype).astype("f8")
-                place = np.arange(start, start + n, dtype="i8") + lay["base"]
-                slot, cell = np.divmod(place, lay["ncell"])
-                year, band = np.divmod(slot, lay["nbands"])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lay["variable"]] * n, pa.string()),
-                     pa.array(cell + lay["firstcell"]),
-                     pa.array(band.astype("i4")),
-                     pa.array((year + lay["firstyear"]).astype("i4")),
-                     pa.array(raw), pa.array(raw * lay["scalar"])],
-                    names=["variable", "cell", "band", "year", "raw", "value"])
-
-
-class _Written(WriterCommitMessage):
-    def __init__(self, moves: list[tuple[str, str]]):
-        self.moves = moves
+def layout_of(path: str, size: int, o: dict) -> dict:
+    """Where each element of one file belongs, from the options and its header."""
+    variable = o.get("variable") or path.rsplit("/", 1)[-1].split(".")[0]
+    layout = {"variable": variable, "offset": int(o.get("offset", 0)),
+              "firstyear": int(o.get("firstyear", 0)), "firstcell": int(o.get("firstcell", 0)),
+              "nbands": int(o.get("nbands", 1)), "scalar": float(o.get("scalar", 1.0)),
+              "datatype": o.get("datatype", "short"), "order": str(o.get("order", "cellyear")),
+              "bigendian": str(o.get("bigendian", "false")).lower() == "true"}
+    layout["ncell"] = int(o["ncell"]) if "ncell" in o else None
+    layout["base"] = 0
+    layout["blocks"] = str(o.get("blocks", "false")).lower() == "true"
+    if layout["blocks"]:
+        variable, year, name = path.rsplit("/", 3)[1:]
+        block = int(o.get("blockelements", WRITE_ELEMENTS))
+        # blocks=true reads what the writer left: variable/year/block.bin
+        layout.update(variable=variable, firstyear=int(year),
+                      base=int(name.split(".")[0]) * block)
+    if str(o.get("header", "false")).lower() == "true":
+        head = parse_header(read_head(path, HEADER_BYTES))
+        if head["error"]:
+            raise ValueError(f"{path}: {head['error']}")
+        layout.update(
+            {k: head[k] for k in ("firstyear", "firstcell", "ncell", "nbands", "scalar")},
+            offset=head["header_bytes"], datatype=str(head["datatype"]),
+            order=str(head["order"]), bigendian=head["endian"] == "big")
+        if "variable" not in o:
+            layout["variable"] = head["name"]
+    if layout["order"] not in ORDERS:
+        raise ValueError(f"{path}: order {layout['order']} is not year, band, cell")
+    width = storage_type(layout["datatype"], layout["bigendian"]).itemsize
+    elements, rest = divmod(size - layout["offset"], width)
+    if layout["ncell"] is None:
+        layout["ncell"] = elements // layout["nbands"]
+    per_year = layout["ncell"] * layout["nbands"]
+    if layout["blocks"]:
+        whole = per_year > 0 and layout["base"] + elements <= per_year
+    else:
+        whole = per_year > 0 and elements % per_year == 0
+    if rest or not whole:
+        raise ValueError(f"{path}: {size} bytes do not hold whole years of {per_year} values")
+    layout["elements"] = elements
+    return layout
+
+
+def _elements(path: str, start: int, count: int, lay: dict) -> Iterator[pa.RecordBatch]:
+    """Consecutive elements of one file as rows."""
+    dtype = storage_type(lay["datatype"], lay["bigendian"])
+    system, inner = open_path(path)
+    with system.open_input_file(inner) as f:
+        f.seek(lay["offset"] + start * dtype.itemsize)
+        for at in range(start, start + count, BATCH_ELEMENTS):
+            n = min(BATCH_ELEMENTS, start + count - at)
+            raw = np.frombuffer(f.read(n * dtype.itemsize), dtype=dtype).astype("f8")
+            place = np.arange(at, at + n, dtype="i8") + lay["base"]
+            slot, cell = np.divmod(place, lay["ncell"])
+            year, band = np.divmod(slot, lay["nbands"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lay["variable"]] * n, pa.string()),
+                 pa.array(cell + lay["firstcell"]),
+                 pa.array(band.astype("i4")),
+                 pa.array((year + lay["firstyear"]).astype("i4")),
+                 pa.array(raw), pa.array(raw * lay["scalar"])],
+                names=["variable", "cell", "band", "year", "raw", "value"])
 
 
 class FlatGridWriter(DataSourceArrowWriter):
-    """Blocks are written under names of their own and get their place at commit."""
+    """Every task writes its blocks under their final names.
+
+    All rows of a block meet in one task, and a block with the same rows has the
+    same bytes, so a repeated attempt replaces a file by its equal.
+    """
 
     def __init__(self, options: dict):
         self.options = options
@@ -152,52 +120,40 @@ class FlatGridWriter(DataSourceArrowWriter):
         block = int(o.get("blockelements", WRITE_ELEMENTS))
         dtype = storage_type(o.get("datatype", "float"),
                              str(o.get("bigendian", "false")).lower() == "true")
-        fill = np.nan if dtype.kind == "f" else MISSING_INT if dtype.kind == "i" else 0
+        fill = float(o["fill"]) if "fill" in o else np.nan if dtype.kind == "f" else MISSING_INT
+        limits = np.iinfo(dtype) if dtype.kind != "f" else None
         system, root = open_path(o["path"])
-        attempt = uuid.uuid4().hex
-        moves: list[tuple[str, str]] = []
-        current, data = None, None
+        current, data, taken = None, None, None
 
         def flush() -> None:
             if current is None:
                 return
             variable, year, b = current
-            final = f"{root.rstrip('/')}/{variable}/{year}/{b:08d}.bin"
-            draft = f"{root.rstrip('/')}/_drafts/{attempt}-{len(moves)}"
-            system.create_dir(f"{root.rstrip('/')}/_drafts", recursive=True)
-            with system.open_output_stream(draft) as out:
-                out.write(data.tobytes())
-            moves.append((draft, final))
+            if not taken.all() and limits and not limits.min <= fill <= limits.max:
+                raise ValueError(f"{variable} {year}: {o.get('datatype')} has no value for what is missing; give a fill")
+            folder = f"{root.rstrip('/')}/{variable}/{year}"
+            system.create_dir(folder, recursive=True)
+            with system.open_output_stream(f"{folder}/{b:08d}.bin") as out:
+                out.write(np.where(taken, data, fill).astype(dtype).tobytes())
 
         for batch in iterator:
             frame = batch.to_pandas()
-            place = frame["band"].to_numpy("i8") * ncell + frame["cell"].to_numpy("i8") - first
-            frame = frame.assign(place=place, block=place // block)
             for key, part in frame.groupby(["variable", "year", "block"], sort=False):
                 if key != current:
                     flush()
                     current = key
                     size = min(block, ncell * nbands - key[2] * block)
-                    data = np.full(size, fill, dtype=dtype)
+                    data, taken, given = np.zeros(size), np.zeros(size, bool), np.zeros(size, bool)
+                part = part[part["cell"].notna()]
+                place = part["band"].to_numpy("i8") * ncell + part["cell"].to_numpy("i8") - first - key[2] * block
+                if given[place].any() or np.unique(place).size < place.size:
+                    raise ValueError(f"{key[0]} {key[1]}: a cell and band occur more than once")
+                given[place] = True
                 values = part["value"].to_numpy("f8")
                 seen = ~np.isnan(values)
-                inside = (part["place"].to_numpy() - key[2] * block)[seen]
-                data[inside] = values[seen].astype(dtype)
+                data[place[seen]], taken[place[seen]] = values[seen], True
         flush()
-        return _Written(moves)
-
-    def commit(self, messages: list[WriterCommitMessage | None]) -> None:
-        system, _ = open_path(self.options["path"])
-        for message in messages:
-            for draft, final in message.moves if message else []:
-                system.create_dir(final.rsplit("/", 1)[0], recursive=True)
-                system.move(draft, final)
-
-    def abort(self, messages: list[WriterCommitMessage | None]) -> None:
-        system, _ = open_path(self.options["path"])
-        for message in messages:
-            for draft, _ in message.moves if message else []:
-                system.delete_file(draft)
+        return WriterCommitMessage()
 
 
 class FlatGridSource(DataSource):
@@ -208,36 +164,77 @@ class FlatGridSource(DataSource):
     def schema(self) -> str:
         return READ_SCHEMA
 
-    def reader(self, schema) -> DataSourceReader:
-        return FlatGridReader(dict(self.options))
-
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         return FlatGridWriter(dict(self.options))
 
 
 def scan_flat_grid(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Values of flat files below a path; options describe the layout."""
-    spark.dataSource.register(FlatGridSource)
-    return spark.read.format("flatgrid").options(**options).load(path)
+    """Values of flat files below a path; options describe the layout.
+
+    Tasks list the files, read headers and cut element ranges; the ranges are
+    then dealt out, so one large file is read by many tasks.
+    """
+    options = {k: str(v) for k, v in options.items()}
+    step = READ_ELEMENTS
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for name, size in zip(*(c.to_pylist() for c in batch.columns)):
+                lay = layout_of(name, size, options)
+                rows += [(name, size, s, min(step, lay["elements"] - s)) for s in range(0, lay["elements"], step)]
+            if rows:
+                columns = list(zip(*rows))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(columns[0]), *(pa.array(c, pa.int64()) for c in columns[1:])],
+                    names=["path", "length", "start", "count"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, size, start, count in zip(*(c.to_pylist() for c in batch.columns)):
+                yield from _elements(name, start, count, layout_of(name, size, options))
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = list_files(spark, path).select("path", "length").mapInArrow(
+        ranges, "path string, length bigint, start bigint, count bigint")
+    return cut.repartition(tasks, "path", "start").mapInArrow(read, READ_SCHEMA)
 
 
 def write_flat_grid(values: DataFrame, path: str, ncell: int, nbands: int, **options) -> None:
     """Write values as flat files, one folder per (variable, year).
 
     Rows meet by element block, never by whole year, so a variable and year
-    that hold most rows still spread over many tasks.
+    that hold most rows still spread over many tasks. Every block of every
+    (variable, year) is written, also one without a row. Cells and bands outside
+    the layout, repeated keys, and values that the type cannot hold are errors;
+    so is a missing value in a type without sentinel, unless ``fill`` is given.
     """
     spark = values.sparkSession
     spark.dataSource.register(FlatGridSource)
     block = int(options.get("blockelements", WRITE_ELEMENTS))
     first = int(options.get("firstcell", 0))
-    place = F.col("band").cast("bigint") * ncell + F.col("cell") - first
-    keys = ["variable", "year", "__block"]
+    dtype = storage_type(options.get("datatype", "float"), False)
+    cell, band, value = F.col("cell").cast("bigint"), F.col("band").cast("bigint"), F.col("value").cast("double")
+    value = F.when(~F.isnan(value), value)
+    wrong = (
+        F.when(~F.coalesce(cell.between(first, first + ncell - 1) & band.between(0, nbands - 1), F.lit(False)),
+               F.concat_ws(" ", F.lit("outside the layout: cell"), cell, F.lit("band"), band)))
+    if dtype.kind != "f":
+        limits = np.iinfo(dtype)
+        wrong = wrong.when(~value.between(int(limits.min), int(limits.max)), F.concat_ws(
+            " ", F.lit(f"outside the range of {options.get('datatype')}: cell"), cell, F.lit("value"), value))
+    place = band * ncell + cell - first
+    rows = values.select(
+        "variable", "year", F.when(wrong.isNotNull(), F.raise_error(wrong).cast("bigint")).otherwise(cell).alias("cell"),
+        band.cast("int").alias("band"), value.alias("value"), F.floor(place / block).cast("bigint").alias("block"))
+    blocks = -(-ncell * nbands // block)
+    every = values.select("variable", "year").distinct().select(
+        "variable", "year", F.lit(None).cast("bigint").alias("cell"), F.lit(None).cast("int").alias("band"),
+        F.lit(None).cast("double").alias("value"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("block"))
+    keys = ["variable", "year", "block"]
     (
-        values.select("variable", "year", "cell", "band", F.col("value").cast("double").alias("value"))
-        .withColumn("__block", F.floor(place / block))
-        .repartition(*keys).sortWithinPartitions(*keys)
-        .drop("__block")
+        rows.unionByName(every).repartition(*keys).sortWithinPartitions(*keys)
         .write.format("flatgrid").mode("append")
         .options(ncell=ncell, nbands=nbands, **options).save(path)
     )
