@@ -109,17 +109,19 @@ class StepStore:
         base = f"{self.root.rstrip('/')}/{table}"
         return base if batch_id is None else f"{base}/batch_id={batch_id}"
 
-    def _read(self, spark: SparkSession, table: str, schema) -> DataFrame:
+    def _read(self, spark: SparkSession, table: str, schema, paths: list[str] | None = None) -> DataFrame:
         try:
             return spark.read.schema(schema).option("basePath", self.path(table)).parquet(
-                self.path(table))
+                *(paths or [self.path(table)]))
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], schema)
 
-    def arrivals(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "arrivals", VALUES).select(VALUES.fieldNames())
+    def arrivals(self, spark: SparkSession, years: list[int] | None = None) -> DataFrame:
+        """Rows as they came; with ``years``, which all have rows, only their folders are listed."""
+        paths = years and [f"{self.path('arrivals')}/batch_id=*/year={y}" for y in years]
+        return self._read(spark, "arrivals", VALUES, paths).select(VALUES.fieldNames())
 
     def counts(self, spark: SparkSession) -> DataFrame:
         return self._read(spark, "counts", "variable string, year int, n bigint").drop("batch_id")
@@ -234,9 +236,8 @@ def _ready_years(spark: SparkSession, store: StepStore, expected: DataFrame,
     run = [y for i, y in enumerate(years) if y == open_year + i]
     if not run:
         return []
-    inside = F.col("year").between(run[0], run[-1])
-    arrived, dated = store.arrivals(spark).filter(inside), dated.filter(inside)
-    sure = {r.year for r in complete_steps(arrived, dated).filter("complete").select("year").collect()}
+    dated = dated.filter(F.col("year").between(run[0], run[-1]))
+    sure = {r.year for r in complete_steps(store.arrivals(spark, run), dated).filter("complete").select("year").collect()}
     ready = []
     for y in run:
         if y not in sure:
@@ -263,7 +264,7 @@ def run_steps(stream: DataFrame, fn: Callable[[DataFrame, int], DataFrame], stor
         closed = store.closed_year(spark)
         open_year = first_year if closed is None else closed + 1
         for year in _ready_years(spark, store, expected, open_year, last_year):
-            outputs = read_step(store.arrivals(spark), year).drop("time")
+            outputs = read_step(store.arrivals(spark, [year]), year).drop("time")
             if year < last_year:
                 write_step(fn(outputs, year), year + 1, store, registry, ncell)
                 store.record(spark, batch_id, year, [(year, READ), (year + 1, SEND)])
