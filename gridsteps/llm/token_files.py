@@ -35,6 +35,7 @@ HEADER = "<8sII"
 FOOTER = "<QQQQ8s"
 BLOCK_IDS = 1 << 16
 DOCS_PER_FILE = 1 << 16
+QUANTILES = 4096
 
 MANIFEST = "file int, path string, n_docs long, n_ids long, n_bytes long"
 
@@ -162,6 +163,24 @@ def encoded(docs: DataFrame, path: str, end_id: int, bounds: list[int]) -> DataF
     return picked.mapInArrow(encode, "file int, doc_id long, ids binary")
 
 
+def range_bounds(docs: DataFrame, files: int) -> list[int]:
+    """At most ``files - 1`` ascending ids that cut all ids into runs of about equal numbers.
+
+    A bounded number of quantiles comes from one mergeable summary of all ids;
+    where more files are wanted, the ids between two quantiles are cut evenly.
+    """
+    if files < 2:
+        return []
+    n = min(files, QUANTILES)
+    ids = F.col("doc_id").cast("long")
+    low, cuts, high = docs.agg(F.min(ids), F.percentile_approx(ids, [k / n for k in range(1, n)], 100 * n), F.max(ids)).first()
+    if low is None:
+        return []
+    edges = sorted({low, *cuts, high})
+    parts = files // n
+    return sorted({a + (b - a) * k // parts for a, b in zip(edges, edges[1:]) for k in range(1, parts + 1)} - {high})
+
+
 def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer_path: str | None = None,
                       end_id: int = 0, block_ids: int = BLOCK_IDS, docs_per_file: int = DOCS_PER_FILE) -> DataFrame:
     """Write all documents in ascending doc_id order; returns the committed manifest.
@@ -176,11 +195,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer_path
     width = min_width(max(vocabulary_size(tokenizer_path), end_id + 1))
     n = docs.count()
     files = max(1, min(n, max(width_of(spark), -(-n // docs_per_file))))
-    bounds: list[int] = []
-    if files > 1:
-        steps = [k / files for k in range(1, files)]
-        found = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), steps, 100 * files)).first()[0]
-        bounds = sorted(set(found or []))
+    bounds = range_bounds(docs, files)
     system, inner = open_path(folder)
     system.create_dir(inner, recursive=True)
 

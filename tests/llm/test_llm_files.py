@@ -74,6 +74,16 @@ def test_token_files(docs):
         assert reader.ids(start, min(n, len(stream))).tolist() == stream[start:start + n]
 
 
+@pytest.mark.parametrize("quantiles", [4096, 3])
+def test_range_bounds(spark, monkeypatch, quantiles):
+    monkeypatch.setattr(token_files, "QUANTILES", quantiles)
+    docs = spark.range(0, 9000, 9).withColumnRenamed("id", "doc_id")
+    bounds = token_files.range_bounds(docs, 12)
+    cut = np.searchsorted(bounds, np.arange(0, 9000, 9), side="left")
+    assert bounds == sorted(set(bounds)) and len(bounds) <= 11 and np.bincount(cut).max() <= 2 * 1000 / 12
+    assert token_files.range_bounds(docs, 1) == [] == token_files.range_bounds(docs.filter("false"), 5)
+
+
 def test_empty_tables(docs, spark):
     none = docs.filter("false")
     assert token_files.read_token_files(token_files.write_token_files(none)).count() == 0
