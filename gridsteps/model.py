@@ -17,12 +17,13 @@ VALUES = T.StructType([
     T.StructField("value", T.DoubleType()),
 ])
 
+# Fields of a file reference in the sidecars.
 FILE_REF = T.StructType([
     T.StructField("filename", T.StringType()),
     T.StructField("format", T.StringType()),
 ])
 
-# One metadata sidecar. ``band_names`` is read as strings because files hold
+# The fields of one metadata sidecar. ``band_names`` is read as strings because files hold
 # either labels or numbers there; ``datatype`` likewise holds a word or a code.
 METADATA = T.StructType(
     [T.StructField(n, T.StringType()) for n in (

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from gridsteps.functions.text import lcs_length, match_masks, normalise, score_of
@@ -102,6 +104,13 @@ def fuzzy_match(queries: DataFrame, column: str, names: DataFrame) -> DataFrame:
         "query", "best.name", "best.code", "best.score")
 
 
+def name_metadata(variables: DataFrame, names: Sequence[str], codes: Sequence[str] = ()) -> DataFrame:
+    """Metadata after ids have become names, or codes: ``long_name`` says so; others stay."""
+    v = F.col("variable")
+    return variables.withColumn("long_name", F.when(v.isin(*codes), F.concat(v, F.lit(" iso alpha-3 code")))
+                                .when(v.isin(*names), F.concat(v, F.lit(" name"))).otherwise(F.col("long_name")))
+
+
 def resolve_variable(df: DataFrame, outputs: DataFrame, column: str = "index") -> DataFrame:
     """Variable name of a numeric output index; ``outputs`` carries (index, name).
 

@@ -121,6 +121,9 @@ ORACLES = {
       coalesce(name, CAST(country_id AS VARCHAR)) AS country FROM cells LEFT JOIN countries ON country_id = id""",
     "code_to_iso": f"""WITH {CELLS}, {COUNTRIES} SELECT cell, country_id,
       coalesce(code, CAST(country_id AS VARCHAR)) AS country FROM cells LEFT JOIN countries ON country_id = id""",
+    "name_metadata": """SELECT p_brand AS variable, CASE WHEN p_brand IN ('Brand#11', 'Brand#22') THEN concat(p_brand, ' name')
+      WHEN p_brand = 'Brand#33' THEN concat(p_brand, ' iso alpha-3 code') ELSE min(p_type) END AS long_name
+      FROM part GROUP BY p_brand""",
     "iso_to_name": f"""WITH {CELLS}, {COUNTRIES} SELECT cell, c.code, lower(name) AS country
       FROM (SELECT cell, concat('N', lpad(CAST(country_id AS VARCHAR), 2, '0')) AS code FROM cells) c
       LEFT JOIN countries k ON c.code = k.code""",

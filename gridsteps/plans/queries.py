@@ -200,6 +200,14 @@ def iso_to_name(spark, d):
     return lookup.iso_to_name(coded, V.countries(spark, d))
 
 
+@query
+def name_metadata(spark, d):
+    """Brands as variables; two of them hold ids that became names, one that became codes."""
+    brands = V.table(spark, d, "part").groupBy(F.col("p_brand").alias("variable")).agg(
+        F.min("p_type").alias("long_name"))
+    return lookup.name_metadata(brands, ["Brand#11", "Brand#22"], ["Brand#33"])
+
+
 @query
 def fuzzy_match(spark, d):
     """Garbled part names against the list of part names."""

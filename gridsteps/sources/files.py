@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gridsteps.model import METADATA
+
 # File signatures and the header name of unsupported restart files.
 GRID_MAGIC = b"LPJ"
 RESTART_NAME = "LPJRESTART"
@@ -197,8 +199,8 @@ def header_catalog(spark: SparkSession, path: str, glob: str = "*",
 
 def header_metadata(headers: DataFrame) -> DataFrame:
     """Header rows in the shape of the metadata table; names are not in a header."""
-    return headers.filter(F.col("error").isNull()).select(
-        F.col("name").alias("variable"), "path", "nbands",
-        F.lit(None).cast("array<string>").alias("band_names"),
-        "nyear", "firstyear", "lastyear", "cellsize_lon", "cellsize_lat", "ncell", "firstcell",
-        "nstep", "timestep", F.col("datatype").cast("string").alias("datatype"), "scalar")
+    known = headers.filter(F.col("error").isNull()).withColumn("variable", F.col("name"))
+    fields = [f for f in METADATA.fields if f.name in known.columns and f.name != "name"]
+    return known.select(
+        "path", *(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in fields),
+        F.lit(None).cast("array<string>").alias("band_names"))
