@@ -80,8 +80,12 @@ def _neighbour_lists(cells: DataFrame, by: str, cellsize: float) -> DataFrame:
                               F.array_sort(F.collect_list("pid")).alias("__ids"))
         .drop("point")
     )
+    # Cells without a place have no neighbours; their NULL keys would meet in one task.
+    lost = F.col("lon").isNull() | F.col("lat").isNull()
+    placed = cells.filter(~lost).join(lists, ["lon", "lat"], "left")
+    nowhere = cells.filter(lost).withColumn("__ids", F.lit(None).cast("array<bigint>"))
     return (
-        cells.join(lists, ["lon", "lat"], "left")
+        placed.unionByName(nowhere)
         .withColumn("__near", F.slice(
             F.filter(F.coalesce(F.col("__ids"), F.array().cast("array<bigint>")),
                      lambda n: n != F.col(by)), 1, MAX_NEIGHBOURS))

@@ -127,8 +127,7 @@ ORACLES = {
     "iso_to_name": f"""WITH {CELLS}, {COUNTRIES} SELECT cell, c.code, lower(name) AS country
       FROM (SELECT cell, concat('N', lpad(CAST(country_id AS VARCHAR), 2, '0')) AS code FROM cells) c
       LEFT JOIN countries k ON c.code = k.code""",
-    "fuzzy_match": r"""WITH names AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS pos
-        FROM (SELECT DISTINCT p_name AS name FROM part)),
+    "fuzzy_match": r"""WITH names AS (SELECT p_name AS name, min(p_partkey) AS pos FROM part GROUP BY p_name),
       queries AS (SELECT DISTINCT concat(upper(translate(p_name, 'aeiou', 'eioua')), '#', p_size) AS query FROM part),
       texts AS (SELECT query, trim(lower(regexp_replace(query, '\W', ' ', 'g'))) AS t FROM queries),
       pairs AS (SELECT t, n.name, n.pos, trim(lower(regexp_replace(n.name, '\W', ' ', 'g'))) AS s
@@ -139,8 +138,8 @@ ORACLES = {
             ELSE greatest(row_[j + 1], acc[-1]) END), [0]),
           list_transform(range(0, length(t) + 1), lambda z: 0))[-1] AS lcs FROM pairs),
       rated AS (SELECT t, name, pos, CAST(round_even(200.0 * lcs / total, 0) AS INT) AS score FROM scored),
-      best AS (SELECT t, arg_max(name, score * 100000 - pos) AS name,
-        concat('C', arg_max(pos, score * 100000 - pos)) AS code, max(score) AS score FROM rated GROUP BY t)
+      best AS (SELECT t, arg_max(name, CAST(score AS BIGINT) * 1000000000 - pos) AS name,
+        concat('C', arg_max(pos, CAST(score AS BIGINT) * 1000000000 - pos)) AS code, max(score) AS score FROM rated GROUP BY t)
       SELECT query, name, code, score FROM texts JOIN best ON texts.t = best.t""",
     "extract_region": f"WITH {REGION} SELECT cell, lon, lat, CAST(new_cell AS BIGINT) AS new_cell FROM region",
     "regrid_values": f"""WITH {REGION}, {VALUES} SELECT v.variable, CAST(r.new_cell AS BIGINT) AS cell, v.band,

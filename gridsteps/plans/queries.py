@@ -212,9 +212,7 @@ def name_metadata(spark, d):
 def fuzzy_match(spark, d):
     """Garbled part names against the list of part names."""
     part = V.table(spark, d, "part")
-    names = part.select(F.col("p_name").alias("name")).distinct()
-    position = F.row_number().over(V.ordered("name")) - 1
-    names = names.select("name", position.alias("pos")).withColumn(
+    names = part.groupBy(F.col("p_name").alias("name")).agg(F.min("p_partkey").alias("pos")).withColumn(
         "code", F.concat(F.lit("C"), F.col("pos").cast("string")))
     garbled = F.concat(F.upper(F.translate("p_name", "aeiou", "eioua")), F.lit("#"),
                        F.col("p_size").cast("string"))
