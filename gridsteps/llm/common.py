@@ -42,8 +42,9 @@ def raw_texts(batch: pa.RecordBatch, name: str = "text") -> list[bytes | None]:
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
 
 
-def slices(batch: pa.RecordBatch, name: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Consecutive pieces of a batch of about ``size`` bytes of text, one row at least."""
+def slices(batch: pa.RecordBatch, name: str = "text", size: int = SLICE_BYTES,
+           rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Consecutive pieces of a batch of about ``size`` bytes of text, one row at least and ``rows`` at most."""
     if batch.num_rows == 0:
         return
     column = batch.column(batch.schema.get_field_index(name))
@@ -51,7 +52,7 @@ def slices(batch: pa.RecordBatch, name: str = "text", size: int = SLICE_BYTES) -
     ends = np.cumsum(lengths + 1)
     start, base = 0, 0
     while start < batch.num_rows:
-        stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
+        stop = min(start + rows, max(start + 1, int(np.searchsorted(ends, base + size, side="right"))))
         yield batch.slice(start, stop - start)
         start, base = stop, int(ends[stop - 1])
 
@@ -111,3 +112,10 @@ def running_sums(df: DataFrame, order: list[Column], weights: list[str]) -> tupl
     found = summed.join(F.broadcast(starts), "part").withColumn(
         "before", F.zip_with("before", "offset", lambda x, y: x + y)).drop("part", "offset")
     return found, total
+
+
+def release_cached() -> None:
+    """Drop what earlier tasks of other operators keep in this worker process."""
+    held = worker_registry()
+    for key in [k for k in held if isinstance(k, tuple)]:
+        del held[key]

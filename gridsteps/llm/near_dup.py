@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridsteps.llm.common import free_name, raw_texts, slices, stored, width_of
+from gridsteps.llm.common import free_name, raw_texts, release_cached, slices, stored, width_of
 from gridsteps.llm.components import components
 from gridsteps.llm.shingles import common, mix, shingle_sets
 
@@ -34,6 +34,8 @@ LEADERS = 4
 THRESHOLD = 75
 BLOCK = 1024
 LEADER_ROWS = 1000
+# What a task hashes at a time.
+SLICE_BYTES, SLICE_ROWS = 1_000_000, 256
 
 SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch array<long>"
 
@@ -72,8 +74,9 @@ def signatures(docs: DataFrame) -> DataFrame:
     """Per document: size and hash of its shingle set, band keys, odd sketch."""
 
     def sign(batches):
+        release_cached()
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE_BYTES, rows=SLICE_ROWS):
                 sets = shingle_sets([t or b"" for t in raw_texts(batch)])
                 samples = np.stack([minhashes(s) for s in sets])
                 bands = band_keys(samples).view(np.int64)
@@ -115,9 +118,10 @@ def confirm(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
         "a", "salt", (F.col("a") != F.col("doc_id")).alias("other"), "doc_id", "text")
 
     def check(batches):
+        release_cached()
         leader, own = None, None
         for whole in batches:
-            for batch in slices(whole):
+            for batch in slices(whole, size=SLICE_BYTES, rows=SLICE_ROWS):
                 found = []
                 sets = shingle_sets([t or b"" for t in raw_texts(batch)])
                 keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
