@@ -33,8 +33,10 @@ RATIO = 2.0
 DIGEST_CHARS = (32, 40, 56, 64, 96, 128)
 DIGEST = re.compile(r"(?:(?:md5|sha\d+)[-:=])?[0-9a-fA-F]+")
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
-# Words of letters joined by single separators, with or without numbers at their ends.
-IDENTIFIER = re.compile(r"[A-Za-z]*[a-z]{3,}[A-Za-z]*\d{0,4}(?:[-_/=+][A-Za-z]*\d{0,4})*|[A-Za-z]+|[\d_/=+-]+")
+# Words of letters joined by single separators, with or without numbers at their ends; words of three and more
+# letters must reach the ratio, too.
+IDENTIFIER = re.compile(r"[A-Za-z]*[a-z]{3,}[A-Za-z]*\d{0,4}(?:[-_/=+][A-Za-z]*\d{0,4})*|[\d_/=+-]+")
+WORD = re.compile(r"[A-Za-z]{3,}")
 
 FOUND = "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
 
@@ -59,13 +61,22 @@ def vocabulary(path: str):
     return held["ranks", path]
 
 
+def is_dense(text: str, path: str, ratio: float) -> bool:
+    """True for a string with few characters per token."""
+    return len(text) < ratio * len(vocabulary(path).encode_ordinary(text))
+
+
+def is_known(text: str) -> bool:
+    """True for a UUID or a digest of a usual length."""
+    return bool(UUID.fullmatch(text) or
+                DIGEST.fullmatch(text) and len(re.sub(r"^.*[-:=]", "", text)) in DIGEST_CHARS)
+
+
 def is_random(text: str, path: str, ratio: float = RATIO) -> bool:
     """True for a string with few characters per token that is no known digest or identifier."""
-    if UUID.fullmatch(text) or IDENTIFIER.fullmatch(text):
-        return False
-    if DIGEST.fullmatch(text) and len(re.sub(r"^.*[-:=]", "", text)) in DIGEST_CHARS:
+    if is_known(text) or not is_dense(text, path, ratio):
         return False
-    return len(text) < ratio * len(vocabulary(path).encode_ordinary(text))
+    return not IDENTIFIER.fullmatch(text) or any(is_dense(w, path, ratio) for w in WORD.findall(text))
 
 
 def scan(raw: bytes, path: str, ratio: float = RATIO) -> list[tuple[int, int, int]]:

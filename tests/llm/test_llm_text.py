@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import string
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -113,6 +114,29 @@ def test_secrets(spark):
     assert S.scan_documents(docs.filter("false")).count() == 0
 
 
+def drawn(seed, alphabet, sizes, n=200):
+    import random
+
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice(alphabet) for _ in range(rnd.choice(sizes))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("alphabet, least", [(string.ascii_letters, 0.99), (string.ascii_uppercase, 0.97), (string.ascii_lowercase, 0.9),
+                                             (string.ascii_letters + string.digits, 0.99)])
+def test_random_letters_are_found(alphabet, least):
+    texts = drawn(1, alphabet, range(20, 65))
+    assert sum(S.is_random(t, S.default_path()) for t in texts) >= least * len(texts)
+    assert S.is_random("qZxKvWpLmRtYbNcDfGhJ", S.default_path())
+
+
+@pytest.mark.parametrize("text", [
+    "internationalization", "counterrevolutionaries", "Donaudampfschifffahrtsgesellschaft", "getElementsByTagNameAndIndex",
+    "some_long_identifier_name_here", "config_a_b_c_d_e_f_g_h", "backup_2024-01-15_12-30-45", "----------====----------",
+])
+def test_words_and_identifiers_are_not(text):
+    assert not S.is_random(text, S.default_path())
+
+
 def plain_sets(texts):
     out = []
     for t in texts:
