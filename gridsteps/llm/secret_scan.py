@@ -2,7 +2,9 @@
 
 A vocabulary learnt from natural text spends many tokens on random characters.
 Long unbroken strings with few characters per token are reported, unless they
-are known digests or identifiers. Offsets count code points, ends exclusive.
+are known digests or identifiers. Inside a string that readable names make
+longer, every stretch of at least as many characters is tested as well.
+Offsets count code points, ends exclusive.
 """
 
 from __future__ import annotations
@@ -10,6 +12,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
+from itertools import accumulate, pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -27,6 +31,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_HINTS = (b"passw", b"secret", b"token", b"api")
 
 # Candidates of the token test.
+STRING_CHARS = 20
 STRING = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 RATIO = 2.0
 # Characters of hexadecimal MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
@@ -37,6 +42,11 @@ UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 # letters must reach the ratio, too.
 IDENTIFIER = re.compile(r"[A-Za-z]*[a-z]{3,}[A-Za-z]*\d{0,4}(?:[-_/=+][A-Za-z]*\d{0,4})*|[\d_/=+-]+")
 WORD = re.compile(r"[A-Za-z]{3,}")
+# Parts between separators: numbers and one or two letters say nothing, a word may have a number at its end.
+PART = re.compile(r"[A-Za-z0-9]+")
+SHORT = re.compile(r"\d+|[A-Za-z]{1,2}\d{0,4}")
+NUMBERED = re.compile(r"([A-Za-z]+)(\d{0,4})")
+UUID_INSIDE = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
 
 FOUND = "doc_id long, n_assign long, n_access long, n_hex long, n_random long, base_sha256 string, spans string"
 
@@ -79,6 +89,91 @@ def is_random(text: str, path: str, ratio: float = RATIO) -> bool:
     return not IDENTIFIER.fullmatch(text) or any(is_dense(w, path, ratio) for w in WORD.findall(text))
 
 
+def random_parts(text: str, path: str, ratio: float = RATIO) -> list[tuple[int, int]]:
+    """(start, end) of the random parts of a string that is not random as a whole.
+
+    Every stretch of at least STRING_CHARS characters that begins and ends at
+    tokens is tested; what it touches is reported from separator to separator.
+    Numbers, short parts, digests, UUIDs, rows of separators and those beside
+    readable parts count as characters without tokens.
+    """
+    if is_known(text):
+        return []
+    vocab = vocabulary(path)
+    ends = list(accumulate(map(len, vocab.decode_tokens_bytes(vocab.encode_ordinary(text))), initial=0))
+    known = [m.span() for m in UUID_INSIDE.finditer(text)]
+    plain = bytearray(len(text))  # 1: a character of a token that does not count
+    parts: list[tuple[int, int]] = []
+    odd: list[tuple[int, int]] = []
+    for m in PART.finditer(text):
+        s, e = m.span()
+        parts.append((s, e))
+        word = NUMBERED.fullmatch(m[0])
+        if SHORT.fullmatch(m[0]) or is_known(m[0]) or any(a <= s and e <= b for a, b in known):
+            plain[s:e] = b"\1" * (e - s)
+        elif word and not is_dense(word[1], path, ratio):
+            plain[s + len(word[1]):e] = b"\1" * len(word[2])
+        else:
+            odd.append((s, e))
+    starts, stops = {s for s, _ in odd}, {e for _, e in odd}
+    at = 0
+    for s, e in [*parts, (len(text), len(text))]:
+        if s > at and not (s <= at + 2 and at in stops and s in starts):
+            plain[at:s] = b"\1" * (s - at)
+        at = e
+    sums = list(accumulate((ratio * (not plain[a]) - (b - a) for a, b in pairwise(ends)), initial=0.0))
+    # A longer stretch above zero has one of these lengths above zero inside.
+    most = 2 * STRING_CHARS + max((b - a for a, b in pairwise(ends)), default=0)
+    found: list[tuple[int, int]] = []
+    near = 0
+    for j, end in enumerate(ends):
+        while ends[near] <= end - STRING_CHARS:
+            near += 1
+        i = near - 1
+        while i >= 0 and end - ends[i] <= most and sums[i] >= sums[j]:
+            i -= 1
+        if i >= 0 and end - ends[i] <= most:
+            a = ends[i]
+            if found and a < found[-1][1]:
+                a = min(a, found.pop()[0])
+                while found and a < found[-1][1]:
+                    a = min(a, found.pop()[0])
+            found.append((a, end))
+    spans: list[tuple[int, int]] = []
+    for a, b in found:
+        own = odd[bisect_right(odd, a, key=lambda p: p[1]):bisect_left(odd, b, key=lambda p: p[0])]
+        own = own or parts[bisect_right(parts, a, key=lambda p: p[1]):bisect_left(parts, b, key=lambda p: p[0])]
+        if spans and own[0][0] < spans[-1][1]:
+            spans[-1] = spans[-1][0], own[-1][1]
+        else:
+            spans.append((own[0][0], own[-1][1]))
+    return spans
+
+
+def random_spans(text: str, base: list[tuple[int, int, int]], path: str, ratio: float = RATIO) -> list[tuple[int, int]]:
+    """(start, end) of random strings and parts in what the sorted base spans leave uncovered."""
+    spans: list[tuple[int, int]] = []
+    k = 0
+    for m in STRING.finditer(text):
+        at, stop = m.span()
+        while k < len(base) and base[k][1] <= at:
+            k += 1
+        free, i = [], k
+        while i < len(base) and base[i][0] < stop:
+            free.append((at, base[i][0]))
+            at = max(at, base[i][1])
+            i += 1
+        for s, e in [*free, (at, stop)]:
+            if e - s < STRING_CHARS:
+                continue
+            rest = text[s:e]
+            if is_random(rest, path, ratio):
+                spans.append((s, e))
+            else:
+                spans += [(s + a, s + b) for a, b in random_parts(rest, path, ratio)]
+    return spans
+
+
 def scan(raw: bytes, path: str, ratio: float = RATIO) -> list[tuple[int, int, int]]:
     """(start, end, index in KINDS) of all spans of one text, in that order."""
     lowered = raw.lower()
@@ -94,9 +189,7 @@ def scan(raw: bytes, path: str, ratio: float = RATIO) -> list[tuple[int, int, in
         if b"AKIA" in raw:
             spans += [(*m.span(), 1) for m in ACCESS.finditer(text) if len(m[0]) >= ACCESS_CHARS]
         spans += [(*m.span(), 2) for m in HEX.finditer(text)]
-        base = sorted(spans)
-        spans += [(*m.span(), 3) for m in STRING.finditer(text)
-                  if not any(s < m.end() and m.start() < e for s, e, _ in base) and is_random(m[0], path, ratio)]
+        spans += [(s, e, 3) for s, e in random_spans(text, sorted(spans), path, ratio)]
     return sorted(spans)
 
 
