@@ -4,7 +4,8 @@ The byte-level pre-tokenizer never joins what stands on both sides of a space
 or line end that a visible character follows, so a text is split there and the
 ids of frequent chunks are kept in the worker. Chunks of Latin letters and signs
 are split by the pre-tokenizer's own pattern, and the model encodes each
-distinct piece once. The ids are those of the whole text.
+distinct piece once. The ids are those of the whole text; the tokenizer encodes
+texts that hold an added token, such as an end mark, as a whole.
 """
 
 from __future__ import annotations
@@ -64,7 +65,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -72,8 +72,9 @@ class Encoder:
         self.chunked = (
             before.get("type") == "ByteLevel" and before.get("use_regex", True)
             and not before.get("add_prefix_space") and not spec.get("normalizer")
-            and all(t.get("special") for t in spec.get("added_tokens", []))
         )
+        # Texts with one of these are not cut.
+        self.marks = (BARE, LINE, *(t["content"] for t in spec.get("added_tokens") or []))
         self.known: dict[str, bytes] = {}
         if self.chunked:
             import public_tokenizers
@@ -144,8 +145,18 @@ class Encoder:
     def encode(self, texts: Iterable[str]) -> list[bytes]:
         """Id bytes of each text; an empty text has none."""
         texts = list(texts)
-        if not self.chunked or any(BARE in t or LINE in t for t in texts):
+        if not self.chunked:
             return self._plain(texts)
+        whole = [i for i, t in enumerate(texts) if any(m in t for m in self.marks)]
+        if not whole:
+            return self._cut(texts)
+        held = {*whole}
+        found = dict(zip(whole, self._plain([texts[i] for i in whole])))
+        others = [i for i in range(len(texts)) if i not in held]
+        found.update(zip(others, self._cut([texts[i] for i in others])))
+        return [found[i] for i in range(len(texts))]
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
         chunks, ends = [], []
         for text in texts:
             chunks += self._split(text)

@@ -3,6 +3,7 @@
 import hashlib
 import base64
 import zlib
+from functools import cache
 
 import numpy as np
 import pytest
@@ -40,6 +41,41 @@ def test_chunked_encoding_is_whole_encoding(texts):
     assert enc.encode(texts) == [np.array(plain_ids(t)[:-1], enc.dtype).tobytes() for t in texts]
 
 
+MARKED = ["a<|endoftext|>b", "<|endoftext|>", " <|endoftext|> \n<|endoftext|><|endoftext|>é", "words  <|endoftext|>\nmore words", "<|endoftext", "plain"]
+
+
+@cache
+def fresh_tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(default_path())
+
+
+def fresh_ids(texts):
+    return [e.ids for e in fresh_tokenizer().encode_batch(texts, add_special_tokens=False)]
+
+
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|", "|>", "a", " ", "\n", "é", "\x01", ", "]), max_size=12).map("".join), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_added_tokens_are_encoded_as_the_file_says(texts):
+    enc = encoder(default_path())
+    assert fresh_ids(["a<|endoftext|>b"]) == [[64, 50256, 65]]
+    for some in (texts, MARKED):
+        assert [np.frombuffer(i, enc.dtype).tolist() for i in enc.encode(some)] == fresh_ids(some)
+
+
+def test_added_tokens_in_files_and_windows(spark):
+    docs = spark.createDataFrame(list(enumerate(MARKED)), "doc_id long, text string").repartition(2)
+    wanted, at = [], 0
+    for i, ids in enumerate(fresh_ids(MARKED)):
+        wanted.append((i, at, len(ids) + 1, crc([*ids, 0])))
+        at += len(ids) + 1
+    got = token_files.read_token_files(token_files.write_token_files(docs)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    assert sorted(map(tuple, got.collect())) == wanted
+    pieces = packing.pieces(packing.pack_sequences(docs)).collect()
+    assert sorted((p.doc_id, p.doc_tokens, p.ids_crc32) for p in pieces) == [(i, n, c) for i, _, n, c in wanted]
+
+
 @pytest.mark.parametrize("width", [1, 5, 8, 16, 17, 31, 32])
 @pytest.mark.parametrize("n", [0, 1, 7, 8, 1001])
 def test_bits(width, n):
