@@ -90,4 +90,44 @@ FROM documents AS d LEFT JOIN n USING (doc_id)
 JOIN (SELECT doc_id, min(found) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_warc_salvage": OP3, "op5_rule_ledger": OP5, "op9_odd_sketches": OP9}
+TERMS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13 = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {TERMS} AS w FROM documents
+), groups AS (
+  SELECT DISTINCT lang, source FROM t
+), words AS (
+  SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM t) GROUP BY ALL
+), kept AS (
+  SELECT lang, term, CAST(sum(n) AS BIGINT) AS n FROM words GROUP BY lang, term HAVING count(*) >= 30
+), own AS (
+  SELECT w.lang, w.source, w.term, CAST(sum(w.n) AS BIGINT) AS n
+  FROM words AS w JOIN kept AS k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+), sizes AS (
+  SELECT lang, count(*) AS v, CAST(sum(n) AS BIGINT) AS n FROM kept GROUP BY lang
+), totals AS (
+  SELECT g.lang, g.source, v, z.n AS lang_n, CAST(coalesce(sum(o.n), 0) AS BIGINT) AS n
+  FROM groups AS g JOIN sizes AS z USING (lang) LEFT JOIN own AS o ON o.lang = g.lang AND o.source = g.source GROUP BY ALL
+), shares AS (
+  SELECT a.lang, a.source, k.term, coalesce(o.n, 0) AS n,
+    1 + 1000000000 * (coalesce(o.n, 0) + 5) // (a.n + 5 * a.v) AS p, 1 + 1000000000 * (k.n + 5) // (a.lang_n + 5 * a.v) AS q
+  FROM totals AS a JOIN kept AS k ON k.lang = a.lang
+  LEFT JOIN own AS o ON o.lang = a.lang AND o.source = a.source AND o.term = k.term
+), pairs AS (
+  SELECT x.lang, x.source, y.source AS item, CAST(sum(abs(x.p - y.p)) AS BIGINT) AS value
+  FROM shares AS x JOIN shares AS y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+), every AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(p.value, 0) AS value
+  FROM groups AS x JOIN groups AS y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN pairs AS p ON p.lang = x.lang AND p.source = x.source AND p.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INT) AS rank FROM ranked
+WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLES: dict[str, str] = {"op3_warc_salvage": OP3, "op5_rule_ledger": OP5, "op9_odd_sketches": OP9, "op13_divergence_audit": OP13}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridsteps.llm import ann, classifier, hilbert, mixing, near_dup, packing, quality_rules, secret_scan, token_files, warc
+from gridsteps.llm import (
+    ann, byte_bpe, classifier, divergence, hilbert, mixing, near_dup, packing, periodic, quality_rules, secret_scan, token_files, warc)
 from gridsteps.llm.common import table
 
 
@@ -49,6 +50,21 @@ def op10_token_efficiency(spark: SparkSession, d: str) -> DataFrame:
     return secret_scan.scan_documents(table(spark, d, "documents"))
 
 
+def op11_synchronising_runs(spark: SparkSession, d: str) -> DataFrame:
+    return periodic.run_digest(periodic.periodic_runs(table(spark, d, "documents"), periodic.repeat_some))
+
+
+def op12_vectorised_bpe(spark: SparkSession, d: str) -> DataFrame:
+    decoded = byte_bpe.decode_documents(byte_bpe.encode_documents(table(spark, d, "documents")))
+    return decoded.select(
+        "doc_id", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
+def op13_divergence_audit(spark: SparkSession, d: str) -> DataFrame:
+    return divergence.audit(table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_stable_projections": op2_stable_projections,
@@ -60,4 +76,7 @@ QUERIES = {
     "op8_fourier_quality": op8_fourier_quality,
     "op9_odd_sketches": op9_odd_sketches,
     "op10_token_efficiency": op10_token_efficiency,
+    "op11_synchronising_runs": op11_synchronising_runs,
+    "op12_vectorised_bpe": op12_vectorised_bpe,
+    "op13_divergence_audit": op13_divergence_audit,
 }
