@@ -28,7 +28,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 SEGMENT = 1_000_000
 BLOCK = 256
-CACHED_CHARS, CACHE_ENTRIES = 48, 1_000_000
+CACHED_CHARS, CACHE_ENTRIES = 48, 150_000
 SHORT_BYTES = 32
 ENCODED = "doc_id long, ids binary, ends binary"
 DECODED = "doc_id long, ids binary, data binary"
@@ -157,7 +157,9 @@ class Tokenizer:
         self.letters = np.frombuffer(b"".join(words), np.uint8)
         self.classes = codepoint_classes()
         self.automaton = Automaton()
+        # Ids of pieces met lately, and of those met before; a full cache becomes the older one.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # --- pieces ---
 
@@ -259,16 +261,17 @@ class Tokenizer:
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         """Id bytes of each piece."""
-        known = self.known
-        found = list(map(known.get, pieces))
+        found = list(map(self.known.get, pieces))
         missing = [i for i, v in enumerate(found) if v is None]
         if missing:
-            new = {p: np.array(self.merge(p.encode()), "<u4").tobytes() for p in {pieces[i] for i in missing}}
+            older, new = self.older, {}
+            for p in {pieces[i] for i in missing}:
+                new[p] = older.get(p) or np.array(self.merge(p.encode()), "<u4").tobytes()
             for i in missing:
                 found[i] = new[pieces[i]]
-            if len(known) + len(new) > CACHE_ENTRIES:
-                known.clear()
-            known.update((p, v) for p, v in new.items() if len(p) <= CACHED_CHARS)
+            if len(self.known) > CACHE_ENTRIES:
+                self.known, self.older = {}, self.known
+            self.known.update((p, v) for p, v in new.items() if len(p) <= CACHED_CHARS)
         return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
