@@ -81,6 +81,19 @@ def canonical(df: DataFrame, rename: dict[str, str] | None = None) -> DataFrame:
     return df.select(*head, *rest)
 
 
+def single_rows(dim: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a dimension table; a key that several rows have is an error, a NULL key matches nothing.
+
+    A join with a repeated key would repeat what it is joined to without a word.
+    """
+    rest = [c for c in dim.columns if c not in keys]
+    several = F.raise_error(F.concat_ws(" ", F.lit("repeated key in a dimension:"), *(F.col(k).cast("string") for k in keys)))
+    known = dim.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    row = F.first(F.struct(*(F.col(f"`{c}`") for c in rest)))
+    return known.groupBy(*keys).agg(F.when(F.count(F.lit(1)) > 1, several).otherwise(row).alias("__row")).select(
+        *keys, *(F.col(f"__row.`{c}`") for c in rest))
+
+
 def require_columns(df: DataFrame, names: Sequence[str]) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

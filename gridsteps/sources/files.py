@@ -1,11 +1,12 @@
 """Inventories over many files: type by first bytes, and binary headers.
 
-Listing is Spark's; only the first bytes of each file are read, in tasks.
+Tasks list folders and read the first bytes of each file; nothing is listed on the driver.
 """
 
 from __future__ import annotations
 
 import fnmatch
+import os
 import re
 import struct
 from collections.abc import Callable, Iterator
@@ -105,54 +106,81 @@ def parse_header(head: bytes, force_version: int | None = None) -> dict:
     return fields
 
 
+# Levels of folders that are dealt out again before a task goes down by itself, and rows in a batch.
+DEALT_LEVELS, LISTED_ROWS = 3, 4096
+
+
+def _entries(system: pafs.FileSystem, folder: str) -> Iterator[tuple[str, int | None]]:
+    """(path, length) of what one folder holds; a folder has no length. Local folders are read bit by bit."""
+    if isinstance(system, pafs.LocalFileSystem):
+        with os.scandir(folder) as found:
+            for e in found:
+                if e.is_dir() or e.is_file():
+                    yield e.path, None if e.is_dir() else e.stat().st_size
+    else:
+        for f in system.get_file_info(pafs.FileSelector(folder)):
+            yield f.path, f.size if f.type == pafs.FileType.File else None
+
+
 def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, length) of all files below a path; contents stay unread.
 
-    A task lists the folder itself and each further task one of its folders
-    with all that is below. Empty files count; names that begin with a dot or an
-    underscore do not.
+    Folders of the upper levels are listed one by one and dealt out to tasks, which
+    go down the rest folder by folder; rows leave in batches of bounded size, so no task
+    holds a whole listing. Empty files count; names that begin with a dot or an
+    underscore do not, nor does what is below them.
     """
-    def seen(info: pafs.FileInfo, root: str) -> bool:
-        parts = info.path[len(root):].strip("/").split("/")
-        return not any(x.startswith((".", "_")) for x in parts)
-
-    def rows(infos: list[pafs.FileInfo], prefix: str) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([prefix + f.path for f in infos], pa.string()),
-             pa.array([f.size if f.type == pafs.FileType.File else None for f in infos], pa.int64())],
-            names=["path", "length"])
+    schema = "path string, length bigint"
 
-    def under(name: str, recursive: bool) -> Iterator[pa.RecordBatch]:
+    def batch(rows: list[tuple[str, int | None]]) -> pa.RecordBatch:
+        names, sizes = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sizes, pa.int64())], names=["path", "length"])
+
+    def batches_of(rows: Iterator[tuple[str, int | None]]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[str, int | None]] = []
+        for row in rows:
+            held.append(row)
+            if len(held) == LISTED_ROWS:
+                yield batch(held)
+                held = []
+        if held:
+            yield batch(held)
+
+    def below(name: str, deep: bool) -> Iterator[tuple[str, int | None]]:
+        """What a folder holds, or, going deep, all files below it."""
         system, inner = open_path(name)
-        prefix = name.split(inner)[0] if "://" in name else ""
-        found = system.get_file_info(inner)
-        if found.type == pafs.FileType.NotFound:
-            raise FileNotFoundError(name)
-        if found.type == pafs.FileType.File:
-            yield rows([found], prefix)
-            return
-        below = system.get_file_info(pafs.FileSelector(inner, recursive=recursive))
-        yield rows([f for f in below if seen(f, inner)
-                    and (f.type == pafs.FileType.File or not recursive)], prefix)
-
-    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name in batch.column(0).to_pylist():
-                yield from under(name, False)
-
-    def deep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, length in zip(*(c.to_pylist() for c in batch.columns)):
-                if length is None:
-                    yield from under(name, True)
+        prefix = name[:len(name) - len(inner)] if "://" in name else ""
+        folders = [inner]
+        while folders:
+            for found, size in _entries(system, folders.pop()):
+                if found.rsplit("/", 1)[-1].startswith((".", "_")):
+                    continue
+                if size is None and deep:
+                    folders.append(found)
                 else:
-                    yield pa.RecordBatch.from_pydict(
-                        {"path": pa.array([name], pa.string()), "length": pa.array([length], pa.int64())})
+                    yield prefix + found, size
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in batches:
+            for name in own.column(0).to_pylist():
+                system, inner = open_path(name)
+                found = system.get_file_info(inner)
+                if found.type == pafs.FileType.NotFound:
+                    raise FileNotFoundError(name)
+                yield batch([(name.rstrip("/"), found.size if found.type == pafs.FileType.File else None)])
+
+    def level(deep: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for own in batches:
+                yield from batches_of(
+                    row for name, size in zip(*(c.to_pylist() for c in own.columns))
+                    for row in (below(name, deep) if size is None else [(name, size)]))
+        return run
 
-    schema = "path string, length bigint"
-    first = spark.range(1).select(F.lit(path).alias("path")).mapInArrow(top, schema)
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listed = first.repartition(tasks, "path").mapInArrow(deep, schema)
+    listed = spark.range(1).select(F.lit(path).alias("path")).coalesce(1).mapInArrow(start, schema)
+    for k in range(DEALT_LEVELS):
+        listed = listed.mapInArrow(level(k == DEALT_LEVELS - 1), schema).repartition(tasks, "path")
     pattern = re.compile(fnmatch.translate(glob)).pattern
     return listed.filter(F.regexp_extract("path", r"([^/]*)$", 1).rlike(f"^{_java(pattern)}"))
 

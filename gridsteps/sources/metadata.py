@@ -23,8 +23,8 @@ def default_band_names(df: DataFrame) -> DataFrame:
         F.transform("band_names", _plain_label), counted))
 
 
-def load_metadata(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """All sidecars below a path, one row per file, with its ``path``.
+def load_metadata(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
+    """All sidecars below a path, or in the files of a list, one row per file, with its ``path``.
 
     The schema is fixed; a field that a file lacks is NULL. Files are read in
     parallel and never inferred from.
@@ -36,16 +36,45 @@ def load_metadata(spark: SparkSession, path: str, glob: str = "*.json") -> DataF
     )
 
 
+def _has_private(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(f.name.startswith("_") or _has_private(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _has_private(kind.elementType)
+    return isinstance(kind, T.MapType) and (isinstance(kind.keyType, T.StringType) or _has_private(kind.valueType))
+
+
+def _public(value: Column, kind: T.DataType) -> Column:
+    """A value without the private keys of any level; a NULL stays NULL."""
+    if not _has_private(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _public(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        kept = value
+        if isinstance(kind.keyType, T.StringType):
+            kept = F.map_filter(kept, lambda k, _: ~k.startswith("_"))
+        return F.transform_values(kept, lambda _, v: _public(v, kind.valueType))
+    fields = [_public(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields if not f.name.startswith("_")]
+    # A struct of private keys only is an empty object, not nothing.
+    return F.when(value.isNotNull(), F.struct(*fields) if fields else F.create_map().cast("map<string,string>"))
+
+
+def public_columns(df: DataFrame) -> DataFrame:
+    """The table without private columns and keys (leading ``_``), inside structs, arrays and maps too."""
+    return df.select(*(_public(F.col(f"`{f.name}`"), f.dataType).alias(f.name)
+                       for f in df.schema.fields if not f.name.startswith("_")))
+
+
 def write_metadata(variables: DataFrame, path: str) -> None:
-    """Write the tree as JSON lines; private columns (leading ``_``) are left out."""
-    public = [c for c in variables.columns if not c.startswith("_")]
-    variables.select(*public).write.mode("overwrite").json(path)
+    """Write the tree as JSON lines; private keys (leading ``_``) are left out at every level."""
+    public_columns(variables).write.mode("overwrite").json(path)
 
 
 def as_json(variables: DataFrame, out: str = "json") -> DataFrame:
-    """One JSON text per row from the public columns."""
-    public = [F.col(c) for c in variables.columns if not c.startswith("_")]
-    return variables.select("variable", F.to_json(F.struct(*public)).alias(out))
+    """One JSON text per row, without private keys of any level."""
+    public = public_columns(variables)
+    return public.select("variable", F.to_json(F.struct(*(F.col(f"`{c}`") for c in public.columns))).alias(out))
 
 
 def merge_metadata(target: DataFrame, source: DataFrame, on: str = "variable") -> DataFrame:
