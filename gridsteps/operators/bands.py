@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from gridsteps.model import require_columns
+from gridsteps.model import require_columns, single_rows
 
 # Irrigation systems by number of systems in a band axis.
 SYSTEMS = {
@@ -45,8 +45,8 @@ def band_labels_from_names(variables: DataFrame) -> DataFrame:
 
 
 def label_bands(values: DataFrame, labels: DataFrame) -> DataFrame:
-    """Attach ``band_label`` by (variable, band); unlabelled bands give NULL."""
-    dim = labels.select("variable", "band", "band_label")
+    """Attach ``band_label`` by (variable, band); unlabelled bands give NULL, two labels of one band are an error."""
+    dim = single_rows(labels.select("variable", "band", "band_label"), "variable", "band")
     return values.join(dim, ["variable", "band"], "left")
 
 

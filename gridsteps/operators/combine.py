@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce as fold
 
 from pyspark.sql import DataFrame, functions as F
@@ -21,6 +22,27 @@ def assemble_wide(parts: dict[str, DataFrame]) -> DataFrame:
     return to_wide(assemble(parts), list(parts))
 
 
+def merge_datasets(parts: Sequence[DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """(merged, conflicts): one value per key over all parts, and the keys whose values clash.
+
+    Coordinates are outer-aligned. A key's value is that of the first part, in the given order, that has one;
+    missing values (NULL and NaN) give way to any other. Values clash where parts, or rows of one part, hold
+    different ones for a key: ``conflicts`` carries the key, how many values there are, the least and the largest,
+    and the position of the part whose value was taken. One aggregate by key; nothing is joined.
+    """
+    value = F.col("value").cast("double")
+    ranked = [p.select(*KEYS, F.when(~F.isnan(value), value).alias("value"), F.lit(i).alias("__part")) for i, p in enumerate(parts)]
+    # Of several rows in one part the smallest value counts, so that reruns agree.
+    taken = F.min(F.when(F.col("value").isNotNull(), F.struct("__part", "value")))
+    merged = fold(DataFrame.unionByName, ranked).groupBy(*KEYS).agg(
+        taken.alias("__taken"), F.min("value").alias("low"), F.max("value").alias("high"),
+        F.count("value").alias("n"))
+    return (
+        merged.select(*KEYS, F.col("__taken.value").alias("value")),
+        merged.filter("low < high").select(*KEYS, "n", "low", "high", F.col("__taken.__part").alias("part")),
+    )
+
+
 def inherit_attributes(variables: DataFrame) -> DataFrame:
     """Dataset attributes from its first variable by ``pos``, all or none."""
     picked = ["source", "history", "cellsize", "institution", "contact", "comment"]

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from gridsteps.functions.missing import cast_by_datatype, decode_missing, encode_missing
-from gridsteps.model import KEYS, STATIC_VARIABLES, require_columns
+from gridsteps.model import KEYS, STATIC_VARIABLES, require_columns, single_rows
 
 
 def attach_metadata(values: DataFrame, variables: DataFrame, strict: bool = True) -> DataFrame:
-    """Join descriptive metadata by variable.
+    """Join descriptive metadata by variable; two rows of one variable are an error.
 
     Square cells are required: a row whose two cell sizes differ raises when
     ``strict``, otherwise its cellsize is NULL.
@@ -31,7 +31,7 @@ def attach_metadata(values: DataFrame, variables: DataFrame, strict: bool = True
     ]
     if "global_attrs" in variables.columns:
         picked += [F.col(f"global_attrs.{a}").alias(a) for a in ("institution", "contact", "comment")]
-    return values.join(variables.select(*picked), "variable", "left")
+    return values.join(single_rows(variables.select(*picked), "variable"), "variable", "left")
 
 
 def grid_to_cells(grid: DataFrame) -> DataFrame:
@@ -43,8 +43,8 @@ def grid_to_cells(grid: DataFrame) -> DataFrame:
 
 
 def attach_coords(values: DataFrame, cells: DataFrame) -> DataFrame:
-    """Longitude and latitude of each cell; works on streams as well."""
-    return values.join(cells.select("cell", "lon", "lat"), "cell", "left")
+    """Longitude and latitude of each cell; works on streams as well. A cell listed twice is an error."""
+    return values.join(single_rows(cells.select("cell", "lon", "lat"), "cell"), "cell", "left")
 
 
 def template(cells: DataFrame, bands: DataFrame, variables: Sequence[str],
@@ -88,23 +88,30 @@ def on_template(values: DataFrame, cells: DataFrame, bands: DataFrame, variables
     )
     return (
         wanted.unionByName(given).groupBy(*keys)
-        .agg(F.max("value").alias("value"), F.bool_or("wanted").alias("wanted"),
+        .agg(_one_value(F.col("value"), keys).alias("value"), F.bool_or("wanted").alias("wanted"),
              (~F.bool_and("wanted")).alias("present"))
         .filter("wanted").drop("wanted")
     )
 
 
+def _one_value(value: Column, keys: Sequence[str]) -> Column:
+    """The value of a key; rows of one key that differ are an error."""
+    clash = F.raise_error(F.concat_ws(" ", F.lit("different values of one key:"), *(F.col(k).cast("string") for k in keys)))
+    return F.when(F.min(value) < F.max(value), clash.cast("double")).otherwise(F.max(value))
+
+
 def densify(values: DataFrame, cells: DataFrame, bands: DataFrame, variables: Sequence[str],
             years: tuple[int, int] | None) -> DataFrame:
     """Dense template with the values written in; NULL where there is none.
 
-    ``years=None`` gives the template of static variables, without time axis.
+    Rows of one key with different values are an error. ``years=None`` gives the
+    template of static variables, without time axis.
     """
     return on_template(values, cells, bands, variables, years).drop("present")
 
 
 def _with_datatype(values: DataFrame, variables: DataFrame) -> DataFrame:
-    dim = variables.select("variable", F.col("datatype").alias("__datatype"))
+    dim = single_rows(variables.select("variable", F.col("datatype").alias("__datatype")), "variable")
     return values.join(dim, "variable", "left")
 
 
@@ -141,7 +148,7 @@ def apply_scalar(values: DataFrame, variables: DataFrame, only_static: bool = Fa
     if only_static:
         scale = F.when(F.col("variable").isin(*STATIC_VARIABLES), scale).otherwise(F.lit(1.0))
     return (
-        values.join(variables.select("variable", F.col("scalar").alias("__scalar")),
+        values.join(single_rows(variables.select("variable", F.col("scalar").alias("__scalar")), "variable"),
                     "variable", "left")
         .withColumn("value", F.col("value") * scale)
         .drop("__scalar")
@@ -150,8 +157,12 @@ def apply_scalar(values: DataFrame, variables: DataFrame, only_static: bool = Fa
 
 def to_wide(values: DataFrame, variables: Sequence[str],
             keys: Sequence[str] = ("cell", "band", "year")) -> DataFrame:
-    """One column per variable; the names are given, so no extra pass finds them."""
-    picks = [F.max(F.when(F.col("variable") == v, F.col("value"))).alias(v) for v in variables]
+    """One column per variable; the names are given, so no extra pass finds them.
+
+    Rows of one key with different values are an error; ``combine.merge_datasets``
+    merges such tables and reports what clashes.
+    """
+    picks = [_one_value(F.when(F.col("variable") == v, F.col("value")), keys).alias(v) for v in variables]
     return (
         values.filter(F.col("variable").isin(*variables)).groupBy(*keys).agg(*picks)
     )

@@ -6,19 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from gridsteps.functions.text import lcs_length, match_masks, normalise, score_of
+from gridsteps.functions.text import normalise
+from gridsteps.model import single_rows
+from gridsteps.operators.names import FOUND, match_block
 
-BLOCK = 512
-SALTS = 64
+BLOCK_NAMES = 1 << 16
+TASK_TEXTS = 2048
 
 
 def code_to_name(df: DataFrame, dim: DataFrame, column: str = "country_id",
                  out: str = "country") -> DataFrame:
     """Name of an id; an id the dimension lacks stays as text.
 
-    ``dim`` carries (id, name). Ids compare as integers.
+    ``dim`` carries (id, name). Ids compare as integers; an id listed twice is an error.
     """
-    names = dim.select(F.col("id").cast("bigint").alias("__id"), F.col("name").alias("__name"))
+    names = single_rows(dim.select(F.col("id").cast("bigint").alias("__id"), F.col("name").alias("__name")), "__id")
     return (
         df.join(names, F.col(column).cast("bigint") == F.col("__id"), "left")
         .withColumn(out, F.coalesce(F.col("__name"), F.col(column).cast("string")))
@@ -34,8 +36,8 @@ def code_to_iso(df: DataFrame, dim: DataFrame, iso: DataFrame, column: str = "co
     lacks stays as text; a listed name the second lacks raises when ``strict``,
     and gives NULL otherwise.
     """
-    codes = dim.select(F.col("id").cast("bigint").alias("__id"), F.col("name").alias("__name")).join(
-        iso.select(F.col("name").alias("__name"), F.col("code").alias("__code")), "__name", "left")
+    codes = single_rows(dim.select(F.col("id").cast("bigint").alias("__id"), F.col("name").alias("__name")), "__id").join(
+        single_rows(iso.select(F.col("name").alias("__name"), F.col("code").alias("__code")), "__name"), "__name", "left")
     unknown = F.raise_error(F.concat(F.lit("name without a code: "), F.col("__name"))).cast("string")
     code = F.when(F.col("__id").isNull(), F.col(column).cast("string")).otherwise(
         F.coalesce(F.col("__code"), unknown) if strict else F.col("__code"))
@@ -48,60 +50,44 @@ def code_to_iso(df: DataFrame, dim: DataFrame, iso: DataFrame, column: str = "co
 
 def iso_to_name(df: DataFrame, iso: DataFrame, column: str = "code",
                 out: str = "country") -> DataFrame:
-    """Lower-case name of a code."""
-    names = iso.select(F.col("code").alias("__code"), F.lower("name").alias("__name"))
+    """Lower-case name of a code; a code listed twice is an error."""
+    names = single_rows(iso.select(F.col("code").alias("__code"), F.lower("name").alias("__name")), "__code")
     return (
         df.join(names, F.col(column) == F.col("__code"), "left")
         .withColumn(out, F.col("__name")).drop("__code", "__name")
     )
 
 
-def fuzzy_match(queries: DataFrame, column: str, names: DataFrame) -> DataFrame:
+def fuzzy_match(queries: DataFrame, column: str, names: DataFrame, report: bool = False) -> DataFrame:
     """Best name for every distinct query text: (query, name, code, score).
 
     ``names`` carries (pos, name, code); the smallest ``pos`` wins a tie, and
-    there is no threshold. Names are gathered in blocks of ``BLOCK`` positions;
-    each text meets every block through a salted key and keeps one best row per
-    block, so no pair becomes a row. An empty name table is an error.
+    there is no threshold. Names are dealt in blocks of about ``BLOCK_NAMES`` and texts
+    in parts of about ``TASK_TEXTS``; every task indexes a block once (see ``names``) and
+    its texts score only the names that may still win. ``report`` adds ``scored``, the
+    number of names that were scored. An empty name table is an error.
     """
     names = names.select(
-        F.col("pos").cast("bigint").alias("pos"), F.col("name").cast("string").alias("name"),
-        F.col("code").cast("string").alias("code"), normalise(F.col("name")).alias("text"))
-    texts = queries.select(F.col(column).alias("query")).filter("query is not null").distinct().withColumn(
+        normalise(F.col("name").cast("string")).alias("text"), F.col("pos").cast("bigint").alias("pos"),
+        F.col("name").cast("string").alias("name"), F.col("code").cast("string").alias("code"))
+    texts = queries.select(F.col(column).cast("string").alias("query")).filter("query is not null").distinct().withColumn(
         "text", normalise(F.col("query")))
-    entry = F.struct("pos", "name", "code", "text", match_masks(F.col("text")).alias("masks"))
-    blocks = (
-        names.groupBy(F.expr(f"pos div {BLOCK}").alias("block"))
-        .agg(F.array_sort(F.collect_list(entry), lambda a, b: (a["pos"] - b["pos"]).cast("int"))
-             .alias("entries"))
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    )
-    top = names.agg(F.coalesce(F.expr(f"max(pos) div {BLOCK}"), F.raise_error(
+    n_names = F.count(F.lit(1))
+    blocks = names.agg(F.when(n_names > 0, F.ceil(n_names / BLOCK_NAMES)).otherwise(F.raise_error(
         F.lit("the name table is empty")).cast("bigint"))).scalar()
-    spread = (
-        texts.withColumn("chars", F.split("text", ""))
-        .withColumn("salt", F.pmod(F.hash("query"), F.lit(SALTS)))
-        .withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), top)))
-    )
-    # Best as a struct that orders by score, then by earlier position.
-    nobody = F.struct(F.lit(-1).alias("score"), F.lit(0).cast("bigint").alias("early"),
-                      F.lit(None).cast("string").alias("name"),
-                      F.lit(None).cast("string").alias("code"))
-
-    def better(best, e):
-        total = F.length(e["text"]) + F.length(F.col("text"))
-        # The shorter length bounds the score, so hopeless names skip the LCS.
-        bound = score_of(F.least(F.length(e["text"]), F.length(F.col("text"))), total)
-        found = F.struct(
-            score_of(lcs_length(e["text"], F.col("text"), e["masks"], F.col("chars")), total)
-            .alias("score"),
-            (-e["pos"]).alias("early"), e["name"].alias("name"), e["code"].alias("code"))
-        return F.when(bound > best["score"], F.greatest(best, found)).otherwise(best)
-
-    best = spread.join(blocks, ["block", "salt"]).select(
-        "query", F.aggregate("entries", nobody, better).alias("best"))
-    return best.groupBy("query").agg(F.max("best").alias("best")).select(
-        "query", "best.name", "best.code", "best.score")
+    salts = texts.agg(F.greatest(F.ceil(F.count(F.lit(1)) / TASK_TEXTS), F.lit(1))).scalar()
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    held = names.select(
+        F.pmod(F.xxhash64("name", "pos"), blocks).alias("block"), every(salts).alias("salt"), F.lit(0).alias("tag"),
+        F.coalesce("text", F.lit("")).alias("text"), "pos", "name", "code", F.lit(None).cast("string").alias("query"))
+    asked = texts.select(
+        every(blocks).alias("block"), F.pmod(F.xxhash64("query"), salts).alias("salt"), F.lit(1).alias("tag"), "text",
+        *(F.lit(None).cast(t).alias(c) for c, t in (("pos", "bigint"), ("name", "string"), ("code", "string"))), "query")
+    dealt = held.unionByName(asked).repartition("block", "salt").sortWithinPartitions("block", "salt", "tag")
+    best = dealt.mapInArrow(match_block, FOUND).groupBy("query").agg(
+        F.max_by(F.struct("name", "code"), F.struct("score", -F.col("pos"))).alias("best"),
+        F.max("score").alias("score"), F.sum("scored").alias("scored"))
+    return best.select("query", "best.name", "best.code", "score", *(["scored"] if report else []))
 
 
 def name_metadata(variables: DataFrame, names: Sequence[str], codes: Sequence[str] = ()) -> DataFrame:
@@ -114,9 +100,9 @@ def name_metadata(variables: DataFrame, names: Sequence[str], codes: Sequence[st
 def resolve_variable(df: DataFrame, outputs: DataFrame, column: str = "index") -> DataFrame:
     """Variable name of a numeric output index; ``outputs`` carries (index, name).
 
-    An index that the table lacks keeps its rows, with a NULL variable.
+    An index that the table lacks keeps its rows, with a NULL variable; one listed twice is an error.
     """
-    names = outputs.select(F.col("index").alias("__index"), F.col("name").alias("variable"))
+    names = single_rows(outputs.select(F.col("index").alias("__index"), F.col("name").alias("variable")), "__index")
     return df.join(names, F.col(column) == F.col("__index"), "left").drop("__index")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from gridsteps.model import single_rows
 
 
 def select_years(values: DataFrame, start: int | None = None, end: int | None = None) -> DataFrame:
@@ -42,19 +43,31 @@ def clamp_years(values: DataFrame, variables: DataFrame, start: int | None, end:
                 default_year: int) -> DataFrame:
     """Years of each variable within its clamped range; bounds come from metadata.
 
-    The widest of the ranges also becomes a plain year filter, which prunes
-    partitions before any variable is looked at.
+    A variable without metadata, or whose metadata name no period, has nothing to
+    be clamped to and keeps the requested years; one with two rows of metadata is
+    an error. The widest of the ranges also becomes a plain year filter, which
+    prunes partitions before any variable is looked at.
     """
-    lo, hi = clamped_bounds(F.col("firstyear"), F.col("lastyear"), start, end, default_year)
-    bounds = variables.select("variable", lo.alias("__lo"), hi.alias("__hi"))
-    widest = [bounds.agg(f(c)).scalar() for f, c in ((F.min, "__lo"), (F.max, "__hi"))]
+    bounds, asked = year_bounds(variables, start, end, default_year)
+    widest = [F.coalesce(far(bounds.agg(f(c)).scalar(), year), year) for f, far, c, year in (
+        (F.min, F.least, "__lo", asked[0]), (F.max, F.greatest, "__hi", asked[1]))]
     return (
-        values.filter(F.col("year").between(*widest)).join(bounds, "variable")
-        .filter(F.col("year").between(F.col("__lo"), F.col("__hi")))
+        values.filter(F.col("year").between(*widest)).join(bounds, "variable", "left")
+        .filter(F.col("year").between(F.coalesce("__lo", asked[0]), F.coalesce("__hi", asked[1])))
         .drop("__lo", "__hi")
     )
 
 
+def year_bounds(variables: DataFrame, start: int | None, end: int | None,
+                default_year: int) -> tuple[DataFrame, tuple[Column, Column]]:
+    """(variable, __lo, __hi): the clamped range of each variable, and the range asked for."""
+    lo, hi = clamped_bounds(F.col("firstyear"), F.col("lastyear"), start, end, default_year)
+    known = F.col("firstyear").isNotNull() & F.col("lastyear").isNotNull()
+    bounds = single_rows(variables.select(
+        "variable", F.when(known, lo).alias("__lo"), F.when(known, hi).alias("__hi")), "variable")
+    return bounds, (F.lit(default_year if start is None else start), F.lit(default_year if end is None else end))
+
+
 def align_years(values: DataFrame) -> DataFrame:
     """Label every variable with the largest year; each must hold a single year."""
     bounds = values.groupBy("variable").agg(F.min("year").alias("lo"), F.max("year").alias("hi"))

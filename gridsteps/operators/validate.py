@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from gridsteps.functions.missing import is_integer_type, type_word
 from gridsteps.model import KEYS
 from gridsteps.operators.bands import subannual_violations
-from gridsteps.operators.cube import on_template
 
 
 # What each integer type holds; bytes are unsigned, as flat files store them.
@@ -82,9 +81,68 @@ def check_duplicates(values: DataFrame) -> DataFrame:
 
 def check_missing(values: DataFrame, cells: DataFrame, bands: DataFrame,
                   variables: Sequence[str], years: tuple[int, int]) -> DataFrame:
-    """Keys of the dense cube that the table lacks."""
-    lost = on_template(values, cells, bands, variables, years).filter("NOT present")
-    return _violations(lost, "missing", F.lit("no row"))
+    """Keys of the dense cube that the table lacks.
+
+    A row per cell and variable meets the list of bands and years that the values
+    hold for it; the dense keys exist only inside that row, and only missing ones
+    become rows. A list is as long as bands times years at most.
+    """
+    first, last = (F.lit(y) if isinstance(y, int) else y for y in years)
+    axis = bands.filter(F.col("variable").isin(*variables)).groupBy("variable").agg(
+        F.array_sort(F.collect_set(F.col("band").cast("bigint"))).alias("axis"))
+    wanted = cells.select(F.col("cell").cast("bigint").alias("cell")).withColumn(
+        "variable", F.explode(F.array(*map(F.lit, variables)))).join(axis, "variable")
+
+    def key(band: Column, offset: Column) -> Column:
+        return F.shiftleft(band.cast("bigint"), 32) + offset.cast("bigint")
+
+    have = (
+        values.filter(F.col("variable").isin(*variables) & F.col("year").between(first, last))
+        .select("variable", F.col("cell").cast("bigint").alias("cell"), key(F.col("band"), F.col("year") - first).alias("key"))
+        .groupBy("variable", "cell").agg(F.collect_set("key").alias("have"))
+    )
+    every = F.flatten(F.transform("axis", lambda b: F.transform("offsets", lambda o: key(b, o))))
+    lost = F.array_except(every, F.coalesce("have", F.array().cast("array<bigint>")))
+    rows = (
+        wanted.withColumn("offsets", F.sequence(F.lit(0), (last - first).cast("int")))
+        .join(have, ["variable", "cell"], "left").select("variable", "cell", F.explode(lost).alias("key")).withColumn("first", first)
+    )
+    return _violations(rows.select(
+        "variable", "cell", F.shiftright("key", 32).cast("int").alias("band"),
+        (F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)) + F.col("first")).cast("int").alias("year")), "missing", F.lit("no row"))
+
+
+def check_index(indices: DataFrame, supported: DataFrame) -> DataFrame:
+    """Output indices without a variable that supports them; both carry ``index``, the latter ``name`` too.
+
+    An index that is listed several times is a row of its own kind.
+    """
+    listed = supported.groupBy("index").agg(F.count(F.lit(1)).alias("n"))
+    asked = indices.groupBy("index").agg(F.count(F.lit(1)).alias("asked"))
+    state = asked.join(listed, "index", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return _violations(
+        state.filter("n <> 1 OR index IS NULL").select(F.col("index").cast("string").alias("variable"), F.when(
+            F.col("n") > 1, F.lit("index of several outputs")).otherwise(F.lit("index is not supported")).alias("detail")),
+        "index", F.col("detail"))
+
+
+def check_coupled(inputs: DataFrame, registry: DataFrame) -> DataFrame:
+    """Coupled inputs (name) that the registry of input types lacks, or has under another id if both give one."""
+    known = registry.select("name", F.col("id").alias("registered"), F.lit(True).alias("known"))
+    asked = inputs.select("name", *([F.col("id")] if "id" in inputs.columns else [F.lit(None).cast("int").alias("id")])).distinct()
+    state = asked.join(known, "name", "left")
+    wrong = F.when(F.col("known").isNull(), F.lit("input is not registered")).when(
+        F.col("id") != F.col("registered"), F.concat_ws(" ", F.lit("registered with id"), "registered"))
+    return _violations(state.select(F.col("name").alias("variable"), wrong.alias("detail")).filter("detail IS NOT NULL"),
+                       "registry", F.col("detail"))
+
+
+def check_periods(values: DataFrame, variables: DataFrame) -> DataFrame:
+    """Variables of a table whose metadata name no period, or several."""
+    period = F.when(F.col("firstyear").isNotNull() & F.col("lastyear").isNotNull(), F.struct("firstyear", "lastyear"))
+    given = variables.groupBy("variable").agg(F.count(period).alias("n"))
+    state = values.select("variable").distinct().join(given, "variable", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return _violations(state.filter("n <> 1"), "period", F.col("n"))
 
 
 def check_year(values: DataFrame, expected: int) -> DataFrame:
