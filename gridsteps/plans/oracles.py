@@ -55,6 +55,13 @@ REGION = f"""{CELLS}, {COUNTRIES}, region AS (SELECT c.cell, c.lon, c.lat,
 SUPPLIED = """supplied AS (SELECT s_suppkey, c FROM supplier
   JOIN (SELECT l_suppkey, count(*) AS c FROM lineitem GROUP BY 1) ON s_suppkey = l_suppkey)"""
 
+NEAR = """lons AS (SELECT c.lon, arg_min(r.rlon, abs(c.lon - r.rlon) * 1000000 - r.rlon) AS rlon
+    FROM (SELECT DISTINCT lon FROM cells) c, (SELECT DISTINCT rlon FROM {raster}) r GROUP BY c.lon),
+  lats AS (SELECT c.lat, arg_min(r.rlat, abs(c.lat - r.rlat) * 1000000 - r.rlat) AS rlat
+    FROM (SELECT DISTINCT lat FROM cells) c, (SELECT DISTINCT rlat FROM {raster}) r GROUP BY c.lat),
+  near AS (SELECT c.cell, r.rvalue FROM cells c JOIN lons ON c.lon = lons.lon JOIN lats ON c.lat = lats.lat
+    LEFT JOIN {raster} r ON r.rlon = lons.rlon AND r.rlat = lats.rlat)"""
+
 SERIES = "PARTITION BY variable, cell, band ORDER BY year"
 
 ORACLES = {
@@ -87,17 +94,26 @@ ORACLES = {
       pairs AS (SELECT c.cell, n.cell AS neighbour, row_number() OVER (PARTITION BY c.cell ORDER BY n.cell) AS place
         FROM placed c JOIN placed n ON abs(c.ix - n.ix) <= 1 AND abs(c.iy - n.iy) <= 1 AND c.cell <> n.cell)
       SELECT cell, neighbour FROM pairs WHERE place <= 8""",
-    "read_input": f"""WITH {CELLS}, {RASTER}, {VALUES},
-      lons AS (SELECT c.lon, arg_min(r.rlon, abs(c.lon - r.rlon) * 1000000 - r.rlon) AS rlon
-        FROM (SELECT DISTINCT lon FROM cells) c, (SELECT DISTINCT rlon FROM raster) r GROUP BY c.lon),
-      lats AS (SELECT c.lat, arg_min(r.rlat, abs(c.lat - r.rlat) * 1000000 - r.rlat) AS rlat
-        FROM (SELECT DISTINCT lat FROM cells) c, (SELECT DISTINCT rlat FROM raster) r GROUP BY c.lat),
+    "read_input": f"""WITH {CELLS}, {RASTER}, {VALUES}, {NEAR.format(raster="raster")},
+      coarse AS (SELECT variable, floor(ix / 4) * 1000 + floor(iy / 4) AS point, band, year, round(sum(value), 2) AS value
+        FROM grid_values JOIN cells USING (cell) WHERE year = 1996 GROUP BY ALL),
+      axis AS (SELECT DISTINCT variable, band, year FROM coarse)
+      SELECT a.variable, n.cell, a.band, a.year, k.value,
+        CASE WHEN a.variable = 'quantity' THEN concat('line ', a.band + 1) ELSE 'all' END AS band_label
+      FROM near n CROSS JOIN axis a LEFT JOIN coarse k ON k.point = n.rvalue AND k.variable = a.variable AND k.band = a.band""",
+    "read_input_holes": f"""WITH {CELLS}, {RASTER}, {VALUES},
+      holed AS (SELECT * FROM raster WHERE rvalue % 7 <> 3), {NEAR.format(raster="holed")},
       coarse AS (SELECT variable, floor(ix / 4) * 1000 + floor(iy / 4) AS point, band, year, round(sum(value), 2) AS value
-        FROM grid_values JOIN cells USING (cell) WHERE year = 1996 GROUP BY ALL)
-      SELECT k.variable, c.cell, k.band, k.year, k.value,
-        CASE WHEN k.variable = 'quantity' THEN concat('line ', k.band + 1) ELSE 'all' END AS band_label
-      FROM cells c JOIN lons ON c.lon = lons.lon JOIN lats ON c.lat = lats.lat
-      JOIN raster r ON r.rlon = lons.rlon AND r.rlat = lats.rlat JOIN coarse k ON k.point = r.rvalue""",
+        FROM grid_values JOIN cells USING (cell) WHERE year = 1996 AND (floor(ix / 4) * 1000 + floor(iy / 4)) % 11 <> 5 GROUP BY ALL),
+      axis AS (SELECT DISTINCT variable, band, year FROM coarse)
+      SELECT a.variable, n.cell, a.band, a.year, k.value,
+        CASE WHEN a.variable = 'quantity' THEN concat('line ', a.band + 1) ELSE 'all' END AS band_label
+      FROM near n CROSS JOIN axis a LEFT JOIN coarse k ON k.point = n.rvalue AND k.variable = a.variable AND k.band = a.band""",
+    "focal_mean": f"""WITH {CELLS}, {QUANTITY},
+      s AS (SELECT c.cell, ix, iy, year, sum(value) AS s FROM quantity q JOIN cells c ON c.cell = q.cell GROUP BY ALL),
+      offsets AS (SELECT dx, dy FROM range(-1, 2) AS a(dx), range(-1, 2) AS b(dy))
+      SELECT a.cell, a.year, sum(b.s) / count(*) AS mean_value, count(*) AS n
+      FROM s a, offsets o, s b WHERE b.year = a.year AND b.ix = a.ix + o.dx AND b.iy = a.iy + o.dy GROUP BY a.cell, a.year""",
     "regrid_inputs": """SELECT CAST(s_suppkey // 50 AS INT) AS config, s_name AS name, CAST(s_suppkey AS INT) AS id,
       'clm' AS fmt, 'values' AS kind FROM supplier WHERE s_suppkey % 2 = 0""",
     "catalog_available": """SELECT CAST(s_suppkey // 50 AS INT) AS config, s_name AS name FROM supplier""",
@@ -106,6 +122,9 @@ ORACLES = {
     "years_range": f"WITH {VALUES} SELECT * FROM grid_values WHERE year BETWEEN 1996 AND 1998",
     "years_clamped": f"""WITH {VALUES}, {PERIOD} SELECT v.* FROM grid_values v JOIN period p
       ON v.variable = p.variable WHERE v.year BETWEEN greatest(p.firstyear, 1990) AND least(p.lastyear, 1996)""",
+    "years_without_period": f"""WITH {VALUES}, {PERIOD} SELECT v.* FROM grid_values v JOIN period p
+      ON v.variable = p.variable WHERE CASE WHEN v.variable = 'price' THEN v.year BETWEEN 1990 AND 1996
+        ELSE v.year BETWEEN greatest(p.firstyear, 1990) AND least(p.lastyear, 1996) END""",
     "years_aligned": f"""WITH {VALUES} SELECT variable, cell, band, CAST(1998 AS INT) AS year, value
       FROM grid_values WHERE (variable = 'quantity' AND year = 1996) OR (variable = 'price' AND year = 1998)""",
     "calendar": f"""WITH {VALUES} SELECT CAST(y AS INT) AS year,
@@ -195,6 +214,12 @@ ORACLES = {
         max(abs(a.value - b.value)) AS max_abs_diff,
         CAST(count(*) - count(b.value) AS BIGINT) AS one_sided, count(*) AS compared
       FROM grid_values a LEFT JOIN b USING (variable, cell, band, year) GROUP BY a.variable""",
+    "merge_datasets": f"""WITH {VALUES} SELECT variable, cell, band, year,
+      CAST(CASE WHEN variable = 'quantity' AND cell % 3 = 0 AND cell % 5 = 0 THEN value + 1 ELSE value END AS DOUBLE) AS value
+      FROM grid_values""",
+    "merge_conflicts": f"""WITH {QUANTITY} SELECT variable, cell, band, year, CAST(2 AS BIGINT) AS n,
+      CAST(value AS DOUBLE) AS low, CAST(value + 1 AS DOUBLE) AS high, CAST(0 AS INT) AS part
+      FROM quantity WHERE cell % 3 <> 0 AND cell % 5 = 0""",
     "undefined_vars": """SELECT DISTINCT p_name AS name FROM part WHERE p_name NOT IN
       (SELECT p_name FROM part WHERE p_size = 50)""",
     "validate_shape": f"""WITH {CELLS}, {VALUES},
@@ -209,6 +234,17 @@ ORACLES = {
       CAST(y.year AS INT) AS year, c.cell, b.band, 'no row' AS detail
       FROM cells c, bands b, years y WHERE NOT EXISTS (SELECT 1 FROM grid_values q
         WHERE q.variable = b.variable AND q.cell = c.cell AND q.band = b.band AND q.year = y.year)""",
+    "validate_index": """SELECT DISTINCT 'index' AS rule, CAST(l_linenumber AS VARCHAR) AS variable, CAST(NULL AS INT) AS year,
+      CAST(NULL AS BIGINT) AS cell, CAST(NULL AS INT) AS band,
+      CASE WHEN l_linenumber = 3 THEN 'index of several outputs' ELSE 'index is not supported' END AS detail
+      FROM lineitem WHERE l_linenumber = 3 OR l_linenumber > 5""",
+    "validate_coupled": """SELECT 'registry' AS rule, s_name AS variable, CAST(NULL AS INT) AS year,
+      CAST(NULL AS BIGINT) AS cell, CAST(NULL AS INT) AS band, CASE WHEN s_suppkey % 5 = 0 THEN 'input is not registered'
+        ELSE concat('registered with id ', s_suppkey + 1) END AS detail
+      FROM supplier WHERE s_suppkey % 3 = 0 AND (s_suppkey % 5 = 0 OR s_suppkey % 7 = 0)""",
+    "validate_periods": """SELECT 'period' AS rule, variable, CAST(NULL AS INT) AS year, CAST(NULL AS BIGINT) AS cell,
+      CAST(NULL AS INT) AS band, detail FROM (VALUES ('quantity', '2'), ('price', '0')) AS t(variable, detail)
+      WHERE (SELECT count(*) FROM lineitem) > 0""",
     "validate_streams": """SELECT 'count' AS rule, variable, CAST(NULL AS INT) AS year, CAST(NULL AS BIGINT) AS cell,
       CAST(NULL AS INT) AS band, CAST(n AS VARCHAR) AS detail FROM (SELECT 'ninput' AS variable, count(*) AS n FROM supplier
       UNION ALL SELECT 'noutput', count(*) FROM customer)""",
@@ -236,6 +272,37 @@ ORACLES = {
         UNION ALL SELECT year, 1, 'read_output' FROM years WHERE year >= 1996)
       SELECT year, position, operation FROM ops WHERE NOT (year < 1999 AND operation = 'send_input')
         AND NOT (year < 1998 AND operation = 'read_output')""",
+    "ledger_violations": """WITH log AS (SELECT user_id AS run, CAST(event_id AS BIGINT) AS seq, CAST(day(ts) AS INT) AS year,
+        CASE WHEN event_type = 'click' THEN 'send_input' ELSE 'read_output' END AS operation
+        FROM events WHERE event_type IN ('click', 'purchase')),
+      years AS (SELECT DISTINCT CAST(day(ts) AS INT) AS year FROM events),
+      expected AS (SELECT year, 'send_input' AS operation FROM years WHERE year >= 10
+        UNION ALL SELECT year, 'read_output' FROM years WHERE year >= 5),
+      firsts AS (SELECT run, year, operation, min(seq) AS seq FROM log GROUP BY ALL),
+      done AS (SELECT r.run, e.year, e.operation, coalesce(f.seq, 9000000000000000000) AS seq
+        FROM (SELECT DISTINCT run FROM log) r CROSS JOIN expected e LEFT JOIN firsts f
+        ON f.run = r.run AND f.year = e.year AND f.operation = e.operation),
+      per_year AS (SELECT run, year, max(seq) AS seq, max(CASE WHEN operation = 'send_input' THEN seq END) AS sent
+        FROM done GROUP BY run, year),
+      earlier AS (SELECT run, year, sent, max(seq) OVER (PARTITION BY run ORDER BY year
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM per_year),
+      judged AS (SELECT l.run, l.seq, l.year, l.operation, CASE
+        WHEN NOT EXISTS (SELECT 1 FROM expected e WHERE e.year = l.year AND e.operation = l.operation) THEN 'not expected'
+        WHEN l.seq > f.seq THEN 'repeated' WHEN p.before > l.seq THEN 'before an earlier year is done'
+        WHEN l.operation = 'read_output' AND p.sent > l.seq THEN 'output before input' END AS violation
+        FROM log l JOIN firsts f ON f.run = l.run AND f.year = l.year AND f.operation = l.operation
+        LEFT JOIN earlier p ON p.run = l.run AND p.year = l.year)
+      SELECT * FROM judged WHERE violation IS NOT NULL""",
+    "gate_steps": f"""WITH e AS (SELECT {EVENT_BAND} AS band, CAST(day(ts) AS INT) AS year FROM events)
+      SELECT year, count(*) AS keys, CAST(0 AS BIGINT) AS missing FROM e
+      GROUP BY year HAVING year % 10 <> 0 AND NOT (year % 4 = 0 AND bool_or(band = 2))""",
+    "stream_coords": f"""WITH {CELLS} SELECT user_id AS cell, {EVENT_BAND} AS band, CAST(event_id AS BIGINT) AS step, lon, lat
+      FROM events LEFT JOIN cells ON cell = user_id""",
+    "flat_arrivals": f"""WITH {CELLS}, {QUANTITY}, years AS (SELECT DISTINCT year FROM quantity)
+      SELECT 'demand' AS variable, c.cell, CAST(0 AS INT) AS band, CAST(y.year + 1 AS INT) AS year,
+      CAST(count(q.value) AS DOUBLE) AS value FROM cells c CROSS JOIN years y
+      LEFT JOIN quantity q ON q.cell = c.cell AND q.year = y.year
+      WHERE y.year < (SELECT max(year) FROM quantity) GROUP BY c.cell, y.year""",
     "history": f"""WITH {VALUES} SELECT variable, cell, band, year, value,
       make_date(year, 12, 31) AS time FROM grid_values WHERE year >= 1996 AND year < 1999""",
     "stream_steps": f"""SELECT user_id AS cell, {EVENT_BAND} AS band, CAST(day(ts) AS INT) AS year,
@@ -316,6 +383,19 @@ ORACLES = {
       FROM cells c CROSS JOIN bands b CROSS JOIN (SELECT DISTINCT year FROM quantity) y
       LEFT JOIN quantity q ON q.cell = c.cell AND q.band = b.band AND q.year = y.year
       WHERE b.variable = 'quantity'""",
+    "flat_grid_part": f"""WITH {CELLS}, {BANDS}, {QUANTITY} SELECT b.variable, c.cell, b.band,
+      CAST(y.year AS INT) AS year, coalesce(q.value, -9999.0) AS value
+      FROM cells c CROSS JOIN bands b CROSS JOIN (SELECT DISTINCT year FROM quantity) y
+      LEFT JOIN quantity q ON q.cell = c.cell AND q.band = b.band AND q.year = y.year
+      WHERE b.variable = 'quantity' AND y.year BETWEEN 1995 AND 1996 AND b.band IN (1, 4) AND c.cell > 150""",
+    "convert_raw": f"""WITH {VALUES} SELECT variable, cell, band, year,
+      CASE WHEN variable = 'price' THEN CAST(CAST(value AS FLOAT) AS DOUBLE) WHEN year >= 1998 THEN value + 1 ELSE value END AS value,
+      CASE WHEN variable = 'price' THEN 'money' ELSE '1' END AS unit, 'raw' AS format FROM grid_values""",
+    "nested_metadata": """WITH t AS (SELECT p_brand AS variable, count(*) AS n FROM part GROUP BY p_brand),
+      s AS (SELECT p_brand AS variable, string_agg(concat('{"size":', p_size, '}'), ',' ORDER BY p_size) AS parts
+        FROM (SELECT DISTINCT p_brand, p_size FROM part) GROUP BY p_brand)
+      SELECT variable, concat('{"variable":"', variable, '","settings":{"count":', n, ',"parts":[', parts,
+        ']},"named":{"a":{"v":', n, '}}}') AS json FROM t JOIN s USING (variable)""",
     "metadata_catalog": """SELECT p_brand AS variable, CAST(count(DISTINCT p_type) AS INT) AS nbands,
       CASE WHEN CAST(substr(p_brand, 7) AS INT) % 2 = 0
         THEN array_to_string(list_transform(range(0, count(DISTINCT p_type)), lambda i: CAST(i AS VARCHAR)), ' ')

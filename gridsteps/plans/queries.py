@@ -5,16 +5,20 @@ from __future__ import annotations
 import struct
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridsteps.functions.times import decode_time
+from gridsteps.model import MISSING_INT
 from gridsteps.operators import bands as B
-from gridsteps.operators import combine, cube, inputs, lookup, numbering, select, spatial, validate
+from gridsteps.operators import blocks, combine, cube, inputs, lookup, numbering, select, spatial, validate
 from gridsteps.operators import reduce as R
 from gridsteps.plans import views as V
 from gridsteps.session import work_dir
 from gridsteps.sources import convert, files, flatgrid, grid, metadata
+from gridsteps.streaming import gate
 from gridsteps.streaming import steps as S
 
 KEYS = ["variable", "cell", "band", "year"]
@@ -80,13 +84,52 @@ def neighbours_of_copies(spark, d):
 @query
 def read_input(spark, d):
     """One year of both variables on the raster, for every cell from its nearest point."""
-    blocks = V.cells(spark, d).select("cell", (F.floor(F.col("ix") / 4) * 1000 + F.floor(F.col("iy") / 4)).alias("point"))
-    coarse = V.grid_values(spark, d).join(blocks, "cell").groupBy("variable", F.col("point").alias("cell"), "band", "year").agg(
+    squares = V.cells(spark, d).select("cell", (F.floor(F.col("ix") / 4) * 1000 + F.floor(F.col("iy") / 4)).alias("point"))
+    coarse = V.grid_values(spark, d).join(squares, "cell").groupBy("variable", F.col("point").alias("cell"), "band", "year").agg(
         F.round(F.sum("value"), 2).alias("value"))
     points = V.raster(spark, d).select(F.col("rvalue").cast("bigint").alias("cell"), "lon", "lat")
     return inputs.read_input(coarse, V.variables(spark, d), V.bands(spark, d), points, V.cells(spark, d), 1996, 1996)
 
 
+@query
+def read_input_holes(spark, d):
+    """The same where points, and values of points, are missing, and one variable has no metadata."""
+    squares = V.cells(spark, d).select("cell", (F.floor(F.col("ix") / 4) * 1000 + F.floor(F.col("iy") / 4)).alias("point"))
+    coarse = V.grid_values(spark, d).join(squares, "cell").filter("point % 11 <> 5").groupBy(
+        "variable", F.col("point").alias("cell"), "band", "year").agg(F.round(F.sum("value"), 2).alias("value"))
+    points = V.raster(spark, d).filter("rvalue % 7 <> 3").select(F.col("rvalue").cast("bigint").alias("cell"), "lon", "lat")
+    known = V.variables(spark, d).filter("variable = 'quantity'")
+    return inputs.read_input(coarse, known, V.bands(spark, d), points, V.cells(spark, d), 1996, 1996)
+
+
+def _window_mean(own: pa.Table, around: pa.Table) -> pa.Table:
+    """Mean over the cells of a 3 x 3 window that have a value, as a user would write it with numpy."""
+    columns = ["ix", "iy", "s"]
+    ix, iy, s = (around.column(c).to_numpy() for c in columns)
+    key = ix.astype("i8") * 1_000_000 + iy
+    order = np.argsort(key)
+    key, s = key[order], s[order]
+    x, y = (own.column(c).to_numpy().astype("i8") for c in columns[:2])
+    total, n = np.zeros(len(x)), np.zeros(len(x), "i8")
+    for dx in (-1, 0, 1):
+        for dy in (-1, 0, 1):
+            wanted = (x + dx) * 1_000_000 + y + dy
+            at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+            hit = key[at] == wanted
+            total += np.where(hit, s[at], 0.0)
+            n += hit
+    return pa.table({"cell": own.column("cell"), "year": own.column("year"), "mean_value": total / n, "n": n})
+
+
+@query
+def focal_mean(spark, d):
+    """Mean of the values around each cell by a user function on blocks with a border, years apart."""
+    sums = V.quantity(spark, d).groupBy("cell", "year").agg(F.sum("value").alias("s"))
+    rows = V.cells(spark, d).select("cell", "ix", "iy", "lon", "lat").join(sums, "cell")
+    return blocks.map_blocks(rows, _window_mean, "cell bigint, year int, mean_value double, n bigint", side=8.0, halo=0.75,
+                             by=["year"], max_rows=2000)
+
+
 @query
 def regrid_inputs(spark, d):
     """Inputs of all configurations that a regrid would carry over."""
@@ -144,6 +187,13 @@ def years_clamped(spark, d):
     return select.clamp_years(V.grid_values(spark, d), V.variables(spark, d), 1990, 1996, 1995)
 
 
+@query
+def years_without_period(spark, d):
+    """One of the variables has no metadata, so it keeps the years asked for."""
+    known = V.variables(spark, d).filter("variable = 'quantity'")
+    return select.clamp_years(V.grid_values(spark, d), known, 1990, 1996, 1995)
+
+
 @query
 def years_aligned(spark, d):
     quantity = select.select_years(V.quantity(spark, d), 1996, 1996)
@@ -376,6 +426,23 @@ def compare_runs(spark, d):
     return combine.compare_runs(a, b)
 
 
+def _two_versions(spark, d):
+    a = V.quantity(spark, d).filter("cell % 3 <> 0")
+    b = V.grid_values(spark, d).withColumn("value", F.when(
+        (F.col("variable") == "quantity") & (F.col("cell") % 5 == 0), F.col("value") + 1).otherwise(F.col("value")))
+    return combine.merge_datasets([a, b])
+
+
+@query
+def merge_datasets(spark, d):
+    return _two_versions(spark, d)[0]
+
+
+@query
+def merge_conflicts(spark, d):
+    return _two_versions(spark, d)[1]
+
+
 @query
 def undefined_vars(spark, d):
     part = V.table(spark, d, "part").select(F.col("p_name").alias("name"), "p_size")
@@ -413,6 +480,31 @@ def validate_unknown(spark, d):
     return validate.check_unknown(V.grid_values(spark, d), known)
 
 
+@query
+def validate_index(spark, d):
+    """Line numbers as output indices; two of them are not supported, one is twice."""
+    asked = V.table(spark, d, "lineitem").select(F.col("l_linenumber").alias("index"))
+    known = asked.distinct().filter("index <= 5").withColumn("name", F.explode(F.when(
+        F.col("index") == 3, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))))
+    return validate.check_index(asked, known)
+
+
+@query
+def validate_coupled(spark, d):
+    """Coupled inputs of all configurations against a registry that lacks some and has others under another id."""
+    coupled = metadata.catalog_inputs(_configs(spark, d), coupled=True)
+    registry = V.table(spark, d, "supplier").filter("s_suppkey % 5 <> 0").select(
+        (F.col("s_suppkey") + F.when(F.col("s_suppkey") % 7 == 0, 1).otherwise(0)).cast("int").alias("id"),
+        F.col("s_name").alias("name"))
+    return validate.check_coupled(coupled, registry)
+
+
+@query
+def validate_periods(spark, d):
+    known = V.variables(spark, d).filter("variable = 'quantity'")
+    return validate.check_periods(V.grid_values(spark, d), known.unionByName(known))
+
+
 @query
 def validate_streams(spark, d):
     """Suppliers as inputs and customers as outputs, one of each too few in the configuration."""
@@ -465,6 +557,16 @@ def operations_left(spark, d):
     return S.operations_left(years, done, 1998, 1996)
 
 
+@query
+def ledger_violations(spark, d):
+    """Users as runs; their clicks send inputs and their purchases read outputs, days are the years."""
+    events = V.table(spark, d, "events")
+    log = events.filter("event_type IN ('click', 'purchase')").select(
+        F.col("user_id").alias("run"), F.col("event_id").cast("bigint").alias("seq"), F.day("ts").alias("year"),
+        F.when(F.col("event_type") == "click", S.SEND).otherwise(S.READ).alias("operation"))
+    return S.ledger_violations(log, events.select(F.day("ts").alias("year")), 10, 5)
+
+
 @query
 def history(spark, d):
     return S.read_history(V.grid_values(spark, d), 1996, 1999)
@@ -505,6 +607,57 @@ def complete_steps(spark, d):
     return S.complete_steps(arrived, expected)
 
 
+@query
+def gate_steps(spark, d):
+    """Days of which every event has come, released by state of the stream."""
+    gate.use_state(spark)
+    root = work_dir(spark, "gate")
+    rows = V.event_rows(V.table(spark, d, "events"))
+    expected = rows.groupBy("variable", "year").agg(F.count(F.lit(1)).alias("n"))
+    arrived = V.event_rows(_event_stream(spark, d)).filter("NOT (year % 4 = 0 AND band = 2) AND year % 10 <> 0")
+    released = gate.release_years(arrived.select("variable", "cell", "band", "year", "step"), expected)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/released/batch_id={batch_id}")
+
+    released.writeStream.outputMode("update").foreachBatch(keep).option(
+        "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(gate.RELEASED).parquet(f"{root}/released").select("year", "keys", "missing")
+
+
+@query
+def stream_coords(spark, d):
+    """Coordinates of the cells, read once, joined to a stream of events."""
+    root = work_dir(spark, "coords")
+    cells = S.StepStore(root).static(spark, "cells", V.cells(spark, d).select("cell", "lon", "lat"))
+    rows = cube.attach_coords(V.event_rows(_event_stream(spark, d)), cells)
+    rows.select("cell", "band", "step", "lon", "lat").writeStream.format("parquet").option("path", f"{root}/rows").option(
+        "checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("cell bigint, band int, step bigint, lon double, lat double").parquet(f"{root}/rows")
+
+
+@query
+def flat_arrivals(spark, d):
+    """Years written as flat files, one write after the other, feed the exchange; present values become demand."""
+    folder, root = work_dir(spark, "flat-arrivals"), work_dir(spark, "flat-run")
+    values = V.quantity(spark, d)
+    layout = _layout(spark, d)
+    for k in range(3):
+        flatgrid.write_flat_grid(values.filter(F.col("year") % 3 == k), folder, **layout)
+    years = values.agg(F.min("year"), F.max("year")).first()
+    store = S.StepStore(root)
+    expected = spark.range(1).select(F.lit("quantity").alias("variable"), F.lit(layout["ncell"] * layout["nbands"]).alias("n"))
+    rows = flatgrid.stream_flat_grid(spark, folder).select(
+        *KEYS, F.lit(0).cast("bigint").alias("step"), F.when(F.col("raw") != MISSING_INT, F.col("value")).alias("value"))
+
+    def demand(outputs: DataFrame, year: int) -> DataFrame:
+        return outputs.groupBy("cell").agg(F.count("value").cast("double").alias("value")).select(
+            F.lit("demand").alias("variable"), "cell", F.lit(0).alias("band"), F.lit(year + 1).alias("year"), "value")
+
+    S.run_steps(rows, demand, store, expected, f"{root}/checkpoint", *years).awaitTermination()
+    return store.inputs(spark)
+
+
 @query
 def run_steps(spark, d):
     """Weeks of events in order; each week's counts become the next week's demand."""
@@ -675,15 +828,44 @@ def header_catalog(spark, d):
         "header_bytes")
 
 
+def _layout(spark, d) -> dict:
+    """Flat layout of the quantities: all cells and bands."""
+    span = V.cells(spark, d).agg(F.min("cell"), F.max("cell")).first()
+    nbands = V.bands(spark, d).filter("variable = 'quantity'").agg(F.max("band") + 1).first()[0]
+    return dict(ncell=span[1] - span[0] + 1, nbands=nbands, firstcell=span[0], datatype="int")
+
+
 @query
 def scan_flat_grid(spark, d):
     """Dense cube written as flat blocks and read back; gaps hold the sentinel."""
     folder = work_dir(spark, "flat")
-    span = V.cells(spark, d).agg(F.min("cell"), F.max("cell")).first()
-    nbands = V.bands(spark, d).filter("variable = 'quantity'").agg(F.max("band") + 1).first()[0]
-    layout = dict(ncell=span[1] - span[0] + 1, nbands=nbands, firstcell=span[0], datatype="int")
-    flatgrid.write_flat_grid(V.quantity(spark, d), folder, **layout)
-    return flatgrid.scan_flat_grid(spark, folder, blocks="true", **layout).select(*KEYS, "value")
+    flatgrid.write_flat_grid(V.quantity(spark, d), folder, **_layout(spark, d))
+    return flatgrid.read_flat_grid(spark, folder).select(*KEYS, "value")
+
+
+@query
+def flat_grid_part(spark, d):
+    """Some years, bands and cells of a flat cube; the rest is not opened or read."""
+    folder = work_dir(spark, "flat-part")
+    flatgrid.write_flat_grid(V.quantity(spark, d), folder, blockelements=5000, **_layout(spark, d))
+    return flatgrid.read_flat_grid(spark, folder).filter(
+        "variable = 'quantity' AND year BETWEEN 1995 AND 1996 AND band IN (1, 4) AND cell > 150").select(*KEYS, "value")
+
+
+@query
+def convert_raw(spark, d):
+    """Both variables to flat blocks and sidecars; later years again, changed, in blocks of another size."""
+    folder = work_dir(spark, "raw")
+    values = V.grid_values(spark, d)
+    span = V.cells(spark, d).agg(F.min("cell").cast("int").alias("firstcell"), F.expr("cast(max(cell) - min(cell) + 1 as int)").alias("ncell"))
+    sidecars = V.variables(spark, d).drop("scalar").join(span)
+    catalog = sidecars.select(F.col("variable").alias("name"), F.lit("cdf").alias("fmt")).unionByName(
+        spark.range(1).select(F.lit("grid").alias("name"), F.lit("cdf").alias("fmt")))
+    convert.convert_raw(values, catalog, sidecars, folder, blockelements=5000)
+    later = values.filter("year >= 1998").withColumn("value", F.col("value") + 1)
+    convert.convert_raw(later, catalog, sidecars, folder, ids="quantity", blockelements=777)
+    units = flatgrid.read_sidecars(spark, folder).select("variable", "unit", "format")
+    return flatgrid.read_flat_grid(spark, folder).filter("NOT isnan(raw) AND raw <> -9999").select(*KEYS, "value").join(units, "variable")
 
 
 def _brand_metadata(spark, d):
@@ -707,6 +889,20 @@ def metadata_catalog(spark, d):
         "variable", "nbands", F.array_join("band_names", " ").alias("band_names"), "ncell")
 
 
+@query
+def nested_metadata(spark, d):
+    """Private keys inside structs, arrays and maps are not written."""
+    sizes = V.table(spark, d, "part").groupBy(F.col("p_brand").alias("variable")).agg(
+        F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_set("p_size")).alias("sizes"))
+    tree = sizes.select(
+        "variable", F.lit("x").alias("_hidden"),
+        F.struct(F.col("n").alias("count"), F.lit(7).alias("_id"), F.transform("sizes", lambda x: F.struct(
+            x.alias("size"), (x * 2).alias("_twice"))).alias("parts")).alias("settings"),
+        F.create_map(F.lit("a"), F.struct(F.col("n").alias("v"), F.lit(1).alias("_w")),
+                     F.lit("_b"), F.struct(F.lit(0).cast("bigint").alias("v"), F.lit(2).alias("_w"))).alias("named"))
+    return metadata.as_json(tree)
+
+
 @query
 def merge_metadata(spark, d):
     brands = _brand_metadata(spark, d)

@@ -4,14 +4,17 @@ Outputs of a step arrive in any order on a stream; a step is used once it is
 complete, and steps are used in ascending order. A folder on shared storage
 holds everything that outlives a micro-batch:
 
-    arrivals/batch_id=N/year=Y   rows as they came
+    arrivals/year=Y/batch_id=N   rows as they came
     counts/batch_id=N            rows per (variable, year) of that batch
     inputs/variable=V/year=Y     inputs written for a step
     quarantine/batch_id=N        rows that came after their step was closed
     ledger/batch_id=N/step=Y     operations done when step Y was used
+    static/NAME                  a table that all steps are joined to, as first seen
 
 Every write replaces its own folder, so a replayed micro-batch leaves the same
-tables behind.
+tables behind. What every batch looks at, counts and ledger, is folded now and then:
+``snapshot=N`` holds all batches up to N, whose own folders then go. So a batch opens a
+bounded number of files, whatever came before it; arrivals are listed by year.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridsteps.model import KEYS, VALUES
@@ -31,6 +34,9 @@ from gridsteps.operators.validate import validate
 SEND, READ = "send_input", "read_output"
 
 LEDGER = "batch bigint, year int, operation string"
+COUNTS = "variable string, year int, n bigint"
+# Batches between two snapshots.
+FOLD = 20
 
 
 def read_history(values: DataFrame, output_year: int, start_coupling: int) -> DataFrame:
@@ -99,6 +105,53 @@ def route_late(values: DataFrame, open_year: int | None) -> tuple[DataFrame, Dat
     return marked.filter("reason IS NULL").drop("reason"), marked.filter("reason IS NOT NULL")
 
 
+def ledger_violations(log: DataFrame, calendar: DataFrame, start_coupling: int, output_year: int,
+                      run: str = "run") -> DataFrame:
+    """(run, seq, year, operation, violation): operations of each run's log that come out of order.
+
+    ``log`` carries the run, ``seq``, which orders its rows, year and operation; ``calendar`` carries the years. Per
+    year inputs are sent, from ``start_coupling`` on, before outputs are read, from ``output_year`` on; a year begins when
+    nothing of the years before is open. An operation is judged by all that came before it in its run: it is ``not
+    expected`` in the calendar, ``repeated``, comes ``before an earlier year is done``, or reads an ``output before
+    input``. The first that holds is reported. Rows without seq, or of equal seq, have no order and count as simultaneous.
+
+    Only the first time of each operation decides what is done when, so per run no more rows than the calendar asks
+    for are ordered, however long its log is.
+    """
+    expected = operations_left(calendar.select("year").distinct(), calendar.sparkSession.createDataFrame(
+        [], "year int, operation string"), start_coupling, output_year).select("year", "position", "operation")
+    firsts = log.groupBy(run, "year", "operation").agg(F.min("seq").alias("first"))
+    grid = log.select(run).distinct().select(run, F.inline(expected.agg(F.collect_list(
+        F.struct("year", "position", "operation"))).scalar()))
+    # An operation that never comes is done after everything.
+    never = F.struct(F.lit(1).alias("never"), F.lit(None).cast("bigint").alias("at"))
+    came = F.struct(F.lit(0).alias("never"), F.col("first").cast("bigint").alias("at"))
+    state = grid.join(firsts, [run, "year", "operation"], "left").withColumn(
+        "done", F.when(F.col("first").isNull(), never).otherwise(came))
+    years = Window.partitionBy(run).orderBy("year").rangeBetween(Window.unboundedPreceding, -1)
+    same = Window.partitionBy(run, "year")
+    state = state.select(
+        run, "year", "operation", "first", F.max("done").over(years).alias("earlier"),
+        F.max(F.when(F.col("operation") == SEND, F.col("done"))).over(same).alias("sent"))
+    now = F.struct(F.lit(0).alias("never"), F.col("seq").cast("bigint").alias("at"))
+    violation = (
+        F.when(F.col("expected").isNull(), F.lit("not expected"))
+        .when(F.col("seq") > F.col("first"), F.lit("repeated"))
+        .when(F.col("earlier") > now, F.lit("before an earlier year is done"))
+        .when((F.col("operation") == READ) & (F.col("sent") > now), F.lit("output before input")))
+    return (
+        log.join(state.withColumn("expected", F.lit(True)), [run, "year", "operation"], "left")
+        .select(run, "seq", "year", "operation", violation.alias("violation")).filter("violation IS NOT NULL")
+    )
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """Spark's own file system of a path, and the path in its terms."""
+    jvm = spark.sparkContext._jvm
+    own = jvm.org.apache.hadoop.fs.Path(path)
+    return own.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), own
+
+
 @dataclass(frozen=True)
 class StepStore:
     """Tables of one exchange below a shared folder."""
@@ -120,11 +173,48 @@ class StepStore:
 
     def arrivals(self, spark: SparkSession, years: list[int] | None = None) -> DataFrame:
         """Rows as they came; with ``years``, which all have rows, only their folders are listed."""
-        paths = years and [f"{self.path('arrivals')}/batch_id=*/year={y}" for y in years]
+        paths = years and [f"{self.path('arrivals')}/year={y}" for y in years]
         return self._read(spark, "arrivals", VALUES, paths).select(VALUES.fieldNames())
 
+    def _folders(self, spark: SparkSession, table: str) -> tuple[int | None, list[int]]:
+        """The last whole snapshot of a table, and the batches that came after it."""
+        fs, path = _hadoop(spark, self.path(table))
+        names = [f.getPath().getName() for f in fs.listStatus(path)] if fs.exists(path) else []
+        numbers = lambda kind: sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
+        done = [n for n in numbers("snapshot") if fs.exists(_hadoop(spark, f"{self.path(table)}/snapshot={n}/_SUCCESS")[1])]
+        last = done[-1] if done else None
+        return last, [n for n in numbers("batch_id") if last is None or n > last]
+
+    def _folded(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
+        """Rows of the last snapshot and of the batches after it."""
+        last, tail = self._folders(spark, table)
+        paths = [f"{self.path(table)}/batch_id={n}" for n in tail]
+        if last is not None:
+            paths.append(f"{self.path(table)}/snapshot={last}")
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
+
+    def fold(self, spark: SparkSession, batch_id: int, every: int = FOLD) -> None:
+        """Before a batch: fold what batches before it left, if that is ``every`` folders or more."""
+        for table, schema in (("counts", COUNTS), ("ledger", LEDGER)):
+            last, tail = self._folders(spark, table)
+            old = [n for n in tail if n < batch_id]
+            if len(old) < every:
+                continue
+            paths = [f"{self.path(table)}/batch_id={n}" for n in old]
+            if last is not None:
+                paths.append(f"{self.path(table)}/snapshot={last}")
+            rows = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
+            if table == "counts":
+                rows = rows.groupBy("variable", "year").agg(F.sum("n").alias("n"))
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path(table)}/snapshot={old[-1]}")
+            for path in paths:
+                fs, gone = _hadoop(spark, path)
+                fs.delete(gone, True)
+
     def counts(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "counts", "variable string, year int, n bigint").drop("batch_id")
+        return self._folded(spark, "counts", COUNTS)
 
     def quarantine(self, spark: SparkSession) -> DataFrame:
         schema = T.StructType([*VALUES.fields, T.StructField("reason", T.StringType())])
@@ -134,18 +224,25 @@ class StepStore:
         return self._read(spark, "inputs", VALUES).select(*KEYS, "value")
 
     def ledger(self, spark: SparkSession) -> DataFrame:
-        return self._read(spark, "ledger", LEDGER).drop("batch_id", "step")
+        return self._folded(spark, "ledger", LEDGER)
+
+    def static(self, spark: SparkSession, name: str, table: DataFrame) -> DataFrame:
+        """A table as it was when the exchange first asked for it, whatever became of its source since.
+
+        The first call stores it; a restarted query, and every batch, reads the stored rows.
+        """
+        fs, done = _hadoop(spark, f"{self.path('static')}/{name}/_SUCCESS")
+        if not fs.exists(done):
+            table.write.mode("overwrite").parquet(f"{self.path('static')}/{name}")
+        return spark.read.schema(table.schema).parquet(f"{self.path('static')}/{name}")
 
     def add_arrivals(self, batch: DataFrame, batch_id: int) -> None:
         """Rows partitioned by year, files evened out, plus their counts."""
         rows = batch.select(VALUES.fieldNames())
-        rows.hint("rebalance", "year").write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy("year").parquet(
-            self.path("arrivals", batch_id))
-        spark = batch.sparkSession
-        stored = spark.read.schema(VALUES).parquet(self.path("arrivals", batch_id))
+        rows.withColumn("batch_id", F.lit(batch_id)).hint("rebalance", "year").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("year", "batch_id").parquet(self.path("arrivals"))
         (
-            stored.groupBy("variable", "year").agg(F.count(F.lit(1)).alias("n"))
+            rows.groupBy("variable", "year").agg(F.count(F.lit(1)).alias("n"))
             .coalesce(1).write.mode("overwrite").parquet(self.path("counts", batch_id))
         )
 
@@ -183,6 +280,7 @@ def stream_steps(stream: DataFrame, store: StepStore, checkpoint: str,
 
 
 def _accept(batch: DataFrame, batch_id: int, store: StepStore, first_year: int | None) -> None:
+    store.fold(batch.sparkSession, batch_id)
     # Only earlier batches count, so a replay routes its rows as the first run did.
     closed = store.closed_year(batch.sparkSession, before=batch_id)
     open_year = first_year if closed is None else closed + 1
