@@ -29,7 +29,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SEGMENT = 1_000_000
 BLOCK = 256
 CACHED_CHARS, CACHE_ENTRIES = 48, 150_000
-SHORT_BYTES = 32
+SHORT_BYTES, MERGED_PIECES = 48, 20_000
+NO_RANK = np.int64(1) << 40
 ENCODED = "doc_id long, ids binary, ends binary"
 DECODED = "doc_id long, ids binary, data binary"
 
@@ -142,8 +143,8 @@ def _codepoints(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-class Tokenizer:
-    """Encodes texts by a rank file; one per worker process."""
+class Vocabulary:
+    """The tokens of a rank file; decodes."""
 
     def __init__(self, path: str):
         with open(path, "rb") as f:
@@ -155,6 +156,32 @@ class Tokenizer:
         self.lengths = np.array([len(w) for w in words], np.int64)
         self.first = np.cumsum(self.lengths) - self.lengths
         self.letters = np.frombuffer(b"".join(words), np.uint8)
+
+    def ends(self, ids: np.ndarray) -> np.ndarray:
+        """Byte offset in the text after each token."""
+        return np.cumsum(self.lengths[ids]).astype("<u4")
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> bytes:
+        """The bytes of consecutive tokens; offsets say where each token's bytes go."""
+        if not ids.size:
+            return b""
+        lengths = self.lengths[ids]
+        base = int(ends[0]) - int(lengths[0])
+        place = ends.astype(np.int64) - lengths - base
+        at = np.repeat(self.first[ids] - place, lengths)
+        return self.letters[at + np.arange(at.size)].tobytes()
+
+
+class Tokenizer(Vocabulary):
+    """Encodes texts by a rank file."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        # All pairs of tokens that make a token, as sorted numbers, and its rank.
+        pairs = sorted((self.ranks[w[:k]] << 32 | self.ranks[w[k:]], r) for w, r in self.ranks.items()
+                       for k in range(1, len(w)) if w[:k] in self.ranks and w[k:] in self.ranks)
+        self.pair_keys, self.pair_ranks = (np.array(c, np.int64) for c in zip(*pairs))
+        self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.classes = codepoint_classes()
         self.automaton = Automaton()
         # Ids of pieces met lately, and of those met before; a full cache becomes the older one.
@@ -212,26 +239,65 @@ class Tokenizer:
 
     # --- merging ---
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Ranks after merging, time and again, the leftmost pair of the lowest rank."""
-        ranks = self.ranks
-        if piece in ranks:
-            return [ranks[piece]]
-        if len(piece) > SHORT_BYTES:
-            return self._merge_long(piece)
-        parts = [piece[i:i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(a + b) for a, b in zip(parts, parts[1:])]
-        while True:
-            known = [r for r in pairs if r is not None]
-            if not known:
-                return [ranks[p] for p in parts]
-            i = pairs.index(min(known))
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i])
-            if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1])
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Id bytes of pieces: ranks after merging, time and again, the leftmost pair of the lowest rank."""
+        out: list[bytes] = [b""] * len(pieces)
+        short = []
+        for i, piece in enumerate(pieces):
+            if piece in self.ranks:
+                out[i] = self.ranks[piece].to_bytes(4, "little")
+            elif len(piece) > SHORT_BYTES:
+                out[i] = np.array(self._merge_long(piece), "<u4").tobytes()
+            else:
+                short.append(i)
+        for low in range(0, len(short), MERGED_PIECES):
+            own = short[low:low + MERGED_PIECES]
+            for i, ids in zip(own, self._merge_short([pieces[i] for i in own])):
+                out[i] = ids
+        return out
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), self.pair_keys.size - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_RANK)
+
+    def _merge_short(self, pieces: list[bytes]) -> list[bytes]:
+        """One merge per round in every piece that still has one, side by side."""
+        ids = self.of_byte[np.frombuffer(b"".join(pieces), np.uint8)]
+        lengths = np.array([len(p) for p in pieces], np.int64)
+        which = np.arange(len(pieces))  # the pieces that are left
+        out: list[bytes] = [b""] * len(pieces)
+        ends = np.cumsum(lengths)
+        ranks = np.full(ids.size, NO_RANK)
+        ranks[:-1] = self._pair_ranks(ids[:-1], ids[1:])
+        ranks[ends - 1] = NO_RANK
+        while which.size:
+            starts = np.cumsum(lengths) - lengths
+            best = np.minimum.reduceat(ranks, starts)
+            open_ = best < NO_RANK
+            if not open_.all():
+                final = ids.astype("<u4")
+                for k in np.flatnonzero(~open_).tolist():
+                    out[which[k]] = final[starts[k]:starts[k] + lengths[k]].tobytes()
+                keep = np.repeat(open_, lengths)
+                ids, ranks, which, lengths, best = ids[keep], ranks[keep], which[open_], lengths[open_], best[open_]
+                if not which.size:
+                    break
+            owner = np.repeat(np.arange(which.size), lengths)
+            hits = np.flatnonzero(ranks == best[owner])
+            first = hits[np.diff(owner[hits], prepend=-1) > 0]
+            ids[first] = best
+            keep = np.ones(ids.size, bool)
+            keep[first + 1] = False
+            ids, ranks, owner = ids[keep], ranks[keep], owner[keep]
+            lengths = lengths - 1
+            at = first - np.arange(first.size)
+            for left in (at, at - 1):
+                left = left[left >= 0]
+                right = np.minimum(left + 1, ids.size - 1)
+                together = (owner[left] == owner[right]) & (left < right)
+                ranks[left] = np.where(together, self._pair_ranks(ids[left], ids[right]), NO_RANK)
+        return out
 
     def _merge_long(self, piece: bytes) -> list[int]:
         """The same with a heap; parts are linked by where they begin."""
@@ -264,9 +330,10 @@ class Tokenizer:
         found = list(map(self.known.get, pieces))
         missing = [i for i, v in enumerate(found) if v is None]
         if missing:
-            older, new = self.older, {}
-            for p in {pieces[i] for i in missing}:
-                new[p] = older.get(p) or np.array(self.merge(p.encode()), "<u4").tobytes()
+            distinct = list({pieces[i] for i in missing})
+            new = {p: v for p in distinct if (v := self.older.get(p))}
+            fresh = [p for p in distinct if p not in new]
+            new.update(zip(fresh, self.merge([p.encode() for p in fresh])))
             for i in missing:
                 found[i] = new[pieces[i]]
             if len(self.known) > CACHE_ENTRIES:
@@ -296,29 +363,13 @@ class Tokenizer:
         flush()
         return out
 
-    # --- offsets and decoding ---
-
-    def ends(self, ids: np.ndarray) -> np.ndarray:
-        """Byte offset in the text after each token."""
-        return np.cumsum(self.lengths[ids]).astype("<u4")
-
-    def decode(self, ids: np.ndarray, ends: np.ndarray) -> bytes:
-        """The bytes of consecutive tokens; offsets say where each token's bytes go."""
-        if not ids.size:
-            return b""
-        lengths = self.lengths[ids]
-        base = int(ends[0]) - int(lengths[0])
-        place = ends.astype(np.int64) - lengths - base
-        at = np.repeat(self.first[ids] - place, lengths)
-        return self.letters[at + np.arange(at.size)].tobytes()
-
 
-def tokenizer(path: str) -> Tokenizer:
+def held(kind: type, path: str) -> Vocabulary:
     """One per worker process and file; it stays there from task to task."""
-    held = worker_registry()
-    if ("byte-bpe", path) not in held:
-        held["byte-bpe", path] = Tokenizer(path)
-    return held["byte-bpe", path]
+    kept = worker_registry()
+    if (kind.__name__, path) not in kept:
+        kept[kind.__name__, path] = kind(path)
+    return kept[kind.__name__, path]
 
 
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
@@ -333,7 +384,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(path)
+        own = held(Tokenizer, path)
         for batch in batches:
             for part in slices(batch):
                 texts = [t or "" for t in part.column(1).to_pylist()]
@@ -355,7 +406,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = tokenizer(path)
+        own = held(Vocabulary, path)
         for batch in batches:
             for part in slices(batch, "ids"):
                 rows = zip(part.column(1).to_pylist(), part.column(2).to_pylist())
