@@ -114,6 +114,19 @@ def running_sums(df: DataFrame, order: list[Column], weights: list[str]) -> tupl
     return found, total
 
 
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """The rows with a number of their own, written once so that it never changes."""
+    def tag(batches):
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            rows = pa.array(range(number, number + batch.num_rows), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, rows], names=[*batch.schema.names, name])
+            number += batch.num_rows
+
+    schema = type(df.schema)([*df.schema.fields]).add(name, "long")
+    return stored(df.mapInArrow(tag, schema), "numbered")
+
+
 def release_cached() -> None:
     """Drop what earlier tasks of other operators keep in this worker process."""
     held = worker_registry()

@@ -21,12 +21,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from gridsteps.llm.common import free_name, raw_texts, release_cached, slices, stored, width_of
+from gridsteps.llm.common import free_name, numbered, raw_texts, release_cached, slices, stored, width_of
 from gridsteps.llm.components import components
 from gridsteps.llm.shingles import common, mix, shingle_sets
 
-# Bands times rows samples; a pair at 0.75 misses every band with probability 6e-6.
-BANDS, ROWS, SAMPLES = 22, 3, 1024
+# Bands times rows samples; a pair at 0.75 misses every band with probability 5e-6, one at 0.3 meets in some band in
+# 10 % of cases, at 0.2 in 1.4 %.
+BANDS, ROWS, SAMPLES = 45, 5, 1024
 SKETCH_BITS = 4096
 # XOR bits of a pair at 0.75: 453 on average, standard deviation below 24.5; the bound is four of them above.
 MAX_XOR = 551
@@ -42,7 +43,7 @@ SIGNATURE = "doc_id long, n_shingles long, set_a long, set_b long, bands array<l
 _rng = np.random.default_rng(7919)
 _FACTOR = _rng.integers(0, 1 << 31, SAMPLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 _FLIP = _rng.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
-_KEY = _rng.integers(0, 1 << 63, 3 + BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_KEY = _rng.integers(0, 1 << 63, ROWS + BANDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def minhashes(members: np.ndarray) -> np.ndarray:
@@ -58,7 +59,7 @@ def minhashes(members: np.ndarray) -> np.ndarray:
 def band_keys(samples: np.ndarray) -> np.ndarray:
     """One key per band and row of samples; the band is part of its key."""
     rows = samples[:, :BANDS * ROWS].astype(np.uint64).reshape(-1, BANDS, ROWS)
-    return mix((rows * _KEY[:ROWS]).sum(axis=2, dtype=np.uint64) + _KEY[3:])
+    return mix((rows * _KEY[:ROWS]).sum(axis=2, dtype=np.uint64) + _KEY[ROWS:])
 
 
 def odd_sketches(samples: np.ndarray) -> np.ndarray:
@@ -223,21 +224,11 @@ def _repeated(named: DataFrame) -> bool:
     return counts.agg(F.max("copies")).first()[0] not in (None, 1)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row.
-
-    A null or wordless text has an empty set and is linked with nothing. Rows
-    without doc_id are linked with nothing and kept, with a null component. Rows
-    that share a doc_id count as one document with the smallest of their texts,
-    and each of them gets its result. Other columns are not read.
-    """
-    spark = docs.sparkSession
+def linked(rows: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for rows (doc_id, text) of different ids; the component's smallest id."""
+    spark = rows.sparkSession
     width = width_of(spark)
-    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    named = every.filter("doc_id IS NOT NULL")
-    repeated = _repeated(named)
-    if repeated:
-        named = stored(named.groupBy("doc_id").agg(F.min("text").alias("text")), "near-texts")
+    named = rows
     signed = stored(signatures(named), "near-signatures")
 
     filled = signed.filter("n_shingles > 0")
@@ -280,9 +271,47 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     result = signed.select("doc_id", "n_shingles").join(
         final.withColumnRenamed("doc_id", "member"), F.col("doc_id") == F.col("member"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    if repeated:
-        ids = every.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("row_id"))
-        result = ids.join(result, F.col("row_id") == F.col("doc_id")).drop("row_id")
+    return result
+
+
+def _distinct(numbered_rows: DataFrame, number: str) -> DataFrame:
+    """key, doc_id, text, copies: every distinct (doc_id, text) once; its key is the smallest number of its rows."""
+    return stored(numbered_rows.groupBy("doc_id", "text").agg(F.min(number).alias("key"), F.count("*").alias("copies")).select(
+        "key", "doc_id", "text", "copies"), "near-rows")
+
+
+def _of_texts(rows: DataFrame) -> DataFrame:
+    """key, id, copies, n_shingles, component for rows of ``_distinct``; components by links between texts only."""
+    found = linked(rows.select(F.col("key").alias("doc_id"), "text")).withColumnRenamed("doc_id", "of_key")
+    ids = rows.select("key", F.col("doc_id").alias("id"), "copies")
+    return stored(ids.join(found, F.col("key") == F.col("of_key")).select(
+        "key", "id", "copies", "n_shingles", F.col("component_id").alias("component")), "near-found")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row.
+
+    A null or wordless text has an empty set and is linked with nothing. Rows
+    without doc_id are linked with nothing and kept, with a null component. Rows
+    that share a doc_id are documents of their own, each with its own text; what one
+    of them reaches, its doc_id reaches, and all of them report the smallest doc_id
+    that theirs does. Other columns are not read.
+    """
+    every = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    named = every.filter("doc_id IS NOT NULL")
+    if _repeated(named):
+        found = _of_texts(_distinct(numbered(named, "row"), "row"))
+        # Components that hold rows of one id are one for what is reported.
+        firsts = found.groupBy("id").agg(F.min("component").alias("first"))
+        joined = components(found.select("id", "component").distinct().join(firsts, "id").filter("component != first").select(
+            "first", "component")).withColumnRenamed("component", "joined")
+        placed = found.join(joined, F.col("component") == F.col("vertex"), "left").withColumn(
+            "whole", F.coalesce("joined", "component"))
+        least = placed.groupBy("whole").agg(F.min("id").alias("component_id"))
+        result = placed.join(least, "whole").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
+            F.col("id").alias("doc_id"), "n_shingles", "component_id")
+    else:
+        result = linked(named)
     result = result.withColumn("kept", F.col("doc_id") == F.col("component_id"))
     nameless = signatures(every.filter("doc_id IS NULL")).select(
         "doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept"))
@@ -292,16 +321,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row, with all columns, of each group of near duplicates.
 
-    Rows without doc_id stay. Of rows that share a kept doc_id, one with the
-    smallest text stays.
+    The row of the smallest doc_id stays; of several rows with that id one does. A row
+    goes only if its own text has a near duplicate, or a copy, that stays: rows that share
+    a doc_id but not their text stay apart. Rows without doc_id, and one row of each id
+    and null or empty text, stay. Clashing column names do no harm.
     """
-    found = near_duplicates(docs)
-    name = free_name(docs, "dropped_id")
-    dropped = found.filter("NOT kept").select(F.col("doc_id").alias(name)).distinct()
-    kept = docs.join(dropped, docs["doc_id"] == dropped[name], "left_anti")
     if not _repeated(docs.filter("doc_id IS NOT NULL")):
-        return kept
-    place = free_name(docs, "place")
-    order = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    one = kept.filter("doc_id IS NOT NULL").withColumn(place, order).filter(F.col(place) == 1).drop(place)
-    return one.unionByName(kept.filter("doc_id IS NULL"))
+        name = free_name(docs, "dropped_id")
+        dropped = near_duplicates(docs).filter("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+        return docs.join(dropped, docs["doc_id"] == dropped[name], "left_anti")
+    row, stays = free_name(docs, "row"), free_name(docs, "stays")
+    rows = numbered(docs, row)
+    named = rows.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col(row).alias("row"))
+    found = _of_texts(_distinct(named, "row"))
+    kept = found.groupBy("component").agg(F.min_by("key", F.struct("id", "key")).alias(stays)).select(stays)
+    return rows.filter("doc_id IS NULL").drop(row).unionByName(
+        rows.join(kept, rows[row] == kept[stays], "left_semi").drop(row))
