@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gridsteps.llm.common import free_name, raw_texts, running_sums, slices, stored, width_of
 
@@ -22,6 +22,7 @@ WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
 BUCKET_ROWS = 8192
 FAN_IN = 32
+SALTS = 256
 SEED = 17
 
 OPEN = "row long, source_rank long, bucket long, doc_id long, size long, p double, extra int"
@@ -155,13 +156,29 @@ def _open_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def copies_of(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, fan_in: int = FAN_IN,
               weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """row, doc_id, size, source_size, target, copies for rows (row, doc_id, source, size)."""
+    """row, doc_id, size, source_size, target, copies for rows (row, doc_id, source, size).
+
+    Equal rows (same source, id and size) are one entry of the rounding: of m of them, m times the
+    fraction take one copy more, and only what is left of that number is rounded. Which of them take it is
+    settled per ``SALTS`` parts of an entry, so an id, or no id, that most rows share is dealt like any other.
+    """
     width = width_of(rows.sparkSession)
     targets = stored(source_targets(rows, weights, most), "mixing-targets")
-    buckets = max(1, -(-rows.count() // bucket_rows))
-    joined = rows.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
-    opened = joined.select("row", "source_rank", F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(buckets)).alias("bucket"),
-                           "doc_id", "size", F.when(F.col("frac") > 0, F.col("frac")).alias("p"), F.lit(0).alias("extra"))
+    joined = rows.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).select(
+        "row", "source_rank", "doc_id", "size", "frac", F.pmod(F.xxhash64("row", F.lit(SEED + 3)), F.lit(SALTS)).alias("salt"))
+    equal = ["source_rank", "doc_id", "size"]
+    parts = stored(joined.groupBy(*equal, "salt").agg(
+        F.count("*").alias("n"), F.min("row").alias("row"), F.first("frac").alias("frac")), "mixing-parts")
+    # At most SALTS rows per entry.
+    inside = Window.partitionBy(*equal)
+    before = F.sum("n").over(inside.orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
+    parts = parts.withColumns({"m": F.sum("n").over(inside), "before": F.coalesce(before, F.lit(0)), "entry": F.min("row").over(inside)})
+    parts = stored(parts.withColumn("share", F.col("m") * F.col("frac")), "mixing-entries")
+    entries = parts.filter("entry = row")
+    buckets = max(1, -(-entries.count() // bucket_rows))
+    p = F.col("share") - F.floor("share")
+    opened = entries.select("row", "source_rank", F.pmod(F.xxhash64("doc_id", "size", F.lit(SEED + 1)), F.lit(buckets)).alias("bucket"),
+                            "doc_id", "size", F.when(p > 0, p).alias("p"), F.lit(0).alias("extra"))
     rounded = stored(_round(opened, width), "mixing-rounded")
     settled, residual = [], rounded.filter("p IS NOT NULL")
     while buckets > 1:
@@ -176,11 +193,20 @@ def copies_of(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, fan_in: int = FAN
     for more in settled[1:]:
         late = late.unionByName(more)
     late = stored(late, "mixing-settled")
+    drawn = rounded.join(late.withColumnRenamed("row", "late_row"), F.col("row") == F.col("late_row"), "left").select(
+        F.col("row").alias("entry"), F.coalesce("late", "extra", F.lit(0)).alias("drawn"))
+    # Of each part, the rows whose place in the entry lies below the number that take one copy more.
+    quota = parts.join(drawn, "entry").select(
+        *(F.col(c).alias(f"of_{c}") for c in (*equal, "salt")),
+        F.greatest(F.floor("share") + F.col("drawn") - F.col("before"), F.lit(0)).alias("quota"))
+    place = F.row_number().over(Window.partitionBy(*equal, "salt").orderBy("row"))
+    same = F.lit(True)
+    for c in (*equal, "salt"):
+        same &= F.col(c).eqNullSafe(F.col(f"of_{c}"))
     return (
-        rounded.join(late.withColumnRenamed("row", "late_row"), F.col("row") == F.col("late_row"), "left")
-        .join(targets.drop("source"), "source_rank")
+        joined.withColumn("place", place).join(quota, same).join(targets.drop("source", "frac"), "source_rank")
         .select("row", "doc_id", "size", "source_size", "target",
-                (F.col("base") + F.coalesce("late", "extra", F.lit(0))).alias("copies"))
+                (F.col("base") + (F.col("place") <= F.col("quota")).cast("int")).alias("copies"))
     )
 
 
