@@ -12,9 +12,9 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from gridsteps.llm.common import raw_texts, slices
+from gridsteps.llm.common import free_name, raw_texts, slices, stored
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
 CONTINUATION = bytes(range(0x80, 0xC0))
@@ -25,16 +25,16 @@ WINDOW = 8
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
             "n_lines", "n_adjacent", "n_upper", "n_lower", "n_exclaim"]
 
-# One bit per rule: name and the condition under which a document fails, in whole numbers.
+# One bit per rule: name and the condition, on measurements by name, under which a document fails, in whole numbers.
 RULES = [
-    ("few_words", "n_words < 20"),
-    ("repeated_windows", "100 * n_repeat_words > 30 * n_words"),
-    ("symbols", "100 * n_symbols > 12 * n_words"),
-    ("adjacent_words", "100 * n_adjacent > 20 * n_words"),
-    ("capitals", "n_upper + n_lower > 0 AND 100 * n_upper > 50 * (n_upper + n_lower)"),
-    ("exclamations", "100 * n_exclaim > 30 * n_words"),
-    ("repeated_lines", "n_lines > 0 AND 100 * n_dup_lines > 60 * n_lines"),
-    ("word_length", "n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 15 * n_words)"),
+    ("few_words", lambda m: m["n_words"] < 20),
+    ("repeated_windows", lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"]),
+    ("symbols", lambda m: 100 * m["n_symbols"] > 12 * m["n_words"]),
+    ("adjacent_words", lambda m: 100 * m["n_adjacent"] > 20 * m["n_words"]),
+    ("capitals", lambda m: 100 * m["n_upper"] > 50 * (m["n_upper"] + m["n_lower"])),
+    ("exclamations", lambda m: 100 * m["n_exclaim"] > 30 * m["n_words"]),
+    ("repeated_lines", lambda m: 100 * m["n_dup_lines"] > 60 * m["n_lines"]),
+    ("word_length", lambda m: m["n_words"] > 0 and not 2 * m["n_words"] <= m["word_chars"] <= 15 * m["n_words"]),
 ]
 BIT = {name: 1 << k for k, (name, _) in enumerate(RULES)}
 
@@ -95,22 +95,22 @@ def measure(text: bytes) -> tuple[int, ...]:
 
 
 def failures(m: tuple[int, ...]) -> int:
-    """Bits of the failed rules."""
-    n_words, word_chars, n_symbols, n_dup_lines, n_repeat, n_lines, n_adjacent, n_upper, n_lower, n_exclaim = m
-    failed = (
-        n_words < 20, 100 * n_repeat > 30 * n_words, 100 * n_symbols > 12 * n_words,
-        100 * n_adjacent > 20 * n_words, n_upper + n_lower > 0 and 100 * n_upper > 50 * (n_upper + n_lower),
-        100 * n_exclaim > 30 * n_words, n_lines > 0 and 100 * n_dup_lines > 60 * n_lines,
-        n_words > 0 and not 2 * n_words <= word_chars <= 15 * n_words,
-    )
-    return sum(1 << k for k, f in enumerate(failed) if f)
+    """Bits of the failed rules, of measurements in the order of ``MEASURES``."""
+    named = dict(zip(MEASURES, m))
+    return sum(1 << k for k, (_, fails) in enumerate(RULES) if fails(named))
+
+
+def text_key() -> Column:
+    """What tells the texts of one doc_id apart: two checksums and the length."""
+    return F.concat_ws(":", F.xxhash64("text"), F.crc32(F.encode("text", "utf-8")), F.octet_length("text"))
 
 
 def ledger(docs: DataFrame) -> DataFrame:
-    """doc_id, failed bits and measurements of every whole text.
+    """doc_id, failed bits, measurements and text_key of every whole text, written once.
 
-    A null text has no words and fails ``few_words``; repeated rows and rows
-    without doc_id are measured like any other; other columns are not read.
+    Policies and ablations read the stored rows. A null text has no words and fails
+    ``few_words``; repeated rows and rows without doc_id are measured like any other;
+    other columns are not read.
     """
 
     def evaluate(batches):
@@ -119,11 +119,11 @@ def ledger(docs: DataFrame) -> DataFrame:
                 found = [measure(t or b"") for t in raw_texts(batch)]
                 failed = pa.array([failures(m) for m in found], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), failed, *(pa.array(c, pa.int64()) for c in zip(*found))],
-                    names=["doc_id", "failed", *MEASURES])
+                    [batch.column(0), failed, *(pa.array(c, pa.int64()) for c in zip(*found)), batch.column(2)],
+                    names=["doc_id", "failed", *MEASURES, "text_key"])
 
-    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return picked.mapInArrow(evaluate, LEDGER)
+    picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_key().alias("text_key"))
+    return stored(picked.mapInArrow(evaluate, LEDGER + ", text_key string"), "rule-ledger")
 
 
 def apply_policy(ledger_rows: DataFrame, policy: str) -> DataFrame:
@@ -153,13 +153,15 @@ def ablations(ledger_rows: DataFrame, policy: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, policy: str) -> DataFrame:
-    """The rows, with all their columns, that a policy keeps."""
-    full = BASE | POLICIES[policy]
+    """The rows, with all their columns, that a policy keeps.
 
-    def keep(batches):
-        for whole in batches:
-            for batch in slices(whole):
-                ok = [not failures(measure(t or b"")) & full for t in raw_texts(batch)]
-                yield batch.filter(pa.array(ok, pa.bool_()))
-
-    return docs.mapInArrow(keep, docs.schema)
+    The policy is applied to the stored ledger, and rows are taken by doc_id and text:
+    rows that share both fare alike, so repeated rows, rows without id and null texts
+    (which every policy rejects) are decided like any other. Columns with the
+    ledger's names do no harm. An empty table stays empty.
+    """
+    kept = apply_policy(ledger(docs), policy).filter("kept")
+    doc_id, key = free_name(docs, "kept_id"), free_name(docs, "kept_text")
+    good = kept.select(F.col("doc_id").alias(doc_id), F.col("text_key").alias(key)).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(good[doc_id]) & (text_key() == good[key])
+    return docs.join(good.hint("shuffle_hash"), same, "left_semi")
