@@ -307,13 +307,40 @@ def read_warc(paths: DataFrame, files: int | None = None) -> DataFrame:
 
 
 def list_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """The archive files below a folder, listed by Spark's own reader."""
+    """path of the archive files below a folder, listed by Spark's own reader; none in an empty folder."""
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
         "pathGlobFilter", "*.{warc,warc.gz}").load(folder).select("path")
 
 
+def lost_records(manifest: DataFrame, rows: DataFrame) -> DataFrame:
+    """path, n_records, n_found of files that returned fewer records than were written.
+
+    ``rows`` are those of ``read_warc``, or any that kept ``path`` and ``record_type``. A file of the
+    manifest without a row has lost all its records.
+    """
+    found = rows.filter("record_type != 'gap'").groupBy("path").agg(F.count("*").alias("n_found"))
+    return manifest.select("path", "n_records").join(found, "path", "left").withColumn(
+        "n_found", F.coalesce("n_found", F.lit(0))).filter("n_found < n_records")
+
+
+def read_pages(manifest: DataFrame, strict: bool = True) -> DataFrame:
+    """``page_records`` of all files of a manifest, read once and stored.
+
+    A file that returns fewer records than were written is an error that names it, unless ``strict`` is off; the
+    log of its gaps is in ``read_warc``.
+    """
+    files = max(1, manifest.count())
+    rows = read_warc(manifest, files).drop("payload")
+    rows = stored(rows, "warc-records")
+    if strict:
+        lost = lost_records(manifest, rows).orderBy("path").first()
+        if lost:
+            raise ValueError(f"{lost.path}: {lost.n_found} of {lost.n_records} records came back")
+    return page_records(rows)
+
+
 def gaps(rows: DataFrame) -> DataFrame:
-    """The quarantine log."""
+    """path, offset, gap_bytes, reason: the quarantine log; empty where every record passed its checks."""
     return rows.filter("record_type = 'gap'").select("path", "offset", "gap_bytes", "reason")
 
 
