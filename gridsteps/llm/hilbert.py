@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from gridsteps.llm.common import raw_texts, running_sums, slices, stored
+from gridsteps.llm.common import free_name, numbered, raw_texts, running_sums, slices, stored
 
 BITS = 6
 SHARDS = 16
@@ -47,8 +47,8 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, lang, source of every whole text."""
+def measured(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32, lang, source of every whole text, and the number that column ``row`` holds."""
 
     def measure(batches):
         for whole in batches:
@@ -56,12 +56,12 @@ def measured(docs: DataFrame) -> DataFrame:
                 texts = [t or b"" for t in raw_texts(batch)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(t) + 1 for t in texts], pa.int64()),
-                     pa.array([zlib.crc32(t) for t in texts], pa.int64()), batch.column(2), batch.column(3)],
-                    names=["doc_id", "size", "text_crc32", "lang", "source"])
+                     pa.array([zlib.crc32(t) for t in texts], pa.int64()), *batch.columns[2:]],
+                    names=["doc_id", "size", "text_crc32", *batch.schema.names[2:]])
 
     picked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                         *(F.col(c).cast("string").alias(c) for c in ("lang", "source")))
-    return picked.mapInArrow(measure, KEYS + ", lang string, source string")
+                         *(F.col(c).cast("string").alias(c) for c in ("lang", "source")), *([F.col(row).alias("row")] if row else []))
+    return picked.mapInArrow(measure, KEYS + ", lang string, source string" + ", row long" * bool(row))
 
 
 def quantile_cuts(rows: DataFrame, dimension: str, cells: int) -> list:
@@ -108,21 +108,23 @@ def on_curve(rows: DataFrame, dimensions: list[str], bits: int = BITS) -> DataFr
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, law: str = "rows",
-          dimensions: tuple[str, ...] = ("lang", "source", "size"), bits: int = BITS) -> DataFrame:
+          dimensions: tuple[str, ...] = ("lang", "source", "size"), bits: int = BITS, row: str | None = None) -> DataFrame:
     """Every row with its shard and slot: doc_id, size, text_crc32, lang, source, curve, law, shard, slot, grown_shard.
 
     ``law`` is ``rows`` (numbers of rows differ by one at most) or ``bytes``
     (runs of equal total size, up to one document). Rows of one cell are ordered
-    by doc_id, checksum and size, so a crowded cell is cut like any other run. A
+    by checksum, size and doc_id, so a crowded cell is cut like any other run and equal
+    texts of a cell stand together, in one shard or in neighbouring ones. A
     null text has size 1; null dimensions come first; rows without doc_id come
-    first in their cell; repeated rows take neighbouring slots. Empty tables
-    give no rows. Other columns are not read.
+    before others of equal text; repeated rows take neighbouring slots. Empty tables
+    give no rows. Other columns are not read, but for the row's number, if column ``row`` holds
+    one, which the result then has as ``row``.
     """
     if law not in ("rows", "bytes"):
         raise ValueError(f"unknown law {law}")
-    rows = stored(measured(docs), "hilbert-keys")
+    rows = stored(measured(docs, row), "hilbert-keys")
     placed = on_curve(rows, list(dimensions), bits)
-    order = [F.col("curve"), F.col("doc_id").asc_nulls_first(), F.col("text_crc32"), F.col("size")]
+    order = [F.col("curve"), F.col("text_crc32"), F.col("size"), F.col("doc_id").asc_nulls_first()]
     ordered, (n, total) = running_sums(placed, order, ["size"])
     ordered = ordered.select("*", F.col("before")[0].alias("rank"), F.col("before")[1].alias("ahead")).drop("before")
     if law == "rows":
@@ -136,7 +138,8 @@ def shard(docs: DataFrame, shards: int = SHARDS, law: str = "rows",
         # One row per shard.
         found = found.join(F.broadcast(starts), "shard").withColumn("slot", F.col("rank") - F.col("first")).drop("first")
     return found.select("doc_id", "size", "text_crc32", "lang", "source", "curve", F.lit(law).alias("law"), "shard",
-                        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+                        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+                        *(["row"] if row else []))
 
 
 def bounds(assigned: DataFrame, dimensions: tuple[str, ...] = ("lang", "source", "size")) -> DataFrame:
@@ -150,9 +153,17 @@ def prune(shard_bounds: DataFrame, dimension: str, low, high) -> DataFrame:
     return shard_bounds.filter((F.col(f"max_{dimension}") >= low) & (F.col(f"min_{dimension}") <= high))
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str) -> None:
-    """Documents with unique ids as Parquet folders per shard, in slot order."""
-    place = assigned.select(F.col("doc_id").alias("_placed"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-    joined = docs.join(place, docs["doc_id"].eqNullSafe(place["_placed"])).drop("_placed")
-    (joined.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot").drop("_slot")
-     .write.partitionBy("_shard").parquet(path))
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, law: str = "rows", **options) -> None:
+    """Every row as Parquet, in folders per shard and in slot order; the folders' column is ``_shard``.
+
+    Rows are numbered and placed by their number, so null and repeated ids, repeated rows and
+    null texts are written once each. Where the documents have a column of that name, the
+    folders' gets underscores before it. An empty table writes no shard.
+    """
+    row, name, slot = (free_name(docs, n) for n in ("row_number", "_shard", "slot_number"))
+    rows = numbered(docs, row)
+    placed = shard(rows, shards, law, row=row, **options).select(
+        F.col("row").alias(free_name(rows, "placed")), F.col("shard").alias(name), F.col("slot").alias(slot))
+    joined = rows.join(placed, rows[row] == placed[placed.columns[0]]).drop(row, placed.columns[0])
+    (joined.repartitionByRange(name, slot).sortWithinPartitions(name, slot).drop(slot)
+     .write.partitionBy(name).parquet(path))
