@@ -141,19 +141,53 @@ class FileReader:
         self.f.close()
 
 
-def encoded(docs: DataFrame, path: str, end_id: int, bounds: list[int]) -> DataFrame:
+class Routes:
+    """Which file a row goes to: files cover ascending runs of ids, and several of them one id that many rows share."""
+
+    def __init__(self, bounds: list[int], parts: dict[int | None, int]):
+        """``bounds`` end the runs; ``parts`` says how many files the rows of one id fill, if more than one."""
+        ends = {*bounds}
+        for k in parts:
+            if k is not None:
+                ends |= {k - 1, k}
+        self.ends = np.array(sorted(ends), np.int64)
+        # Run 0 is for rows without id if they fill files of their own; else they precede the first run in its file.
+        counts = np.ones(len(ends) + 2, np.int64)
+        counts[0] = parts.get(None, 0)
+        for k, n in parts.items():
+            if k is not None:
+                counts[1 + int(np.searchsorted(self.ends, k))] = n
+        self.counts, self.first = counts, np.cumsum(counts) - counts
+        self.files = int(counts.sum())
+
+    def of(self, ids: list[int | None], checksums: list[int], seen: dict) -> list[int]:
+        """Files of rows; those of a shared id are dealt by checksum, equal ones in turn (``seen`` counts them)."""
+        runs = np.searchsorted(self.ends, np.array([k or 0 for k in ids], np.int64), side="left") + 1
+        files = []
+        for k, run, checksum in zip(ids, runs.tolist(), checksums):
+            if k is None:
+                run = 0 if self.counts[0] else 1
+            n = int(self.counts[run])
+            part = 0
+            if n > 1:
+                turn = seen.get((k, checksum), 0)
+                seen[k, checksum] = turn + 1
+                part = (checksum + turn) % n
+            files.append(int(self.first[run]) + part)
+        return files
+
+
+def encoded(docs: DataFrame, path: str, end_id: int, routes: Routes) -> DataFrame:
     """(file, doc_id, ids): id bytes of each document with its end id, and the file it goes to."""
-    cuts = np.array(bounds, np.int64)
 
     def encode(batches):
         enc = encoder(path)
         end = np.array([end_id], enc.dtype).tobytes()
+        seen: dict = {}
         for whole in batches:
             for batch in slices(whole):
                 texts = [b"" if t is None else t for t in raw_texts(batch)]
-                keys = batch.column(0).to_pylist()
-                files = [0 if k is None else int(f) for k, f in zip(keys, np.searchsorted(
-                    cuts, np.array([k or 0 for k in keys], np.int64), side="left"))]
+                files = routes.of(batch.column(0).to_pylist(), list(map(zlib.crc32, texts)), seen)
                 ids = [i + end for i in enc.encode(t.decode() for t in texts)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(files, pa.int32()), batch.column(0), pa.array(ids, pa.binary())],
@@ -163,6 +197,12 @@ def encoded(docs: DataFrame, path: str, end_id: int, bounds: list[int]) -> DataF
     return picked.mapInArrow(encode, "file int, doc_id long, ids binary")
 
 
+def shared_ids(docs: DataFrame, rows_per_file: int) -> dict[int | None, int]:
+    """Ids of more rows than a file holds, and the files they fill; at most one id per ``rows_per_file`` rows."""
+    counted = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.count("*").alias("n"))
+    return {r.doc_id: -(-r.n // rows_per_file) for r in counted.filter(F.col("n") > rows_per_file).collect()}
+
+
 def range_bounds(docs: DataFrame, files: int) -> list[int]:
     """At most ``files - 1`` ascending ids that cut all ids into runs of about equal numbers.
 
@@ -185,9 +225,10 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer_path
                       end_id: int = 0, block_ids: int = BLOCK_IDS, docs_per_file: int = DOCS_PER_FILE) -> DataFrame:
     """Write all documents in ascending doc_id order; returns the committed manifest.
 
-    Files cover consecutive ranges of doc_id, cut at quantiles of all ids. A
-    null text counts as empty, a document without id comes first, repeated ids
-    stay next to each other. Other columns are not looked at.
+    Files cover consecutive ranges of doc_id, cut at quantiles of all ids; an id, or the lack of one,
+    that more rows share than a file is meant for fills several. A null text counts as empty,
+    a document without id comes first, repeated ids stay next to each other. Other
+    columns are not looked at.
     """
     spark = docs.sparkSession
     tokenizer_path = tokenizer_path or default_path()
@@ -195,7 +236,8 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer_path
     width = min_width(max(vocabulary_size(tokenizer_path), end_id + 1))
     n = docs.count()
     files = max(1, min(n, max(width_of(spark), -(-n // docs_per_file))))
-    bounds = range_bounds(docs, files)
+    per_file = -(-n // files) if n else 1
+    routes = Routes(range_bounds(docs, files), shared_ids(docs, per_file))
     system, inner = open_path(folder)
     system.create_dir(inner, recursive=True)
 
@@ -220,8 +262,8 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer_path
         if writer:
             yield done()
 
-    rows = encoded(docs, tokenizer_path, end_id, bounds)
-    routed = rows.repartitionById(len(bounds) + 1, F.col("file"))
+    rows = encoded(docs, tokenizer_path, end_id, routes)
+    routed = rows.repartitionById(routes.files, F.col("file"))
     ordered = routed.sortWithinPartitions("file", F.col("doc_id").asc_nulls_first(), "ids")
     return stored(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
