@@ -29,6 +29,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 SEGMENT = 1_000_000
 BLOCK = 256
 CACHED_CHARS, CACHE_ENTRIES = 48, 150_000
+SLICE_BYTES = 500_000
 SHORT_BYTES, MERGED_PIECES = 48, 20_000
 NO_RANK = np.int64(1) << 40
 ENCODED = "doc_id long, ids binary, ends binary"
@@ -386,7 +387,7 @@ def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held(Tokenizer, path)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=SLICE_BYTES):
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 ids = own.encode(texts)
                 ends = [own.ends(np.frombuffer(i, "<u4")).tobytes() for i in ids]
@@ -408,7 +409,7 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held(Vocabulary, path)
         for batch in batches:
-            for part in slices(batch, "ids"):
+            for part in slices(batch, "ids", SLICE_BYTES):
                 rows = zip(part.column(1).to_pylist(), part.column(2).to_pylist())
                 data = [own.decode(np.frombuffer(i or b"", "<u4"), np.frombuffer(e or b"", "<u4")) for i, e in rows]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(data, pa.binary())],

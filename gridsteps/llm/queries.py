@@ -18,8 +18,7 @@ def op2_stable_projections(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op3_warc_salvage(spark: SparkSession, d: str) -> DataFrame:
-    manifest = warc.write_warc(table(spark, d, "pages"))
-    return warc.page_records(warc.read_warc(manifest))
+    return warc.read_pages(warc.write_warc(table(spark, d, "pages")))
 
 
 def op4_concat_and_cut(spark: SparkSession, d: str) -> DataFrame:
@@ -27,7 +26,7 @@ def op4_concat_and_cut(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op5_rule_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return quality_rules.apply_policy(quality_rules.ledger(table(spark, d, "documents")), "web-2")
+    return quality_rules.apply_policy(quality_rules.ledger(table(spark, d, "documents")), "web-2").drop("text_key")
 
 
 def op6_hilbert_shards(spark: SparkSession, d: str) -> DataFrame:

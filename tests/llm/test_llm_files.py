@@ -224,3 +224,29 @@ def test_salvage_recovers_later_records(spark, pages, compress):
         f.write(data[:-3])
     cut = list(warc.salvage(path))
     assert cut[1:-1] == before[1:-1] and cut[-1][2] == "gap" and cut[-1][1] == before[-1][1]
+
+
+def test_shared_ids_fill_several_files(spark):
+    rows = [(None, f"none {i}") for i in range(300)] + [(5, f"five {i % 50}") for i in range(600)] + [(i, f"t{i}") for i in range(10, 110)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    manifest = token_files.write_token_files(docs, docs_per_file=50)
+    sizes = [r.n_docs for r in manifest.collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 2 * 50
+    got = token_files.read_token_files(manifest).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 300 + [5] * 600 + list(range(10, 110))
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+
+
+def test_lost_records_are_reported(spark, pages):
+    manifest = warc.write_warc(pages, min_bytes=1 << 40)
+    assert warc.read_pages(manifest).count() == pages.count()
+    path = max((r.path for r in manifest.collect()), key=lambda p: len(list(warc.salvage(p))))
+    damage(path, [(30, b"\xff\xff\xff\xff")])
+    lost = warc.lost_records(manifest, warc.read_warc(manifest)).collect()
+    assert [(r.path, r.n_records - r.n_found) for r in lost] == [(path, 1)]
+    with pytest.raises(ValueError, match="records came back"):
+        warc.read_pages(manifest)
+    assert warc.read_pages(manifest, strict=False).count() == pages.count() - 1

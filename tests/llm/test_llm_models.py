@@ -130,9 +130,15 @@ def test_shards_by_bytes_and_pruning(spark, corpus, tmp_path):
     limits = hilbert.bounds(got)
     kept = {r.shard for r in hilbert.prune(limits, "source", "s10", "s10").collect()}
     assert {r.shard for r in got.filter("source = 's10'").collect()} <= kept and len(kept) < 8
-    hilbert.write_shards(small, got, str(tmp_path / "shards"))
+    hilbert.write_shards(small, str(tmp_path / "shards"), 8, law="bytes")
     back = spark.read.parquet(str(tmp_path / "shards"))
     assert back.count() == small.count() and back.drop("_shard").columns == small.columns
+    # Null and repeated ids, repeated rows and a column of the folders' name.
+    odd = corpus.withColumn("_shard", F.lit("x")).withColumn("row_number", F.lit(1))
+    hilbert.write_shards(odd, str(tmp_path / "odd"), 4)
+    again = spark.read.parquet(str(tmp_path / "odd"))
+    plain = lambda df: sorted(map(repr, df.select("doc_id", "text", "source", "_shard").collect()))
+    assert plain(again) == plain(odd)
     assert hilbert.shard(corpus.filter("false")).count() == 0
 
 
@@ -243,3 +249,20 @@ def test_quality_scores(spark):
     none = classifier.score_quality(docs.limit(3), labels.filter("false")).collect()
     assert {r.score for r in none} == {0.5}
     assert classifier.score_quality(docs.filter("false"), labels).count() == 0
+
+
+def test_mixing_splits_what_rows_share(spark, monkeypatch):
+    """Most rows without id, or of one id and size: the mix stays near its targets, and buckets stay even."""
+    monkeypatch.setattr(mixing, "SALTS", 8)
+    rows = [(None if i % 4 else i, "one two", "a") for i in range(2000)] + [(7, "w " * 5, "b")] * 900 + [(i, "w " * (i % 9), "c") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6)
+    got = mixing.mix(docs, bucket_rows=64)
+    taken, sizes = {}, {}
+    for r in got.collect():
+        taken[r.source_size] = taken.get(r.source_size, 0) + r.taken
+        sizes[r.source_size] = r.target
+        assert r.taken in ([r.size * k for k in range(4)] if r.size else [0])
+    assert got.count() == len(rows)
+    for size, target in sizes.items():
+        assert abs(taken[size] - target) <= 9
+    assert got.groupBy().sum("taken").first()[0] == mixing.mix(docs.repartition(3), bucket_rows=64).groupBy().sum("taken").first()[0]

@@ -145,7 +145,7 @@ def own():
     import public_tokenizers
 
     assert byte_bpe.PATTERN == public_tokenizers.PATTERN
-    return byte_bpe.tokenizer(byte_bpe.default_path())
+    return byte_bpe.Tokenizer(byte_bpe.default_path())
 
 
 def ids_of(data):

@@ -6,6 +6,7 @@ import string
 
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from gridsteps.llm import near_dup, quality_rules as Q, secret_scan as S
 from gridsteps.llm.components import components
@@ -264,3 +265,47 @@ def test_near_duplicates_edges(spark, copies):
     assert sorted(r.doc_id for r in one.collect() if r.doc_id is not None) == sorted(i for i, w in wanted.items() if w[2])
     assert one.filter("doc_id IS NULL").count() == 2
     assert near_dup.near_duplicates(docs.filter("false")).count() == 0
+
+
+def test_repeated_ids_with_different_texts(spark, copies):
+    """Rows of one doc_id are documents of their own; ids join what they reach, but no text goes for another's sake."""
+    texts = [t for _, t in copies[:60]]
+    rows = [(i % 20, t) for i, t in enumerate(texts)] + [(3, texts[3]), (99, texts[5]), (1, None), (1, None), (None, texts[0])]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, row string").repartition(3)
+    named = [(k, i, t) for k, (i, t) in enumerate(rows) if i is not None]
+    by_row = brute([(k, t) for k, _, t in named])
+    # Union over links between texts and over equal ids.
+    parent = {k: by_row[k][1] for k, _, _ in named}
+    def root(k):
+        while parent[k] != k:
+            k = parent[k]
+        return k
+    first = {}
+    for k, i, _ in named:
+        a, b = sorted((root(k), root(first.setdefault(i, k))))
+        parent[b] = a
+    low = {}
+    for k, i, _ in named:
+        low[root(k)] = min(i, low.get(root(k), i))
+    wanted = sorted((i, by_row[k][0], low[root(k)], low[root(k)] == i) for k, i, _ in named)
+    got = [tuple(r) for r in near_dup.near_duplicates(docs).collect()]
+    assert sorted(r for r in got if r[0] is not None) == wanted and len(got) == len(rows)
+    one = near_dup.keep_one(docs)
+    assert one.columns == docs.columns
+    groups = {}
+    for k, i, t in named:
+        # Wordless texts are linked with nothing; equal rows are copies all the same.
+        groups.setdefault(by_row[k][1] if by_row[k][0] else (i, t), []).append((i, t))
+    kept = [(r.doc_id, r.text) for r in one.collect() if r.doc_id is not None]
+    assert sorted(i for i, _ in kept) == sorted(min(g)[0] if g[0][1] else g[0][0] for g in groups.values())
+    assert all(any(p in g for g in groups.values()) for p in kept) and one.filter("doc_id IS NULL").count() == 1
+
+
+def test_ledger_is_stored_and_decides(spark):
+    rows = [(1, CLEAN), (1, "short"), (1, CLEAN), (None, CLEAN), (2, None), (3, CLEAN + "\n" + "one line\n" * 200)]
+    docs = spark.createDataFrame([(*r, 5, "k") for r in rows], "doc_id long, text string, kept_id int, failed string")
+    kept = Q.keep_good(docs, "web-2")
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, docs.filter(F.col("text") == CLEAN).collect()))
+    assert Q.keep_good(docs.filter("false"), "web-2").count() == 0
+    assert "Scan parquet" in Q.ledger(docs)._jdf.queryExecution().executedPlan().toString()
