@@ -266,3 +266,58 @@ def test_mixing_splits_what_rows_share(spark, monkeypatch):
     for size, target in sizes.items():
         assert abs(taken[size] - target) <= 9
     assert got.groupBy().sum("taken").first()[0] == mixing.mix(docs.repartition(3), bucket_rows=64).groupBy().sum("taken").first()[0]
+
+
+def plain_isotonic(weight, mean):
+    """The max-min form of the nearest non-decreasing sequence."""
+    n = len(mean)
+    avg = lambda a, b: (weight[a:b + 1] * mean[a:b + 1]).sum() / weight[a:b + 1].sum()
+    return np.array([max(min(avg(a, b) for b in range(i, n)) for a in range(i + 1)) for i in range(n)])
+
+
+def test_scores_equal_plain_ridge_and_isotonic(spark):
+    """Every step after the statistics with plain numpy: moments, least squares on rows, residuals, bins, pools."""
+    from conftest import DATA
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    rows = docs.collect()
+    ids = [r.doc_id for r in rows]
+    x = np.array([classifier.statistics((r.text or "").encode()) for r in rows])
+    mean, scale = x.mean(axis=0), x.std(axis=0)
+    scale[scale == 0] = 1.0
+    rest = {i: zlib.crc32(str(i).encode()) % 3 for i in ids}
+    quality = {r.doc_id: float(r.quality) for r in labels.collect() if r.quality is not None}
+    own = [k for k, i in enumerate(ids) if i in quality and rest[i] != 1]
+    y = np.array([quality[ids[k]] for k in own])
+    half = np.array([0 if rest[ids[k]] == 0 else 1 for k in own])
+
+    def features(width):
+        return classifier._fourier(x, mean, scale, width, classifier.FEATURES, classifier.SEED)
+
+    def fit(f, target, ridge):
+        penalty = np.sqrt(np.append(1e-9, np.full(f.shape[1] - 1, ridge * max(1.0, len(f)))))
+        return np.linalg.lstsq(np.vstack([f, np.diag(penalty)]), np.append(target, np.zeros(f.shape[1])), rcond=None)[0]
+
+    best = None
+    for width in classifier.WIDTHS:
+        f = features(width)[own]
+        for ridge in classifier.RIDGES:
+            error = sum(((f[half != h] @ fit(f[half == h], y[half == h], ridge) - y[half != h]) ** 2).sum() for h in (0, 1))
+            if best is None or error < best[0] - 1e-9:
+                best = error, width, ridge
+    _, width, ridge = best
+    f = features(width)
+    raw = np.empty(len(own))
+    for h in (0, 1):
+        raw[half == h] = f[own][half == h] @ fit(f[own][half != h], y[half != h], ridge)
+    low, step = -0.5, 2.0 / classifier.BINS
+    place = np.clip((raw - low) / step, 0, classifier.BINS - 1).astype(int)
+    bins = np.unique(place)
+    weight = np.array([(place == b).sum() for b in bins], float)
+    levels = plain_isotonic(weight, np.array([y[place == b].mean() for b in bins])).round(12)
+    pooled = {v: weight[levels == v].sum() for v in np.unique(levels)}
+    levels = plain_isotonic(weight, np.array([(v * pooled[v] + y.mean()) / (pooled[v] + 1) for v in levels]))
+    wanted = np.interp(f @ fit(f[own], y, ridge), low + step * (bins + 0.5), levels)
+    got = {r.doc_id: r.score for r in classifier.score_quality(docs, labels).collect()}
+    assert np.allclose([got[i] for i in ids], wanted, atol=1e-4)
