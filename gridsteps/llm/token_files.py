@@ -160,16 +160,17 @@ class Routes:
         self.counts, self.first = counts, np.cumsum(counts) - counts
         self.files = int(counts.sum())
 
-    def of(self, ids: list[int | None], checksums: list[int], seen: dict) -> list[int]:
+    def of(self, ids: list[int | None], texts: list[bytes], seen: dict) -> list[int]:
         """Files of rows; those of a shared id are dealt by checksum, equal ones in turn (``seen`` counts them)."""
         runs = np.searchsorted(self.ends, np.array([k or 0 for k in ids], np.int64), side="left") + 1
         files = []
-        for k, run, checksum in zip(ids, runs.tolist(), checksums):
+        for k, run, text in zip(ids, runs.tolist(), texts):
             if k is None:
                 run = 0 if self.counts[0] else 1
             n = int(self.counts[run])
             part = 0
             if n > 1:
+                checksum = zlib.crc32(text)
                 turn = seen.get((k, checksum), 0)
                 seen[k, checksum] = turn + 1
                 part = (checksum + turn) % n
@@ -187,7 +188,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, routes: Routes) -> DataFram
         for whole in batches:
             for batch in slices(whole):
                 texts = [b"" if t is None else t for t in raw_texts(batch)]
-                files = routes.of(batch.column(0).to_pylist(), list(map(zlib.crc32, texts)), seen)
+                files = routes.of(batch.column(0).to_pylist(), texts, seen)
                 ids = [i + end for i in enc.encode(t.decode() for t in texts)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(files, pa.int32()), batch.column(0), pa.array(ids, pa.binary())],
