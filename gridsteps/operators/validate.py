@@ -12,6 +12,8 @@ from gridsteps.model import KEYS
 from gridsteps.operators.bands import subannual_violations
 
 
+# Slots in a word of bits.
+WORD = 62
 # What each integer type holds; bytes are unsigned, as flat files store them.
 INTEGER_RANGES = {"byte": (0, 255), "short": (-32768, 32767), "int": (-2147483648, 2147483647)}
 
@@ -83,33 +85,36 @@ def check_missing(values: DataFrame, cells: DataFrame, bands: DataFrame,
                   variables: Sequence[str], years: tuple[int, int]) -> DataFrame:
     """Keys of the dense cube that the table lacks.
 
-    A row per cell and variable meets the list of bands and years that the values
-    hold for it; the dense keys exist only inside that row, and only missing ones
-    become rows. A list is as long as bands times years at most.
+    Band and year of a key are a slot; what the values hold per cell and variable is a bit per slot, 62 to a
+    word. Words meet the wanted slots of their variable, so dense keys exist only inside a row, and only missing
+    ones become rows.
     """
     first, last = (F.lit(y) if isinstance(y, int) else y for y in years)
-    axis = bands.filter(F.col("variable").isin(*variables)).groupBy("variable").agg(
-        F.array_sort(F.collect_set(F.col("band").cast("bigint"))).alias("axis"))
-    wanted = cells.select(F.col("cell").cast("bigint").alias("cell")).withColumn(
-        "variable", F.explode(F.array(*map(F.lit, variables)))).join(axis, "variable")
-
-    def key(band: Column, offset: Column) -> Column:
-        return F.shiftleft(band.cast("bigint"), 32) + offset.cast("bigint")
-
+    length = (last - first + 1).cast("bigint")
+    slots = (
+        bands.filter(F.col("variable").isin(*variables)).select("variable", F.col("band").cast("bigint").alias("band")).distinct()
+        .withColumn("n", length)
+        .select("variable", F.explode(F.sequence(F.col("band") * F.col("n"), F.col("band") * F.col("n") + F.col("n") - 1)).alias("slot"))
+        .groupBy("variable", F.floor(F.col("slot") / WORD).alias("word")).agg(F.collect_list("slot").alias("slots"))
+    )
+    slot = F.col("band").cast("bigint") * length + (F.col("year") - first)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("slot", F.lit(WORD)).cast("int"))
     have = (
         values.filter(F.col("variable").isin(*variables) & F.col("year").between(first, last))
-        .select("variable", F.col("cell").cast("bigint").alias("cell"), key(F.col("band"), F.col("year") - first).alias("key"))
-        .groupBy("variable", "cell").agg(F.collect_set("key").alias("have"))
+        .select("variable", F.col("cell").cast("bigint").alias("cell"), slot.alias("slot")).filter("cell IS NOT NULL AND slot IS NOT NULL")
+        .groupBy("variable", "cell", F.floor(F.col("slot") / WORD).alias("word")).agg(F.bit_or(bit).alias("bits"))
     )
-    every = F.flatten(F.transform("axis", lambda b: F.transform("offsets", lambda o: key(b, o))))
-    lost = F.array_except(every, F.coalesce("have", F.array().cast("array<bigint>")))
+    wanted = cells.select(F.col("cell").cast("bigint").alias("cell")).withColumn(
+        "variable", F.explode(F.array(*map(F.lit, variables)))).join(slots, "variable")
+    held = lambda s: F.call_function("shiftright", F.coalesce("bits", F.lit(0).cast("bigint")), F.pmod(s, F.lit(WORD)).cast("int"))
+    lost = F.filter("slots", lambda s: held(s).bitwiseAND(F.lit(1)) == 0)
     rows = (
-        wanted.withColumn("offsets", F.sequence(F.lit(0), (last - first).cast("int")))
-        .join(have, ["variable", "cell"], "left").select("variable", "cell", F.explode(lost).alias("key")).withColumn("first", first)
+        wanted.join(have, ["variable", "cell", "word"], "left").select("variable", "cell", F.explode(lost).alias("slot"))
+        .withColumn("n", length).withColumn("first", first)
     )
     return _violations(rows.select(
-        "variable", "cell", F.shiftright("key", 32).cast("int").alias("band"),
-        (F.col("key").bitwiseAND(F.lit(0xFFFFFFFF)) + F.col("first")).cast("int").alias("year")), "missing", F.lit("no row"))
+        "variable", "cell", F.floor(F.col("slot") / F.col("n")).cast("int").alias("band"),
+        (F.pmod("slot", "n") + F.col("first")).cast("int").alias("year")), "missing", F.lit("no row"))
 
 
 def check_index(indices: DataFrame, supported: DataFrame) -> DataFrame:
