@@ -24,6 +24,10 @@ def _neighbour_lists(cells: DataFrame, by: str, cellsize: float) -> DataFrame:
     radius. All points of a tile are then neighbours of each other, so the ninth
     smallest id of a tile limits the ids its points can still take from
     elsewhere, which thins candidates of crowded tiles before the join.
+
+    Limits, candidates and lists have about a row per cell or more, but all
+    derive from a few columns, so the size that Spark estimates from the files
+    is far too small. The joins are merges, lest one be collected and broadcast.
     """
     keep = MAX_NEIGHBOURS + 1
     size: Column | float = cellsize
@@ -63,7 +67,7 @@ def _neighbour_lists(cells: DataFrame, by: str, cellsize: float) -> DataFrame:
     candidates = (
         points.withColumn("tx", reach("lon")).withColumn("ty", reach("lat"))
         .select("tx", "ty", "pid", F.col("lon").alias("clon"), F.col("lat").alias("clat"))
-        .join(limits, ["tx", "ty"])
+        .join(limits.hint("merge"), ["tx", "ty"])
         .filter(F.col("limit").isNull() | (F.col("pid") <= F.col("limit")))
         .drop("limit")
     )
@@ -72,7 +76,7 @@ def _neighbour_lists(cells: DataFrame, by: str, cellsize: float) -> DataFrame:
     dx, dy = F.col("lon") - F.col("clon"), F.col("lat") - F.col("clat")
     first = Window.partitionBy("point").orderBy("pid")
     lists = (
-        seekers.join(candidates, ["tx", "ty"])
+        seekers.join(candidates.hint("merge"), ["tx", "ty"])
         .filter(dx * dx + dy * dy <= radius * radius)
         .select("point", "lon", "lat", "pid")
         .withColumn("r", F.row_number().over(first)).filter(F.col("r") <= keep)
@@ -82,7 +86,7 @@ def _neighbour_lists(cells: DataFrame, by: str, cellsize: float) -> DataFrame:
     )
     # Cells without a place have no neighbours; their NULL keys would meet in one task.
     lost = F.col("lon").isNull() | F.col("lat").isNull()
-    placed = cells.filter(~lost).join(lists, ["lon", "lat"], "left")
+    placed = cells.filter(~lost).join(lists.hint("merge"), ["lon", "lat"], "left")
     nowhere = cells.filter(lost).withColumn("__ids", F.lit(None).cast("array<bigint>"))
     return (
         placed.unionByName(nowhere)

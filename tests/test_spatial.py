@@ -117,3 +117,27 @@ def test_regrid_inputs(spark):
          ("co2", "txt", "c"), ("wateruse", "clm", "DUMMYLOCATION")], "name string, fmt string, filename string")
     got = {(r.name, r.kind) for r in spatial.regrid_inputs(catalog).select("name", "kind").collect()}
     assert got == {("soil", "values"), ("drainage", "links")}
+
+
+def stored_cells(spark, path, columns=()):
+    """3000 cells in rows of 50; the file looks far smaller than what a neighbourhood derives from it."""
+    spark.range(3000).selectExpr("id AS cell", "id % 50 / 2.0D AS lon", "floor(id / 50) / 2.0D AS lat", *columns).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def around(cell):
+    return [d for y in (-50, 0, 50) for d in range(cell + y - 1, cell + y + 2)
+            if 0 <= d < 3000 and d != cell and d // 50 == (cell + y) // 50]
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mean_of_neighbours_broadcasts_no_cells(spark, tmp_path):
+    near = spatial.neighbours(stored_cells(spark, str(tmp_path / "cells")))
+    means = near.groupBy("cell").agg({"neighbour": "avg"})
+    want = {c: sum(around(c)) / len(around(c)) for c in range(3000)}
+    assert {c: m for c, m in means.collect()} == want
+    assert "Broadcast" not in final_plan(means)
