@@ -141,3 +141,9 @@ def test_mean_of_neighbours_broadcasts_no_cells(spark, tmp_path):
     want = {c: sum(around(c)) / len(around(c)) for c in range(3000)}
     assert {c: m for c, m in means.collect()} == want
     assert "Broadcast" not in final_plan(means)
+
+
+def test_pairs_broadcast_no_cells(spark, tmp_path):
+    near = spatial.neighbours(stored_cells(spark, str(tmp_path / "cells")))
+    assert sorted(near.collect()) == [(c, d) for c in range(3000) for d in around(c)]
+    assert "Broadcast" not in final_plan(near)
