@@ -147,3 +147,10 @@ def test_pairs_broadcast_no_cells(spark, tmp_path):
     near = spatial.neighbours(stored_cells(spark, str(tmp_path / "cells")))
     assert sorted(near.collect()) == [(c, d) for c in range(3000) for d in around(c)]
     assert "Broadcast" not in final_plan(near)
+
+
+def test_padded_lists_broadcast_no_cells(spark, tmp_path):
+    padded = spatial.neighbourhood(stored_cells(spark, str(tmp_path / "cells")))
+    assert {r.cell: r.neighbours for r in padded.collect()} == {
+        c: (around(c) + [-9999] * 8)[:8] for c in range(3000)}
+    assert "Broadcast" not in final_plan(padded)
