@@ -154,3 +154,14 @@ def test_padded_lists_broadcast_no_cells(spark, tmp_path):
     assert {r.cell: r.neighbours for r in padded.collect()} == {
         c: (around(c) + [-9999] * 8)[:8] for c in range(3000)}
     assert "Broadcast" not in final_plan(padded)
+
+
+def test_copies_broadcast_no_cells(spark, tmp_path):
+    """Pairs of cells at one place; the size comes with the data."""
+    cells = stored_cells(spark, str(tmp_path / "cells"), ["0.5D AS cellsize"])
+    shared = cells.selectExpr("cell", "floor(cell % 50 / 2) * 1.0D AS lon", "lat", "cellsize")
+    near = spatial.neighbours(shared, cellsize=2.0)
+    want = [(c, d) for c in range(3000)
+            for d in (c ^ 1, *(y + e for y in (c - 50, c + 50) if 0 <= y < 3000 for e in (0, (y ^ 1) - y)))]
+    assert sorted(near.collect()) == sorted(want)
+    assert "Broadcast" not in final_plan(near)
