@@ -18,6 +18,15 @@ def convertible(catalog: DataFrame, ids: str | Sequence[str] | None = None) -> D
     return picked.filter(F.col("name").isin([ids] if isinstance(ids, str) else list(ids)))
 
 
+def _of_variables(values: DataFrame, names: DataFrame) -> DataFrame:
+    """Values of the variables that ``names`` lists.
+
+    Names are sent to the values, a row per variable: an exchange of the values by
+    variable would give one task all rows of a variable.
+    """
+    return values.join(F.broadcast(names.select("variable").distinct()), "variable", "left_semi")
+
+
 def convert_format(values: DataFrame, path: str, fmt: str = "parquet",
                    variables: DataFrame | None = None) -> None:
     """Write values as a table partitioned by variable and year.
@@ -27,8 +36,7 @@ def convert_format(values: DataFrame, path: str, fmt: str = "parquet",
     Other partitions below the path stay.
     """
     if variables is not None:
-        names = variables.select(F.col("name").alias("variable"))
-        values = values.join(names, "variable", "left_semi")
+        values = _of_variables(values, variables.select(F.col("name").alias("variable")))
     (
         values.hint("rebalance", "variable", "year")
         .sortWithinPartitions("variable", "year", "cell", "band")
@@ -67,6 +75,6 @@ def convert_raw(values: DataFrame, catalog: DataFrame, sidecars: DataFrame, path
     names = convertible(catalog, ids).select(F.col("name").alias("variable")).distinct()
     merged = raw_sidecars(sidecars.join(names, "variable", "left_semi"))
     layout = merged.select("variable", "ncell", "nbands", "firstcell", "datatype")
-    picked = values.select("variable", "cell", "band", "year", "value").join(names, "variable", "left_semi")
-    write_blocks(picked.join(layout, "variable", "left"), merged, path, mode, **options)
+    picked = _of_variables(values.select("variable", "cell", "band", "year", "value"), names)
+    write_blocks(picked.join(F.broadcast(layout), "variable", "left"), merged, path, mode, **options)
     return merged

@@ -157,3 +157,21 @@ def test_load_grid(spark, tmp_path):
     assert {r.band for r in plain.collect()} == {0} and plain.count() == 6
     with pytest.raises(ValueError):
         grid.shape_grid(table.withColumn("x", F.lit(1)), ["soilc"])
+
+
+def test_conversion_leaves_values_where_they_are(spark, tmp_path, monkeypatch):
+    """No task gathers the rows of a variable before the files are cut."""
+    values = spark.range(2000).repartition(8).selectExpr(
+        "IF(id % 10 = 0, 'price', 'quantity') AS variable", "id AS cell", "0 AS band", "2000 AS year", "id * 1.0D AS value")
+    catalog = spark.createDataFrame([("quantity", "cdf"), ("quantity", "cdf"), ("price", "raw"), (None, "cdf")], "name string, fmt string")
+    spread, hint = [], type(values).hint
+
+    def watched(df, name, *columns):
+        spread.append(df.select(F.spark_partition_id()).distinct().count())
+        return hint(df, name, *columns)
+
+    monkeypatch.setattr(type(values), "hint", watched)
+    convert.convert_format(values, str(tmp_path / "p"), variables=convert.convertible(catalog))
+    assert spread == [8]
+    back = grid.load_values(spark, str(tmp_path / "p")).select("variable", "cell", "band", "year", "value")
+    assert sorted(back.collect()) == sorted(values.filter("variable = 'quantity'").collect())
